@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from spanstore.llm import line_dedup, mixing, packing, quality_rules
+from spanstore.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
 from spanstore.llm.common import stored, table
 
 
@@ -18,6 +18,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_documents(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, and all others."""
+    return jaccard_join.dedup_near(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mix to target weights, as documents again."""
     return mixing.mix_documents(docs)
@@ -31,6 +36,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality_rules", quality),
     ("line_dedup", lines),
+    ("ngram_jaccard_join", near),
     ("mixing", mixed),
     ("packing", packed),
 ]

@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
-from . import langid, line_dedup, mixing, packing, quality_rules, sharding
+from . import html_text, jaccard_join, langid, line_dedup, mixing, packing, quality_rules, sharding, topk_search
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op3_shard": sharding.op3_shard,
+    "op4_topk": topk_search.op4_topk,
     "op5_line_dedup": line_dedup.op5_line_dedup,
+    "op6_html_text": html_text.op6_html_text,
     "op7_pack": packing.op7_pack,
+    "op8_near_duplicates": jaccard_join.op8_near_duplicates,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_mix": mixing.op10_mix,
 }
 
 ORACLE_SQL = {
+    "op4_topk": topk_search.OP4_SQL,
     "op5_line_dedup": line_dedup.OP5_SQL,
 }
