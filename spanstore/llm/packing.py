@@ -15,6 +15,7 @@ packed each; an empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -30,7 +31,9 @@ from .common import groups_for, stored, table
 CAPACITY = 4096
 END_ID = 1
 GROUP_ROWS = 20_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 600_000
+SEPARATORS = re.compile("[\x1c-\x1f]")
+BLANKS = re.compile("[^ \t\n\x0b\x0c\r]+")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,36 +54,78 @@ def _tokenizer(path: str):
 class WordIds:
     """Token ids of a text as little-endian bytes, remembered word by word.
 
-    This tokenizer splits at white space before anything else and drops it, so
-    a text's ids are its words' ids in order.  The memory is cleared when it
-    holds ``limit`` words.
+    This tokenizer lower-cases, splits at white space before anything else and
+    drops it, so a text's ids are its words' ids in order; it also separates
+    letters from the marks behind them.  New words are therefore looked up as
+    letters plus marks, and new letter runs are encoded many at a time.  The
+    memory is cleared when it holds ``limit`` words.
     """
 
+    MARKS = ".,:;!?*#$%&|"
+    AT_ONCE = 200
+
     def __init__(self, path: str, limit: int = CACHE_WORDS):
-        self.encode = _tokenizer(path).encode_batch
+        self.tokenizer = _tokenizer(path)
         self.limit = limit
         self.known: dict[str, bytes] = {}
+        self.runs: dict[str, bytes] = {}
+
+    def _learn_runs(self, runs: list[str]) -> None:
+        for start in range(0, len(runs), self.AT_ONCE):
+            part = runs[start : start + self.AT_ONCE]
+            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            ids, word = np.asarray(got.ids, "<u4"), np.asarray(got.word_ids)
+            cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])).tolist()
+            for run, i, j in zip(part, cut, cut[1:]):
+                self.runs[run] = ids[i:j].tobytes()
+
+    def _learn(self, words: set[str]) -> None:
+        plain, rest = [], []
+        for w in words:
+            letters = w.rstrip(self.MARKS)
+            # Up to U+00FF lower-casing is one to one and nothing composes.
+            if letters.isalpha() and max(letters) <= "\u00ff":
+                plain.append((w, letters.lower(), w[len(letters) :]))
+            else:
+                rest.append(w)
+        self._learn_runs(list({r for _, r, _ in plain}.difference(self.runs)))
+        for tail in {t for _, _, t in plain}.difference(self.runs):
+            self.runs[tail] = self._encode(tail)
+        for w, run, tail in plain:
+            self.known[w] = self.runs[run] + self.runs[tail]
+        for w in rest:
+            self.known[w] = self._encode(w)
+
+    def _encode(self, text: str) -> bytes:
+        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    @staticmethod
+    def _split(text: str) -> list[str]:
+        # str.split() also cuts at U+001C..U+001F, which the tokenizer keeps.
+        return text.split() if not SEPARATORS.search(text) else BLANKS.findall(text)
+
+    def of(self, texts: list[str], at_once: int = 256) -> Iterator[bytes]:
+        for start in range(0, len(texts), at_once):
+            words = [self._split(t) for t in texts[start : start + at_once]]
+            if len(self.known) > self.limit:
+                self.known, self.runs = {}, {}
+            self._learn(set().union(*words).difference(self.known))
+            ids = self.known.__getitem__
+            for cut in words:
+                yield b"".join(map(ids, cut))
+
 
-    def of(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            # str.split() cuts at every white space character; so does the tokenizer's pattern.
-            words = text.split()
-            try:
-                yield b"".join(map(self.known.__getitem__, words))
-            except KeyError:
-                if len(self.known) > self.limit:
-                    self.known.clear()
-                new = [w for w in dict.fromkeys(words) if w not in self.known]
-                for w, e in zip(new, self.encode(new, add_special_tokens=False)):
-                    self.known[w] = np.asarray(e.ids, "<u4").tobytes()
-                yield b"".join(map(self.known.__getitem__, words))
+@lru_cache(maxsize=2)
+def word_ids(path: str) -> WordIds:
+    """One memory a worker process, kept from task to task."""
+    return WordIds(path)
 
 
 def tokenized_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, end = WordIds(tokenizer), np.asarray([END_ID], "<u4").tobytes()
+        words, end = word_ids(tokenizer), np.asarray([END_ID], "<u4").tobytes()
         for batch in batches:
             out: list[tuple] = []
             texts = [t or "" for t in batch["text"].to_pylist()]
