@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import math
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,6 +40,10 @@ def stored(df: DataFrame) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    # Shuffle files of finished work go when the driver collects its garbage,
+    # which a roomy driver may not do for hours.
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -48,6 +56,28 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+FILTER_BITS = 1 << 24
+
+
+def maybe_among(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose long ``key`` may be in ``ids`` (one column); a join must follow.
+
+    A one-hash filter of ``FILTER_BITS`` bits, kept as at most a quarter million
+    64-bit words, is what gets broadcast at any input size; with very many ids
+    it only lets more rows through.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    bit = lambda p: F.call_function("shiftleft", F.lit(1).cast("long"), (p % 64).cast("int"))
+    words = (
+        ids.select(place(ids[ids.columns[0]]).alias("_p"))
+        .groupBy(F.floor(F.col("_p") / 64).cast("int").alias("_word"))
+        .agg(F.bit_or(bit(F.col("_p"))).alias("_bits"))
+    )
+    marked = df.withColumn("_at", place(F.col(key))).withColumn("_word", F.floor(F.col("_at") / 64).cast("int"))
+    hit = F.col("_bits").bitwiseAND(bit(F.col("_at"))) != 0
+    return marked.join(F.broadcast(words), "_word").filter(hit).select(*df.columns)
+
+
 def words_of(text: Column) -> Column:
     """Maximal runs of characters outside ASCII white space; null gives none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))
@@ -62,6 +92,38 @@ def n_words(text: Column) -> Column:
     return F.size(words_of(text)).cast("long")
 
 
+def key_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """Batches of a partition sorted by ``key``, cut so that no key goes on in the next one."""
+    held: list[pa.RecordBatch] = []
+
+    def joined() -> pa.RecordBatch:
+        return pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch[key].to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(keys, keys[-1], "left"))
+        if cut:
+            held.append(batch.slice(0, cut))
+            yield joined()
+            held = []
+        elif held and held[-1][key][-1].as_py() != keys[0]:
+            yield joined()
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield joined()
+
+
+def run_starts(*columns: np.ndarray) -> np.ndarray:
+    """Indices where any of the sorted columns changes, and the length at the end."""
+    new = np.ones(len(columns[0]) + 1, bool)
+    if len(columns[0]):
+        new[1:-1] = np.logical_or.reduce([c[1:] != c[:-1] for c in columns])
+    return np.flatnonzero(new) if len(columns[0]) else np.zeros(1, np.int64)
+
+
 def groups_for(rows: int, per_group: int) -> int:
     """How many groups keep each near ``per_group`` rows."""
     return max(1, math.ceil(rows / per_group))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import html_text, jaccard_join, langid, line_dedup, mixing, packing, quality_rules, sharding, topk_search
+from . import html_text, jaccard_join, langid, line_dedup, mixing, packing, quality_rules, sharding, suffix_dedup, topk_search
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_shard": sharding.op3_shard,
     "op4_topk": topk_search.op4_topk,
     "op5_line_dedup": line_dedup.op5_line_dedup,

@@ -8,7 +8,6 @@ import numpy as np
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
-_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
@@ -25,14 +24,15 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class Powers:
     """Powers of an odd base modulo 2^64 and of its inverse, grown on demand."""
 
-    def __init__(self):
+    def __init__(self, base: int = int(_BASE)):
+        self.base, self.inverse = _U(base), _U(pow(base, -1, 1 << 64))
         self.up = self.down = np.ones(1, np.uint64)
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < n:
             size = max(n, 1 << 16)
-            self.up = np.cumprod(np.concatenate([[_U(1)], np.full(size, _BASE)]), dtype=np.uint64)
-            self.down = np.cumprod(np.concatenate([[_U(1)], np.full(size, _INVERSE)]), dtype=np.uint64)
+            self.up = np.cumprod(np.concatenate([[_U(1)], np.full(size, self.base)]), dtype=np.uint64)
+            self.down = np.cumprod(np.concatenate([[_U(1)], np.full(size, self.inverse)]), dtype=np.uint64)
         return self.up[:n], self.down[:n]
 
 
