@@ -56,6 +56,17 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def packed(df: DataFrame, *keep: str) -> DataFrame:
+    """``doc``, a struct of all of ``df``'s columns, and the columns in ``keep``: whatever else
+    the table holds cannot clash with an operator's own names."""
+    return df.select(F.struct("*").alias("doc"), *keep)
+
+
+def unpacked(names: list[str], **fresh: Column) -> list[Column]:
+    """The columns ``names`` of ``doc`` again, some of them ``fresh``."""
+    return [fresh.get(c, F.col("doc").getField(c)).alias(c) for c in names]
+
+
 FILTER_BITS = 1 << 24
 
 

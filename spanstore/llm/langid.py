@@ -102,8 +102,8 @@ def train(rows: DataFrame) -> Model:
 def predict(df: DataFrame, model: Model) -> DataFrame:
     """``df``'s columns but the text, with ``lang_pred`` and ``score``.  df must hold ``text``."""
     shared = df.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in df.columns if c != "text"]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "text"] + ["lang_pred string", "score double"])
+    keep = [c for c in df.columns if c not in ("text", "lang_pred", "score")]
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name in keep] + ["lang_pred string", "score double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, stored, table
+from .common import SPACES, let, packed, stored, table, unpacked
 
 MIN_DOCS = 10
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -67,26 +67,22 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id
     Adds ``n_lines`` (before) and ``n_dropped``.  ``id_col`` names a row; rows
     that repeat an id are told apart by their text's hash.
     """
-    keyed = docs.withColumn("_row", F.struct(F.col(id_col), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))))
-    gone = dropped_positions(keyed.select("_row", F.col(text_col).alias("_text")), min_docs)
-    lines = _lines(F.col(text_col))
+    text = F.col("doc").getField(text_col)
+    keyed = packed(docs).withColumn("_row", F.struct(F.col("doc").getField(id_col), F.unhex(F.md5(F.coalesce(text, F.lit(""))))))
+    gone = dropped_positions(keyed.select("_row", text.alias("_text")), min_docs)
     joined = keyed.join(gone.withColumnRenamed("_row", "_gone_row"), F.col("_row").eqNullSafe(F.col("_gone_row")), "left")
-    n_lines = F.size(lines).cast("long")
     kept = let(
-        lines,
+        _lines(text),
         lambda ls: F.array_join(
-            F.transform(
-                F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda i: F.get(ls, i)
-            ),
-            "\n",
+            F.transform(F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("_gone")), lambda i: F.get(ls, i)), "\n"
         ),
     )
     fresh = {
-        "n_lines": n_lines,
+        text_col: F.when(F.size("_gone") > 0, kept).otherwise(F.coalesce(text, F.lit(""))),
+        "n_lines": F.size(_lines(text)).cast("long"),
         "n_dropped": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-        text_col: F.when(F.size("_gone") > 0, kept).otherwise(F.coalesce(F.col(text_col), F.lit(""))),
     }
-    return joined.withColumns(fresh).drop("_row", "_gone", "_gone_row")
+    return joined.select(*unpacked(list(dict.fromkeys([*docs.columns, "n_lines", "n_dropped"])), **fresh))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,7 +111,8 @@ FROM flagged GROUP BY doc_id
 
 def dedup_documents(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Line dedup with the columns of ``docs`` (``n_chars`` kept in step)."""
-    out = dedup_lines(docs.select("doc_id", "text", *[c for c in docs.columns if c not in ("doc_id", "text")]), min_docs)
+    out = dedup_lines(packed(docs, "doc_id", "text"), min_docs)
+    fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        fresh["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*unpacked(docs.columns, **fresh))

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import groups_for, let, n_words, stored, table
+from .common import groups_for, let, n_words, packed, stored, table, unpacked
 
 BLOCK = 128
 SHARDS = 64
@@ -241,7 +241,7 @@ def op10_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mix_documents(docs: DataFrame) -> DataFrame:
     """The mixed corpus with the columns of ``docs``: one row per document and
     epoch that takes any of its words, holding those words with the white space before them."""
-    keyed = docs.withColumn("_key", F.struct(F.col("doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))))
+    keyed = packed(docs, "source", "text").withColumn("_key", F.struct(F.col("doc.doc_id"), F.xxhash64(F.coalesce("text", F.lit("")))))
     got = mix(keyed, F.col("_key"))
     spans = (
         got.takes.groupBy("key", "start", "epoch")
@@ -256,7 +256,8 @@ def mix_documents(docs: DataFrame) -> DataFrame:
         ),
     )
     # Rows equal in id and text share a key; each of their places in the stream has spans of its own.
-    out = keyed.dropDuplicates(["_key"]).join(spans, F.col("_key") == F.col("_taken_key")).withColumn("text", text)
+    out = keyed.dropDuplicates(["_key"]).join(spans, F.col("_key").eqNullSafe(F.col("_taken_key"))).withColumn("text", text)
+    fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        fresh["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*unpacked(docs.columns, **fresh))

@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import let, table, words_of
+from .common import let, packed, table, unpacked, words_of
 
 MAX_LABELLED = 20_000
 WINDOW = 8
@@ -228,7 +228,7 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def filter_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that are kept, with their own columns."""
-    return judge(docs, fit_rules(docs, labels)).filter("kept").select(*docs.columns)
+    return judge(packed(docs, "text"), fit_rules(docs, labels)).filter("kept").select(*unpacked(docs.columns))
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
