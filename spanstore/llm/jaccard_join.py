@@ -15,10 +15,10 @@ form one class and the join runs on classes.
 3. *Verification.* Surviving pairs are checked on the whole sets.
 
 No group emits all its pairs.  Groups up to ``SMALL`` emit what the tree leaves;
-larger ones first a star around the group's first member.  After the linked
-classes are joined into components, only pairs between different components
-are still open; the tree lists those and they are verified too, so no link
-between different components can be lost.  Groups are cut into tiles of
+larger ones first stars around central members.  After the linked classes are
+joined into components, only pairs between different components are still
+open; the tree lists those and they are verified too, so no link between
+different components can be lost.  Groups are cut into tiles of
 ``TILE`` members, and a hot centre is salted.
 
 Edge cases: null or blank texts have no set and link with nothing; texts with
@@ -35,16 +35,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import key_runs, maybe_among, packed, stored, table, unpacked
 from .components import components
 from .textgrams import mix64, set_id, shingle_set
 
-GROUPS = 64
+GROUPS = 128
 TILE = 4096
 SMALL = 12
 LEAF = 16
-HEAVY_DOCS = 8
-HEAVY_CHUNK = 1 << 21
+HEAVY_DOCS = 4
+HEAVY_CHUNK = 1 << 22
 MAX_HEAVY = 1 << 20
 SALT_ROWS = 512
 NUM, DEN = 80, 100  # Jaccard threshold as a fraction
@@ -61,7 +61,7 @@ def prefix_length(n: int) -> int:
 
 def count_vector(members: np.ndarray) -> np.ndarray:
     """Set members per hash group."""
-    return np.bincount((mix64(members) >> np.uint64(58)).astype(np.int64), minlength=GROUPS).astype("<u4")
+    return np.bincount((mix64(members) >> np.uint64(57)).astype(np.int64), minlength=GROUPS).astype("<u4")
 
 
 class RTree:
@@ -191,23 +191,6 @@ def _prefix_tokens(docs: DataFrame, heavy: np.ndarray) -> DataFrame:
     return docs.select("text").mapInArrow(run, "token long, cls long")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
-    """Batches of a partition sorted by ``key``, cut so that no key goes on in the next one."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys = batch[key].to_numpy(zero_copy_only=False)
-        cut = int(np.searchsorted(keys, keys[-1], "left"))
-        if cut:
-            held.append(batch.slice(0, cut))
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held = []
-        held.append(batch.slice(cut))
-    if held:
-        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _token_groups(tokens: DataFrame) -> DataFrame:
     """(g, tile, tiles, cls): classes that share a prefix token, equal lists once a partition.
 
@@ -217,7 +200,7 @@ def _token_groups(tokens: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[bytes] = set()
-        for batch in _runs(batches, "token"):
+        for batch in key_runs(batches, "token"):
             token, cls = (batch[c].to_numpy(zero_copy_only=False) for c in ("token", "cls"))
             new = np.ones(len(token), bool)
             new[1:] = (token[1:] != token[:-1]) | (cls[1:] != cls[:-1])
@@ -248,65 +231,97 @@ def _token_groups(tokens: DataFrame) -> DataFrame:
     )
 
 
+def _center(points: np.ndarray, rows: np.ndarray, node: np.ndarray) -> int:
+    """The row nearest to the mean point: in a family of copies, the one all others come from."""
+    far = np.abs(points[rows] - points[rows].mean(axis=0)).sum(axis=1)
+    return int(rows[np.lexsort((node[rows], far))[0]])
+
+
 def _survivors(groups: DataFrame, star: bool) -> DataFrame:
-    """(a, b) pairs of nodes that the tree leaves.  groups: (k, node, vec, label), node pairs by group k."""
+    """(a, b, score): pairs of nodes that the tree leaves, with their bound on the similarity.
+
+    groups: (k, node, vec, label), nodes to be paired by group k.  Equal labels
+    need no pair.  With ``star``, a group over ``SMALL`` gives two stars only:
+    around its centre, and around the centre of what has another label.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _runs(batches, "k"):
+        for batch in key_runs(batches, "k"):
             k = batch["k"].to_numpy(zero_copy_only=False)
             node, label = (batch[c].to_numpy(zero_copy_only=False) for c in ("node", "label"))
-            points = np.frombuffer(b"".join(batch["vec"].to_pylist()), "<u4").reshape(len(k), GROUPS)
+            points = np.frombuffer(b"".join(batch["vec"].to_pylist()), "<u4").reshape(len(k), GROUPS).astype(np.int64)
             starts = np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]]))
-            found = []
+            left, right = [], []
             for s, e in zip(starts.tolist(), np.append(starts[1:], len(k)).tolist()):
+                if (label[s:e] == label[s]).all():
+                    continue
                 if star and e - s > SMALL:
-                    first = s + int(mix64(node[s:e].view(np.uint64)).argmin())
-                    low = np.minimum(points[first], points[s:e]).sum(axis=1, dtype=np.int64)
-                    total = points[first].sum(dtype=np.int64) + points[s:e].sum(axis=1, dtype=np.int64)
-                    ok = (low >= needed(total)) & (label[s:e] != label[first])
-                    found += [(node[first], node[s + i]) for i in np.flatnonzero(ok)]
-                elif (label[s:e] != label[s]).any():
-                    tree = RTree(points[s:e], label[s:e])
-                    found += [(node[s + i], node[s + j]) for i, j in tree.pairs()]
-            if found:
-                pair = np.sort(np.asarray(found, np.int64), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["a", "b"])
-
-    return groups.repartition("k").sortWithinPartitions("k").mapInArrow(run, "a long, b long").distinct()
+                    rows = np.arange(s, e)
+                    first = _center(points, rows, node)
+                    others = rows[label[rows] != label[first]]
+                    for center in (first, _center(points, others, node)):
+                        mates = rows[label[rows] != label[center]]
+                        left += [center] * len(mates)
+                        right += mates.tolist()
+                else:
+                    for i, j in RTree(points[s:e], label[s:e]).pairs():
+                        left.append(s + i)
+                        right.append(s + j)
+            if left:
+                i, j = np.asarray(left), np.asarray(right)
+                low = np.minimum(points[i], points[j]).sum(axis=1)
+                total = points[i].sum(axis=1) + points[j].sum(axis=1)
+                ok = low >= needed(total)
+                i, j = i[ok], j[ok]
+                pair = np.sort(np.stack([node[i], node[j]], axis=1), axis=1)
+                score = low[ok] / np.maximum(total[ok] - low[ok], 1)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[:, 0]), pa.array(pair[:, 1]), pa.array(score)], ["a", "b", "score"])
+
+    pairs = groups.repartition("k").sortWithinPartitions("k").mapInArrow(run, "a long, b long, score double")
+    return pairs.groupBy("a", "b").agg(F.max("score").alias("score"))
 
 
 def _verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) of document ids whose whole sets link."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = docs.join(ids, F.col("doc_id") == F.col("id")).select("id", "text")
+    """The pairs (a, b) of document ids whose whole sets link.
+
+    Each text is read once, made a set and sent to the streams that need it: one
+    per centre a and salt, led by the centre's own set.
+    """
+    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
+    heads = salts.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(None).cast("long").alias("b"))
+    rest = pairs.join(salts, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int").alias("salt"), "b")
+    goals = stored(heads.unionByName(rest).groupBy("id").agg(F.collect_list(F.struct("a", "salt", "b")).alias("goals")))
+    texts = maybe_among(docs, "doc_id", goals.select("id")).join(goals, F.col("doc_id") == F.col("id")).select("text", "goals")
 
     def make_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t).tobytes() for t in batch["text"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["id"], pa.array(sets, pa.large_binary()).cast(pa.binary())], ["id", "members"])
+            for text, goals in zip(batch["text"].to_pylist(), batch["goals"].to_pylist()):
+                members = shingle_set(text).tobytes()
+                for at in range(0, len(goals), 64):
+                    part = goals[at : at + 64]
+                    columns = [pa.array([g[k] for g in part], t) for k, t in (("a", pa.int64()), ("salt", pa.int32()), ("b", pa.int64()))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array([members] * len(part), pa.binary())], ["a", "salt", "b", "members"])
 
-    # An id may stand in several rows of the input; the class's rows all have the same set.
-    sets = stored(texts.mapInArrow(make_sets, "id long, members binary").dropDuplicates(["id"]))
-    salts = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    salted = pairs.join(salts, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
-    heads = salts.select("a", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    lead = heads.join(sets, F.col("a") == F.col("id")).select("a", "salt", F.lit(None).cast("long").alias("b"), "members")
-    rest = salted.join(sets, F.col("b") == F.col("id")).select("a", "salt", "b", "members")
-    streams = lead.unionByName(rest).repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
+    streams = texts.mapInArrow(make_sets, "a long, salt int, b long, members binary")
+    streams = streams.repartition("a", "salt").sortWithinPartitions("a", "salt", F.col("b").asc_nulls_first())
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = np.zeros(0, np.uint64)
+        center, heads, done = None, [], False  # an id that stands in several rows leads with all its sets
         for batch in batches:
             a, b = [], []
             for x, y, members in zip(batch["a"].to_pylist(), batch["b"].to_pylist(), batch["members"].to_pylist()):
                 own = np.frombuffer(members, np.uint64)
                 if y is None:
-                    head = own
+                    heads = [*heads, own] if center == x and not done else [own]
+                    center, done = x, False
                     continue
-                both = len(np.intersect1d(head, own, assume_unique=True))
-                if DEN * both >= NUM * (len(head) + len(own) - both):
-                    a.append(x)
-                    b.append(y)
+                done = True
+                for head in heads:
+                    both = len(np.intersect1d(head, own, assume_unique=True))
+                    if DEN * both >= NUM * (len(head) + len(own) - both):
+                        a.append(x)
+                        b.append(y)
+                        break
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     return streams.mapInArrow(check, "a long, b long")
@@ -328,29 +343,45 @@ def link_documents(docs: DataFrame) -> DataFrame:
     )
     groups = stored(_token_groups(_prefix_tokens(docs, known)))
     points = stored(
-        groups.join(classes, "cls").select(
-            "g", "tile", "tiles", "node", "vec", F.col("node").alias("label"), F.xxhash64("g", "tile").alias("k")
-        )
+        groups.join(classes.select("cls", "node"), "cls").select("g", "tile", "tiles", "node", F.xxhash64("g", "tile").alias("k"))
     )
-    near = stored(_survivors(points.select("k", "node", "vec", "label"), star=True))
-    links = stored(_verified(near, docs))
+
+    def with_counts(rows: DataFrame) -> DataFrame:
+        """Count vectors come in last, so that only the rows a tree needs carry them."""
+        return rows.select("k", "node", "label").join(classes.select("node", "vec"), "node")
+
+    near = stored(_survivors(with_counts(points.withColumn("label", F.col("node"))), star=True))
+    # The likeliest pair of each document first: most families become one component by these.
+    tried = near.groupBy("b").agg(F.max_by("a", F.struct("score", -F.col("a"))).alias("a")).select("a", "b")
+    links = stored(_verified(tried, docs))
     found = components(links)
-    # What is open: members of one list in different components, over all pairs of its tiles.
-    labelled = (
-        points.withColumnRenamed("label", "own")
-        .join(found.select(F.col("node").alias("own"), "label"), "own", "left")
-        .withColumn("label", F.coalesce("label", "own"))
-    )
-    mixed = labelled.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
-    mixed = mixed.filter((F.col("lo") < F.col("hi")) & (F.col("n") > SMALL)).select("g")
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
-    open_groups = labelled.join(mixed, "g").withColumn("other", other).select(
-        F.xxhash64("g", F.least("tile", "other"), F.greatest("tile", "other")).alias("k"), "node", "vec", "label"
-    )
-    left = stored(_survivors(open_groups.dropDuplicates(["k", "node"]), star=False).join(near, ["a", "b"], "left_anti"))
-    if not left.isEmpty():
-        links = stored(links.unionByName(_verified(left, docs)))
-        found = components(links)
+
+    def cross(pairs: DataFrame) -> DataFrame:
+        """Pairs whose ends are in different components."""
+        one, two = (found.select(F.col("node").alias(c), F.col("label").alias(f"l{c}")) for c in ("a", "b"))
+        both = pairs.join(one, "a", "left").join(two, "b", "left")
+        return both.filter(F.coalesce("la", "a") != F.coalesce("lb", "b")).select("a", "b")
+
+    def open_groups() -> DataFrame:
+        """Members of long lists that hold more than one component, over all pairs of their tiles."""
+        labelled = points.join(found.select("node", "label"), "node", "left").withColumn("label", F.coalesce("label", "node"))
+        mixed = labelled.groupBy("g").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"))
+        mixed = mixed.filter((F.col("lo") < F.col("hi")) & (F.col("n") > SMALL)).select("g")
+        other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1))
+        rows = labelled.join(mixed, "g").withColumn("other", other).select(
+            F.xxhash64("g", F.least("tile", "other"), F.greatest("tile", "other")).alias("k"), "node", "label"
+        )
+        return with_counts(rows.dropDuplicates(["k", "node"]))
+
+    # Then what is left of the stars and of short lists, and new stars; last, every pair still open.
+    for star in (True, False):
+        more = _survivors(open_groups(), star=star).select("a", "b")
+        more = more.unionByName(cross(near)).distinct() if star else more
+        more = stored(more.join(tried, ["a", "b"], "left_anti"))
+        if not more.isEmpty():
+            links = stored(links.unionByName(_verified(more, docs)))
+            found = components(links)
+            tried = tried.unionByName(more)
     named = classes.select("cls", "node").join(found, "node", "left").select("cls", F.coalesce("label", "node").alias("component"))
     return per_doc.join(named, "cls", "left").select(
         "doc_id", F.col("n").alias("n_shingles"), F.coalesce("component", "doc_id").alias("component_id")
@@ -364,8 +395,8 @@ def dedup_near(docs: DataFrame) -> DataFrame:
     """
     linked = link_documents(docs)
     stay = linked.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").cast("long") == F.col("_id"))
-    return kept.dropDuplicates(["doc_id"]).select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    kept = packed(docs).join(stay, F.col("doc").getField("doc_id").cast("long") == F.col("_id")).dropDuplicates(["_id"])
+    return kept.select(*unpacked(docs.columns)).unionByName(docs.filter("doc_id is null"))
 
 
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
