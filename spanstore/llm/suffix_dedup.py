@@ -21,8 +21,9 @@ the gram of the next one; its name is a letter of the text to be sorted.
 4. Adjacent suffixes of each list are compared; a shared prefix of L >= WINDOW
    bytes settles the windows that start in its first L - WINDOW + 1 bytes.
 5. Suffixes that start inside a phrase and are still open are merged by
-   fingerprints, first of a coarse string inside their window, then of the whole
-   window: sorted, equal neighbours repeat.
+   fingerprints: of a coarse string that neighbouring windows share, of all these
+   windows together, and only where the two disagree of each window; sorted,
+   equal neighbours repeat.
 
 Every step is a shuffle of narrow rows; a text moves only if it has
 open windows or bytes to lose.  Names are 64-bit and window fingerprints 96-bit.
@@ -48,7 +49,7 @@ from .textgrams import Powers, mix64
 
 WINDOW = 200
 GRAM = 32
-COARSE = 16
+COARSE = 24
 DEPTH = 3  # phrases a list row carries for the comparison with its neighbours
 
 _POWERS = (Powers(), Powers(0xD1B54A32D192ED03))
@@ -327,12 +328,28 @@ def _to_fingerprint(open_: DataFrame) -> DataFrame:
     return open_.repartition("g").sortWithinPartitions("g", "block", "row", "x").mapInArrow(run, _schema("row x first last"))
 
 
+def _windows_of(spans: list, n: int, step: int) -> tuple[np.ndarray, ...]:
+    """(x, first, last, a, b): the windows of spans in a text of n bytes, by the largest string x-a..x+b that
+    they share with ends at multiples of ``step`` from their anchor; all windows with that string, in or out of the span."""
+    x, first, last = (np.asarray([s[k] for s in spans], np.int64) for k in ("x", "first", "last"))
+    many = last - first + 1
+    p = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+    x = np.repeat(x, many)
+    a, b = (x - p) // step * step, (WINDOW - x + p) // step * step
+    keep = np.unique(np.stack([x, a, b]), axis=1)
+    x, a, b = keep
+    # Distances d of a window from its anchor with d // step and (WINDOW - d) // step as given.
+    near, far = np.maximum(a, WINDOW - b - step + 1), np.minimum(a + step - 1, WINDOW - b)
+    return x, np.maximum(x - far, 0), np.minimum(x - near, n - WINDOW), a, b
+
+
 def _standing_twice(docs: DataFrame, spans: DataFrame, step: int) -> DataFrame:
-    """(row, x, first, last): windows of ``spans`` that may (step 1: do) stand in two places.
+    """(row, x, first, last, known): windows of ``spans`` (row, x, first, last) that may stand in two places.
 
-    Compared is the largest string in a window whose ends are multiples of
-    ``step`` away from the anchor x; a coarse step needs few rows and leaves few
-    windows to the exact one.
+    Rows meet by the string their windows share.  known = 1: all of the row's
+    windows together stand in two places, so each of them repeats; with step 1
+    every row that comes out is known.  known = 0: to be decided by a finer step,
+    as are single representatives of known rows that share the string.
     """
     asked = stored(spans.groupBy("row").agg(F.collect_list(F.struct("x", "first", "last")).alias("spans")).withColumnRenamed("row", "_row"))
     texts = maybe_among(docs, "row", asked.select("_row")).join(asked, F.col("row") == F.col("_row")).select("row", "text", "spans")
@@ -341,27 +358,29 @@ def _standing_twice(docs: DataFrame, spans: DataFrame, step: int) -> DataFrame:
         for batch in batches:
             for row, text, spans in zip(batch["row"].to_pylist(), batch["text"].to_pylist(), batch["spans"].to_pylist()):
                 raw = _raw(text)
-                x, first, last = (np.asarray([s[k] for s in spans], np.int64) for k in ("x", "first", "last"))
-                many = last - first + 1
-                p = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
-                x = np.repeat(x, many)
-                a, b = (x - p) // step, (WINDOW - x + p) // step
-                cut = run_starts(x, a, b)  # the windows of one string stand together
-                x, a, b, p0, p1 = x[cut[:-1]], a[cut[:-1]], b[cut[:-1]], p[cut[:-1]], p[cut[1:] - 1]
-                h, k = (Prints(raw, which).of(x - a * step, x + b * step) ^ mix64(a.astype(np.uint64)) for which in (0, 1))
-                yield _batch(h=h, k=k >> np.uint64(32), row=np.full(len(x), row), x=x, first=p0, last=p1)
+                x, first, last, a, b = _windows_of(spans, len(raw), step)
+                one, two = (Prints(raw, which) for which in (0, 1))
+                h, k = (f.of(x - a, x + b) ^ mix64(a.astype(np.uint64)) for f in (one, two))
+                whole = two.of(first, last + WINDOW) ^ mix64((x - first).astype(np.uint64))
+                yield _batch(h=h, k=k >> np.uint64(32), whole=whole, row=np.full(len(x), row), x=x, first=first, last=last)
 
     def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in key_runs(batches, "h"):
-            h, k, row, x, first, last = _longs(batch, "h", "k", "row", "x", "first", "last")
-            starts = run_starts(h, k)
-            sizes = np.diff(starts)
-            twice = np.repeat(sizes > 1, sizes)
-            if twice.any():
-                yield _batch(row=row[twice], x=x[twice], first=first[twice], last=last[twice])
-
-    hashed = texts.mapInArrow(prints, _schema("h k row x first last"))
-    return hashed.repartition("h").sortWithinPartitions("h", "k").mapInArrow(equal, _schema("row x first last"))
+            h, k, whole, row, x, first, last = _longs(batch, "h", "k", "whole", "row", "x", "first", "last")
+            starts, parts = run_starts(h, k), run_starts(h, k, whole)
+            many = np.repeat(np.diff(starts), np.diff(starts))
+            known = np.repeat(np.diff(parts) > 1, np.diff(parts))
+            lead = np.zeros(len(h), bool)
+            lead[parts[:-1]] = True
+            unsure = np.repeat(np.logical_or.reduceat(~known, starts[:-1]), np.diff(starts))
+            again = (many > 1) & unsure & (~known | lead)
+            out = [np.concatenate([v[known], v[again]]) for v in (row, x, first, last)]
+            if len(out[0]):
+                flag = np.repeat([1, 0], [int(known.sum()), int(again.sum())])
+                yield _batch(row=out[0], x=out[1], first=out[2], last=out[3], known=flag)
+
+    hashed = texts.mapInArrow(prints, _schema("h k whole row x first last"))
+    return hashed.repartition("h").sortWithinPartitions("h", "k", "whole").mapInArrow(equal, _schema("row x first last known"))
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
@@ -375,7 +394,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     reaches = stored(_compared(_by_row(ranked, _lists, LISTED), partitions))
     reached = letters.join(reaches, ["row", "i"], "left").withColumn("reach", F.coalesce("reach", F.lit(0)))
     spans = stored(_to_fingerprint(_by_row(reached, _open_windows, OPEN)))
-    merged = _standing_twice(docs, stored(_standing_twice(docs, spans, COARSE)), 1)
+    coarse = stored(_standing_twice(docs, spans, COARSE))
+    fine = _standing_twice(docs, coarse.filter("known = 0"), 1)
+    merged = coarse.filter("known = 1").unionByName(fine.filter("known = 1"))
     found = letters.join(reaches, ["row", "i"]).select("row", F.col("x").alias("start"), (F.col("x") + F.col("reach")).alias("end"))
     found = found.unionByName(merged.select("row", F.col("first").alias("start"), (F.col("last") + WINDOW).alias("end")))
     return stored(found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")))
