@@ -328,16 +328,23 @@ def _to_fingerprint(open_: DataFrame) -> DataFrame:
     return open_.repartition("g").sortWithinPartitions("g", "block", "row", "x").mapInArrow(run, _schema("row x first last"))
 
 
-def _windows_of(spans: list, n: int, step: int) -> tuple[np.ndarray, ...]:
+def _listed(column: pa.ListArray, *names: str) -> Iterator[list[np.ndarray]]:
+    """The fields of a list<struct> column, one list of arrays a row, without Python objects."""
+    at = column.offsets.to_numpy() - column.offsets[0].as_py()
+    fields = [column.flatten().field(n).to_numpy(zero_copy_only=False) for n in names]
+    for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
+        yield [f[s:e] for f in fields]
+
+
+def _windows_of(x: np.ndarray, first: np.ndarray, last: np.ndarray, n: int, step: int) -> tuple[np.ndarray, ...]:
     """(x, first, last, a, b): the windows of spans in a text of n bytes, by the largest string x-a..x+b that
     they share with ends at multiples of ``step`` from their anchor; all windows with that string, in or out of the span."""
-    x, first, last = (np.asarray([s[k] for s in spans], np.int64) for k in ("x", "first", "last"))
     many = last - first + 1
     p = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
     x = np.repeat(x, many)
     a, b = (x - p) // step * step, (WINDOW - x + p) // step * step
-    keep = np.unique(np.stack([x, a, b]), axis=1)
-    x, a, b = keep
+    keep = np.unique(x << 16 | a << 8 | b)  # a and b are at most WINDOW, below 256
+    x, a, b = keep >> 16, keep >> 8 & 255, keep & 255
     # Distances d of a window from its anchor with d // step and (WINDOW - d) // step as given.
     near, far = np.maximum(a, WINDOW - b - step + 1), np.minimum(a + step - 1, WINDOW - b)
     return x, np.maximum(x - far, 0), np.minimum(x - near, n - WINDOW), a, b
@@ -356,9 +363,9 @@ def _standing_twice(docs: DataFrame, spans: DataFrame, step: int) -> DataFrame:
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, text, spans in zip(batch["row"].to_pylist(), batch["text"].to_pylist(), batch["spans"].to_pylist()):
+            for row, text, spans in zip(batch["row"].to_pylist(), batch["text"].to_pylist(), _listed(batch["spans"], "x", "first", "last")):
                 raw = _raw(text)
-                x, first, last, a, b = _windows_of(spans, len(raw), step)
+                x, first, last, a, b = _windows_of(*spans, len(raw), step)
                 one, two = (Prints(raw, which) for which in (0, 1))
                 h, k = (f.of(x - a, x + b) ^ mix64(a.astype(np.uint64)) for f in (one, two))
                 whole = two.of(first, last + WINDOW) ^ mix64((x - first).astype(np.uint64))
@@ -417,13 +424,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             runs, kept = [], []
-            for text, spans in zip(batch["text"].to_pylist(), batch["spans"].to_pylist()):
+            for text, (start, end) in zip(batch["text"].to_pylist(), _listed(batch["spans"], "start", "end")):
                 raw = _raw(text)
-                gone = np.zeros(len(raw) + 1, np.int64)
-                for s in spans:
-                    gone[s["start"]] += 1
-                    gone[s["end"]] -= 1
-                gone = np.cumsum(gone)[:-1] > 0
+                size = len(raw) + 1
+                gone = np.cumsum(np.bincount(start, minlength=size) - np.bincount(end, minlength=size))[:-1] > 0
                 edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.astype(np.int8), [0]])))
                 runs.append([{"start": int(a), "end": int(b)} for a, b in zip(edge[::2], edge[1::2])])
                 kept.append(raw[~gone].tobytes())
