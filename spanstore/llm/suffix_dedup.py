@@ -20,7 +20,8 @@ the gram of the next one; its name is a letter of the text to be sorted.
    through sorted lists of (letter, rank of i+1) and (letter, letter, rank of i+2).
 4. Adjacent suffixes of each list are compared; a shared prefix of L >= WINDOW
    bytes settles the windows that start in its first L - WINDOW + 1 bytes.
-5. Suffixes that start inside a phrase and are still open are merged by
+5. Suffixes that start inside a phrase and are still open repeat if their anchor's
+   windows all stand together at another one too.  The rest is merged by
    fingerprints: of a coarse string that neighbouring windows share, of all these
    windows together, and only where the two disagree of each window; sorted,
    equal neighbours repeat.
@@ -301,31 +302,35 @@ def _open_windows(batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _to_fingerprint(open_: DataFrame) -> DataFrame:
-    """(row, x, first, last): windows to fingerprint.
+    """(row, x, first, last, known): open windows that are known to repeat (1) and windows to fingerprint (0).
 
-    In a group of letters with one gram: all open windows, and for every distinct
-    surrounding one place that shows all distances which are open somewhere.
+    In a group of letters with one gram, a surrounding that stands in two letters
+    proves that all its windows repeat.  For the other open windows, every distinct
+    surrounding has one place that shows all distances which are open somewhere.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in key_runs(batches, "g"):
             g, row, x, lo, hi, block, first, last = _longs(batch, "g", "row", "x", "lo", "hi", "block", "first", "last")
             starts = run_starts(g)
-            sizes, is_open = np.diff(starts), first >= 0
-            far = np.where(is_open, x - first, -(1 << 40))
-            near = np.where(is_open, x - last, 1 << 40)
+            blocks = run_starts(g, block)
+            sizes, known = np.diff(starts), (first >= 0) & np.repeat(np.diff(blocks) > 1, np.diff(blocks))
+            asked = (first >= 0) & ~known
+            far = np.where(asked, x - first, -(1 << 40))
+            near = np.where(asked, x - last, 1 << 40)
             far = np.repeat(np.maximum.reduceat(far, starts[:-1]), sizes)
             near = np.repeat(np.minimum.reduceat(near, starts[:-1]), sizes)
-            # Sorted by block too: the first of equal blocks stands for all.
+            # Sorted by block too: the first of equal blocks stands for all; an asked one is the only one of its block.
             lead = np.zeros(len(g), bool)
-            lead[run_starts(g, block)[:-1]] = True
-            a = np.where(lead, np.maximum(lo, x - far), first)
-            b = np.where(lead, np.minimum(hi, x - near), last)
-            take = (is_open | lead) & (far >= near) & (a <= b)
-            if take.any():
-                yield _batch(row=row[take], x=x[take], first=a[take], last=b[take])
+            lead[blocks[:-1]] = True
+            a, b = np.maximum(lo, x - far), np.minimum(hi, x - near)
+            take = lead & (far >= near) & (a <= b)
+            out = [np.concatenate([v[known], w[take]]) for v, w in ((row, row), (x, x), (first, a), (last, b))]
+            if len(out[0]):
+                flag = np.repeat([1, 0], [int(known.sum()), int(take.sum())])
+                yield _batch(row=out[0], x=out[1], first=out[2], last=out[3], known=flag)
 
-    return open_.repartition("g").sortWithinPartitions("g", "block", "row", "x").mapInArrow(run, _schema("row x first last"))
+    return open_.repartition("g").sortWithinPartitions("g", "block", "row", "x").mapInArrow(run, _schema("row x first last known"))
 
 
 def _listed(column: pa.ListArray, *names: str) -> Iterator[list[np.ndarray]]:
@@ -401,9 +406,9 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     reaches = stored(_compared(_by_row(ranked, _lists, LISTED), partitions))
     reached = letters.join(reaches, ["row", "i"], "left").withColumn("reach", F.coalesce("reach", F.lit(0)))
     spans = stored(_to_fingerprint(_by_row(reached, _open_windows, OPEN)))
-    coarse = stored(_standing_twice(docs, spans, COARSE))
+    coarse = stored(_standing_twice(docs, spans.filter("known = 0"), COARSE))
     fine = _standing_twice(docs, coarse.filter("known = 0"), 1)
-    merged = coarse.filter("known = 1").unionByName(fine.filter("known = 1"))
+    merged = spans.unionByName(coarse).unionByName(fine).filter("known = 1")
     found = letters.join(reaches, ["row", "i"]).select("row", F.col("x").alias("start"), (F.col("x") + F.col("reach")).alias("end"))
     found = found.unionByName(merged.select("row", F.col("first").alias("start"), (F.col("last") + WINDOW).alias("end")))
     return stored(found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")))

@@ -302,3 +302,22 @@ def digest(docs):
     rows, changed = suffix_dedup.remove_repeats(docs)
     c = changed.select("row", F.aggregate("runs", F.lit(0).cast("long"), lambda a, r: a + r["end"] - r["start"]).alias("n"), F.size("runs").alias("k"), F.sha2("kept", 256).alias("h"))
     return rows.join(c, "row", "left").select("id", F.coalesce("n", F.lit(0)), F.coalesce("k", F.lit(0)), F.coalesce("h", F.sha2("text", 256)))
+
+
+def test_suffix_dedup_keeps_no_repeat_whose_block_is_settled_elsewhere(spark):
+    """Families B, C, A that share all from s on, where B and C also agree left of s and an anchor enters at s."""
+    r = random.Random(11)
+    text = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz ", k=n))
+    rows = []
+    while len(rows) < 90:
+        shared = text(2000)
+        x, lo, _, _ = suffix_dedup.anchors(np.frombuffer(shared.encode(), np.uint8))
+        s = next((int(b) for a, b in zip(x, lo) if b > 600 and a == b + suffix_dedup.WINDOW - suffix_dedup.GRAM), None)
+        if s is not None:
+            edited = text(300) + ("#" if shared[s - 1] != "#" else "%") + shared[s:]
+            rows += [(len(rows) + k, t) for k, t in enumerate((text(100) + shared, text(100) + shared, edited))]
+    got = {x[0]: x[1] for x in digest(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    windows = collections.Counter(t[p : p + 200] for _, t in rows for p in range(len(t) - 199))
+    for i, t in rows:
+        gone = {q for p in range(len(t) - 199) if windows[t[p : p + 200]] > 1 for q in range(p, p + 200)}
+        assert got[i] == len(gone)
