@@ -7,7 +7,8 @@ templates, ``hidden`` and ``display:none`` / ``visibility:hidden`` elements,
 closed dialogs, hidden inputs.  The renderer walks the tree: inline text is collapsed, blocks start
 lines (paragraph-like ones leave a blank line between), list items carry bullets
 or numbers and indentation, ``pre`` keeps its white space, and table cells are
-padded into aligned columns.
+padded into aligned columns; what stands in a table outside of its cells goes
+before the table, as a browser's foster parenting has it.
 
 Edge cases: null html gives null text; a page without visible text gives the
 empty string; unclosed and misnested tags are closed where a new block or the
@@ -35,6 +36,7 @@ SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fie
 BLOCK = SPACED | frozenset(
     "html body address article aside details dialog div dd dt figcaption footer form header hgroup legend li main menu nav section summary search tr caption center optgroup option".split()
 )
+PARTS = frozenset("thead tbody tfoot tr td th".split())
 # A start tag closes the open elements on the left, up to a boundary on the right.
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -143,28 +145,57 @@ class Lines:
         self.done.append(line)
 
 
+def _has_parts(node: Node) -> bool:
+    """Whether rows or cells of the table around ``node`` stand below it."""
+    return any(isinstance(k, Node) and k.tag != "table" and (k.tag in PARTS or _has_parts(k)) for k in node.kids)
+
+
 def _grid(table_: Node) -> list[str]:
-    """Rows of a table with cells padded to their columns."""
+    """Rows of a table with cells padded to their columns, after whatever stands in it outside of cells."""
     rows: list[list[str]] = []
+    before: list[str] = []
     head: list[str] = []
+    loose = Node("div")
+    in_row = False
+
+    def flush() -> None:
+        before.extend(render(loose))
+        loose.kids = []
 
-    def collect(node: Node) -> None:
+    def collect(node: Node, shown: bool) -> None:
+        nonlocal in_row
         for kid in node.kids:
-            if isinstance(kid, str) or not kid.visible():
+            if isinstance(kid, str):
+                if shown:
+                    loose.kids.append(kid)
+            elif kid.tag not in PARTS and kid.tag not in UNSEEN and kid.tag not in ("table", "caption") and (kid.tag == "form" or _has_parts(kid)):
+                # A browser takes it out of the table (a form is left empty), so it cannot hide the cells.
+                collect(kid, kid.tag == "form" or (shown and kid.visible()))
+            elif not kid.visible():
                 continue
-            if kid.tag == "tr":
-                row = []
-                for c in kid.kids:
-                    if isinstance(c, Node) and c.tag in ("td", "th") and c.visible():
-                        span = c.attributes().get("colspan", "1")
-                        row += [" ".join(x for x in render(c) if x)] + [""] * (min(int(span), 100) - 1 if span.isdigit() and int(span) else 0)
-                rows.append(row)
-            elif kid.tag in ("thead", "tbody", "tfoot"):
-                collect(kid)
-            else:
+            elif kid.tag in ("td", "th"):
+                flush()
+                if not in_row:
+                    rows.append([])
+                    in_row = True
+                span = kid.attributes().get("colspan", "1")
+                rows[-1] += [" ".join(x for x in render(kid) if x)] + [""] * (min(int(span), 100) - 1 if span.isdigit() and int(span) else 0)
+            elif kid.tag in PARTS:
+                flush()
+                in_row = kid.tag == "tr"
+                if in_row:
+                    rows.append([])
+                collect(kid, True)
+                flush()
+                in_row = False
+            elif kid.tag == "caption":
+                flush()
                 head.extend(render(kid))
+            elif shown:
+                loose.kids.append(kid)
 
-    collect(table_)
+    collect(table_, True)
+    flush()
     widths: list[int] = []
     for row in rows:
         for i, cell in enumerate(row):
@@ -172,7 +203,7 @@ def _grid(table_: Node) -> list[str]:
                 widths.append(0)
             widths[i] = max(widths[i], len(cell))
     lines = ["  ".join(c.ljust(w) for c, w in zip(row, widths)).rstrip() for row in rows]
-    return [x for x in [*head, *lines] if x]
+    return [x for x in [*before, *head, *lines] if x]
 
 
 def render(node: Node, depth: int = 0) -> list[str]:

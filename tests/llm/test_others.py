@@ -117,3 +117,22 @@ def test_pipeline(spark, data):
             assert seen.columns == columns
     assert {tuple(r) for r in corpus_pipeline.run(spark, data).collect()} == {tuple(r) for r in seen.collect()}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_jaccard_join", "mixing", "packing"]
+
+
+ODD_TABLES = [
+    ("<table><tr><form><td>a</td><td>b</td></form></tr></table>", "a  b"),
+    ("<table><tr>text<td>a</table>", "text\na"),
+    ("<table><tr><p>text</p><td>a</td></tr></table>", "text\na"),
+    ("<table>text<tr><td>a</td></tr>tail</table>", "text\ntail\na"),
+    ("<table><tbody>one <b>two</b><tr><td>a</table>", "one two\na"),
+    ("<table><caption>c</caption><form><tr><td>a<td>b</tr></form><tr><td>d</table>", "c\na  b\nd"),
+    ("<table><td>a<td>b</table>", "a  b"),
+    ("<table><tr><div><p>x<td>a<td><table><tr>in<td>n</table></div></table>", "x\na  in n"),
+    ("<table><tr><form hidden><td>a</form><td>b</table>", "a  b"),
+    ("<table><tr><div hidden>no<td>a</table><table><tr hidden><td>no</table>", "a"),
+]
+
+
+@pytest.mark.parametrize("page, text", ODD_TABLES)
+def test_tables_lose_no_text(page, text):
+    assert html_text.page_text(page) == text
