@@ -4,7 +4,10 @@ One regular expression cuts the page into tags, comments and text.  A builder
 closes what the next tag implies (paragraphs, list items, table parts, options),
 ignores stray end tags, and drops what a browser does not show: scripts, styles,
 templates, ``hidden`` and ``display:none`` / ``visibility:hidden`` elements,
-closed dialogs, hidden inputs.  The renderer walks the tree: inline text is collapsed, blocks start
+closed dialogs, hidden inputs, datalists, and what browsers with scripts, frames and
+media show other content for (noscript, noembed, noframes, iframe, canvas, audio, video).
+In drawings and formulas descriptions, definitions and annotations are dropped.  Of a
+select the chosen option is shown, of a list box all; an object shows its fallback.  The renderer walks the tree: inline text is collapsed, blocks start
 lines (paragraph-like ones leave a blank line between), list items carry bullets
 or numbers and indentation, ``pre`` keeps its white space, and table cells are
 padded into aligned columns; what stands in a table outside of its cells goes
@@ -29,9 +32,11 @@ from pyspark.sql import functions as F
 from .common import table
 
 # Element groups of the HTML standard.
-VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
-UNSEEN = frozenset("head script style template title noscript iframe noembed noframes object svg math canvas audio video datalist select textarea map".split())
+UNSEEN = frozenset("head script style template title noscript iframe noembed noframes canvas audio video datalist".split())
+# Dropped inside svg and math only.
+UNDRAWN = frozenset("title desc metadata defs symbol clippath mask marker pattern lineargradient radialgradient filter annotation annotation-xml".split())
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fieldset hr".split())
 BLOCK = SPACED | frozenset(
     "html body address article aside details dialog div dd dt figcaption footer form header hgroup legend li main menu nav section summary search tr caption center optgroup option".split()
@@ -42,13 +47,16 @@ IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
     "tr": ({"tr", "td", "th", "caption", "colgroup"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}),
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}), "option": ({"option"}, {"select", "datalist"}),
-    "body": ({"head"}, {"html"}),
+    "optgroup": ({"option", "optgroup"}, {"select", "datalist"}), "body": ({"head"}, {"html"}),
 }
 IMPLIED["thead"] = IMPLIED["tfoot"] = IMPLIED["tbody"]
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
-ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
+# A quote delimits a value only after "="; anywhere else in a tag it is a character as any other.
+VALUE = r"\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+"
+PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE})?+)?+)*+)>|([^<]+|<)", re.S)
+ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({VALUE})?+)?+")
 GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
 SPACE = re.compile(r"[ \t\n\f\r]+")
+DRAWS = re.compile("<(?:svg|math)", re.I)
 MAX_DEPTH = 200
 
 
@@ -59,7 +67,7 @@ class Node:
         self.tag, self.attrs, self.kids = tag, attrs, []
 
     def attributes(self) -> dict[str, str]:
-        return {k.lower(): unescape(v.strip("\"'")) for k, v in ATTRIBUTE.findall(self.attrs)} if self.attrs else {}
+        return {k.lower(): unescape(v[1:-1] if v[:1] in ("'", '"') else v) for k, v in ATTRIBUTE.findall(self.attrs)} if self.attrs else {}
 
     def visible(self) -> bool:
         if self.tag in UNSEEN:
@@ -86,6 +94,11 @@ def build(page: str) -> Node:
                 close(tags, fence)
                 return
 
+    def drawn() -> bool:
+        """Whether the innermost of the elements that switch the rules is a drawing or a formula."""
+        return next((n.tag in ("svg", "math") for n in reversed(open_) if n.tag in ("svg", "math", "foreignobject")), False)
+
+    draws = DRAWS.search(page) is not None
     at = 0
     while m := PIECE.match(page, at):
         at = m.end()
@@ -93,7 +106,10 @@ def build(page: str) -> Node:
         if text is not None:
             open_[-1].kids.append(unescape(text))
         elif tag is None:
-            continue
+            if draws and page.startswith("<![CDATA[", m.start()) and drawn():
+                stop = page.find("]]>", m.start())
+                at = stop + 3 if stop >= 0 else len(page)
+                open_[-1].kids.append(page[m.start() + 9 : stop if stop >= 0 else len(page)])
         elif end:
             tag = tag.lower()
             for i in range(len(open_) - 1, 0, -1):
@@ -107,17 +123,25 @@ def build(page: str) -> Node:
             if tag == "html":
                 root.attrs = attrs
                 continue
-            if tag in BLOCK or tag == "body":
-                close({"p", "head"} if tag != "head" else {"p"}, {"table", "td", "th", "li", "blockquote", "div"})
+            if (tag in BLOCK and tag not in ("option", "optgroup")) or tag == "body":
+                close({"p", "head"} if tag != "head" else {"p"}, {"table", "td", "th", "li", "blockquote", "div", "object", "foreignobject"})
             elif open_[-1].tag == "head" and tag not in ("meta", "link", "base") and tag not in UNSEEN:
                 open_.pop()
             if tag in IMPLIED:
                 close(*IMPLIED[tag])
             node = Node(tag, attrs.strip().rstrip("/"))
+            foreign = draws and drawn()
+            if foreign and tag in UNDRAWN:
+                node.attrs = "hidden"
+            elif foreign and tag == "text":
+                open_[-1].kids.append(" ")
             open_[-1].kids.append(node)
+            if (foreign or tag in ("svg", "math")) and attrs.endswith("/"):
+                continue
             if tag in RAW:
                 stop = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-                node.kids.append(page[at : stop.start() if stop else len(page)])
+                inside = page[at : stop.start() if stop else len(page)]
+                node.kids.append(unescape(inside.removeprefix("\n")) if tag == "textarea" else inside)
                 at = stop.end() if stop else len(page)
             elif tag not in VOID and len(open_) < MAX_DEPTH:
                 open_.append(node)
@@ -206,6 +230,28 @@ def _grid(table_: Node) -> list[str]:
     return [x for x in [*before, *head, *lines] if x]
 
 
+def _options(select: Node) -> list[str]:
+    """What a select shows: the chosen option, the first one that can be if none is, or all of a list box."""
+    found: list[tuple[Node, bool]] = []
+
+    def collect(node: Node, off: bool) -> None:
+        for kid in node.kids:
+            if isinstance(kid, Node) and kid.tag == "option":
+                found.append((kid, off or "disabled" in kid.attributes()))
+            elif isinstance(kid, Node) and kid.tag not in UNSEEN:
+                collect(kid, off or (kid.tag == "optgroup" and "disabled" in kid.attributes()))
+
+    def label(option: Node) -> str:
+        return option.attributes().get("label") or " ".join(x for x in render(option) if x)
+
+    collect(select, False)
+    a = select.attributes()
+    if "multiple" in a or (a.get("size", "").isdigit() and int(a["size"]) > 1):
+        return [label(o) for o, _ in found if o.visible()]
+    chosen = [o for o, _ in found if "selected" in o.attributes()][-1:] or [o for o, off in found if not off][:1]
+    return [label(o) for o in chosen]
+
+
 def render(node: Node, depth: int = 0) -> list[str]:
     """Lines of the visible text below ``node``."""
     out = Lines()
@@ -238,6 +284,12 @@ def render(node: Node, depth: int = 0) -> list[str]:
             elif tag == "input":
                 a = kid.attributes()
                 out.now.append("" if a.get("type", "").lower() in ("hidden", "checkbox", "radio", "password", "file", "image") else f" {a.get('value', '')} ")
+            elif tag == "select":
+                out.now.append(f" {' '.join(_options(kid))} ")
+            elif tag in ("textarea", "svg"):
+                out.now.append(" ")
+                walk(kid, tag == "textarea")
+                out.now.append(" ")
             elif tag == "q":
                 out.now.append('"')
                 walk(kid, pre)

@@ -136,3 +136,25 @@ ODD_TABLES = [
 @pytest.mark.parametrize("page, text", ODD_TABLES)
 def test_tables_lose_no_text(page, text):
     assert html_text.page_text(page) == text
+
+
+SHOWN = [
+    ("<p>Pick <select><option>a<option selected>b<option>c</select> now</p>", "Pick b now"),
+    ("<select><optgroup disabled><option>a</optgroup><option disabled>b<option>c</select>", "c"),
+    ("<select multiple><option>a<option>b</select>", "a b"),
+    ("x<textarea>\ny &lt; <b></textarea>z", "x y < <b> z"),
+    ("<svg><title>no</title><desc/><g/><text>a <tspan>b</tspan></text><text>c</text><text><![CDATA[1>2]]></text></svg>d", "a b c 1>2 d"),
+    ("<math><mi>x</mi><annotation>no</annotation></math>", "x"),
+    ("<p>a<object data=x><param name=y><p>fall</p>back</object>", "a\n\nfall\n\nback"),
+    ("<map name=m><area href=x>in map</map>", "in map"),
+    ("<noscript>no</noscript><video>no</video><datalist><option>no</datalist>yes", "yes"),
+    ('<a href="x"">text</a> <b title="y">more</b>', "text more"),
+    ("<p title=it's>text</p><p>it's > here</p>", "text\n\nit's > here"),
+    ("<a title = 'a > b' x='>'>text</a>", "text"),
+    ("<input value=\"'q'\">", "'q'"),
+]
+
+
+@pytest.mark.parametrize("page, text", SHOWN)
+def test_what_browsers_show_is_kept(page, text):
+    assert html_text.page_text(page) == text
