@@ -6,8 +6,9 @@ document is reassembled from the positions that stay.  Line texts are never
 shuffled, only their hashes; documents move once, to meet their positions.
 
 Edge cases: a null or empty text is one empty line; an empty key is never
-counted; each input row counts as one document, so a repeated row adds one; a
-document that loses all its lines keeps the empty string.  An empty table gives
+counted; the queries count distinct ids, as their SQL does, so a repeated row
+adds nothing and a null id is not counted (the general operator counts rows unless
+told otherwise); a document that loses all its lines keeps the empty string.  An empty table gives
 an empty result; extra columns pass through the general operator unharmed.
 """
 
@@ -31,8 +32,11 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def dropped_positions(rows: DataFrame, min_docs: int) -> DataFrame:
-    """(_row, _gone): positions of the lines each row loses.  rows: (_row, _text)."""
+def dropped_positions(rows: DataFrame, min_docs: int, distinct: bool = False) -> DataFrame:
+    """(_row, _gone): positions of the lines each row loses.  rows: (_row, _text).
+
+    distinct: a key's documents are the distinct ids (``_row.id``) that hold it, not the rows.
+    """
     hashed = stored(
         rows.select(
             "_row",
@@ -58,18 +62,24 @@ def dropped_positions(rows: DataFrame, min_docs: int) -> DataFrame:
         .select("key")
     )
     lines = hashed.select("_row", F.inline("_hashed"))
-    return lines.join(common, "key").groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
+    hits = lines.join(common, "key")
+    if distinct:
+        # No key has more ids than rows, so only the lines found so far need to be counted by id.
+        hits = stored(hits)
+        shared = hits.groupBy("key").agg(F.count_distinct("_row.id").alias("ids")).filter(F.col("ids") >= min_docs).select("key")
+        hits = hits.join(shared, "key")
+    return hits.groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
 
 
-def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id", text_col: str = "text", distinct: bool = False) -> DataFrame:
     """``docs`` with common lines taken out of ``text_col``.
 
     Adds ``n_lines`` (before) and ``n_dropped``.  ``id_col`` names a row; rows
-    that repeat an id are told apart by their text's hash.
+    that repeat an id are told apart by their text's hash.  distinct: count ids, not rows.
     """
     text = F.col("doc").getField(text_col)
-    keyed = packed(docs).withColumn("_row", F.struct(F.col("doc").getField(id_col), F.unhex(F.md5(F.coalesce(text, F.lit(""))))))
-    gone = dropped_positions(keyed.select("_row", text.alias("_text")), min_docs)
+    keyed = packed(docs).withColumn("_row", F.struct(F.col("doc").getField(id_col).alias("id"), F.unhex(F.md5(F.coalesce(text, F.lit(""))))))
+    gone = dropped_positions(keyed.select("_row", text.alias("_text")), min_docs, distinct)
     joined = keyed.join(gone.withColumnRenamed("_row", "_gone_row"), F.col("_row").eqNullSafe(F.col("_gone_row")), "left")
     kept = let(
         _lines(text),
@@ -88,7 +98,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = MIN_DOCS, id_col: str = "doc_id
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Contract query over all documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return dedup_lines(docs).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return dedup_lines(docs, distinct=True).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
 OP5_SQL = r"""
@@ -111,7 +121,7 @@ FROM flagged GROUP BY doc_id
 
 def dedup_documents(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Line dedup with the columns of ``docs`` (``n_chars`` kept in step)."""
-    out = dedup_lines(packed(docs, "doc_id", "text"), min_docs)
+    out = dedup_lines(packed(docs, "doc_id", "text"), min_docs, distinct=True)
     fresh = {"text": F.col("text")}
     if "n_chars" in docs.columns:
         fresh["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)

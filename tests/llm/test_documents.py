@@ -321,3 +321,13 @@ def test_suffix_dedup_keeps_no_repeat_whose_block_is_settled_elsewhere(spark):
     for i, t in rows:
         gone = {q for p in range(len(t) - 199) if windows[t[p : p + 200]] > 1 for q in range(p, p + 200)}
         assert got[i] == len(gone)
+
+
+def test_line_dedup_counts_a_repeated_document_once(spark, tmp_path):
+    rows = [(1, "alone\nshared")] * 10 + [(i, f"shared\nown {i}") for i in range(2, 11)] + [(None, "null id")] * 10
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    kept = {1: "alone", None: "null id"} | {i: f"own {i}" for i in range(2, 11)}
+    out = line_dedup.op5_line_dedup(spark, str(tmp_path)).collect()
+    assert counted((r["doc_id"], r["kept_sha256"]) for r in out) == counted((i, hashlib.sha256(kept[i].encode()).hexdigest()) for i, _ in rows)
+    docs = line_dedup.dedup_documents(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    assert counted((r["doc_id"], r["text"]) for r in docs.collect()) == counted((i, kept[i]) for i, _ in rows)
