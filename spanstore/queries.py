@@ -92,7 +92,7 @@ def blob_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _snapshot(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
-    """Documents of a run: run 2 edits every third one and leaves out every seventh."""
+    """Documents of a run: run 2 edits every third one and leaves out every seventh, which stands for files deleted since."""
     rows = items(spark, sf_dir)
     if run == 2:
         rows = rows.filter("doc_id % 7 <> 0").withColumn("text", F.when(F.col("doc_id") % 3 == 0, F.concat("text", F.lit("\nedited"))).otherwise(F.col("text")))
@@ -104,13 +104,13 @@ def _snapshot(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
 
 
 def document_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents after two runs: first_seen stays, the rest follows the newer run (K4, K5)."""
+    """Documents after two runs: first_seen stays, the rest follows the newer run; those deleted since stay as they were (K4, K5)."""
     one, two = (_snapshot(spark, sf_dir, r).drop("text") for r in (1, 2))
     return merge_rows(one, two)
 
 
 def version_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions after two runs (K6)."""
+    """Versions after two runs; run 2 lacks every seventh document, as deleted, and adds none for it (K6)."""
     one, two = (
         _snapshot(spark, sf_dir, r).select(F.col("id").alias("document_id"), "blob_sha", F.col("first_seen").alias("seen_utc")) for r in (1, 2)
     )
@@ -118,7 +118,7 @@ def version_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unit_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Units per document after a rerun that replaces those of edited documents."""
+    """Units per document after a rerun that replaces those of edited documents; deleted ones (every seventh) keep theirs."""
 
     def units(df: DataFrame) -> DataFrame:
         w = F.posexplode(lines.windows(lines.split_lines(F.col("text")))).alias("ordinal", "w")
@@ -308,7 +308,7 @@ def drawio_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unchanged_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict of run 2 on each document."""
+    """Verdict of run 2 on each document it meets; every seventh stands for a deleted file and gets none, as the SQL has it."""
     one, two = _snapshot(spark, sf_dir, 1), _snapshot(spark, sf_dir, 2)
     had = one.withColumn("n", F.size(lines.windows(lines.split_lines(F.col("text"))))).select("id", F.col("blob_sha").alias("old_sha"), "n")
     seen = two.join(had, "id", "left")
