@@ -15,7 +15,9 @@ packed each; an empty table gives an empty result.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import json
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -31,9 +33,11 @@ from .common import groups_for, stored, table
 CAPACITY = 4096
 END_ID = 1
 GROUP_ROWS = 20_000
-CACHE_WORDS = 600_000
-SEPARATORS = re.compile("[\x1c-\x1f]")
-BLANKS = re.compile("[^ \t\n\x0b\x0c\r]+")
+CACHE_WORDS = 1_000_000
+MARKS = ".,:;!?*#$%&|"
+BLANKS = re.compile("[^ \t\n\x0b\x0c\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+# The classes at the end of the pattern of the pre-tokenizer: letter runs, single numbers, runs of other characters.
+WORD_CLASSES = r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,68 +55,89 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-class WordIds:
+@lru_cache(maxsize=2)
+def check_tokenizer(path: str) -> None:
+    """Refuses a vocabulary whose ids of a text are not those of its words in order."""
+    with open(path, encoding="utf-8") as f:
+        made = json.load(f)
+    steps = (made.get("normalizer") or {}).get("normalizers", [])
+    cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    split = cuts[0] if cuts else {}
+    pattern = (split.get("pattern") or {}).get("Regex", "")
+    model = made["model"]
+    if not (
+        [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"]
+        and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+        and pattern.endswith(WORD_CLASSES) and split["behavior"] == "Removed" and split["invert"]
+        and not cuts[1]["add_prefix_space"] and not cuts[1]["use_regex"]
+        and made.get("post_processor") is None and model["type"] == "BPE"
+        and model["dropout"] is None and not model["fuse_unk"]
+    ):
+        raise ValueError(f"{path}: not a lower-casing tokenizer that drops white space between words")
+
+
+def _narrow(text: str) -> bool:
+    """Whether all code points are below U+0100."""
+    try:
+        return text.isascii() or bool(text.encode("latin-1"))
+    except UnicodeEncodeError:
+        return False
+
+
+class WordIds(dict):
     """Token ids of a text as little-endian bytes, remembered word by word.
 
-    This tokenizer lower-cases, splits at white space before anything else and
-    drops it, so a text's ids are its words' ids in order; it also separates
-    letters from the marks behind them.  New words are therefore looked up as
-    letters plus marks, and new letter runs are encoded many at a time.  The
-    memory is cleared when it holds ``limit`` words.
+    A tokenizer of this kind lower-cases, splits at white space before anything
+    else and drops it, so a text's ids are its words' ids in order; a word is cut
+    into pieces by the tokenizer's own pre-tokenizer and each piece is merged by
+    its model.  The keys are lower-case words; a missing one is encoded when it is
+    asked for.  The memory is cleared when it holds ``limit`` words.
     """
 
-    MARKS = ".,:;!?*#$%&|"
-    AT_ONCE = 200
-
     def __init__(self, path: str, limit: int = CACHE_WORDS):
+        super().__init__()
+        check_tokenizer(path)
         self.tokenizer = _tokenizer(path)
         self.limit = limit
-        self.known: dict[str, bytes] = {}
-        self.runs: dict[str, bytes] = {}
-
-    def _learn_runs(self, runs: list[str]) -> None:
-        for start in range(0, len(runs), self.AT_ONCE):
-            part = runs[start : start + self.AT_ONCE]
-            got = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
-            ids, word = np.asarray(got.ids, "<u4"), np.asarray(got.word_ids)
-            cut = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1], [True]])).tolist()
-            for run, i, j in zip(part, cut, cut[1:]):
-                self.runs[run] = ids[i:j].tobytes()
-
-    def _learn(self, words: set[str]) -> None:
-        plain, rest = [], []
-        for w in words:
-            letters = w.rstrip(self.MARKS)
-            # Up to U+00FF lower-casing is one to one and nothing composes.
-            if letters.isalpha() and max(letters) <= "\u00ff":
-                plain.append((w, letters.lower(), w[len(letters) :]))
-            else:
-                rest.append(w)
-        self._learn_runs(list({r for _, r, _ in plain}.difference(self.runs)))
-        for tail in {t for _, _, t in plain}.difference(self.runs):
-            self.runs[tail] = self._encode(tail)
-        for w, run, tail in plain:
-            self.known[w] = self.runs[run] + self.runs[tail]
-        for w in rest:
-            self.known[w] = self._encode(w)
-
-    def _encode(self, text: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        self.cut, self.merge = self.tokenizer.pre_tokenizer.pre_tokenize_str, self.tokenizer.model.tokenize
+        self.added = [t.content.lower() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.odd: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        letters = word.rstrip(MARKS) if word.isascii() else ""
+        if letters.isalpha() and letters != word:
+            # Letters and the marks behind them are a piece each.
+            ids = self[letters] + self[word[len(letters) :]]
+        else:
+            pieces = (word,) if letters.isalpha() else [p for p, _ in self.cut(word)]
+            got = [t.id for p in pieces for t in self.merge(p)]
+            ids = struct.pack(f"<{len(got)}I", *got)
+        self[word] = ids
+        return ids
+
+    def _odd_word(self, word: str) -> bytes:
+        ids = self.odd.get(word)
+        if ids is None:
+            got = self.tokenizer.encode(word, add_special_tokens=False).ids
+            self.odd[word] = ids = struct.pack(f"<{len(got)}I", *got)
+        return ids
 
     @staticmethod
     def _split(text: str) -> list[str]:
         # str.split() also cuts at U+001C..U+001F, which the tokenizer keeps.
-        return text.split() if not SEPARATORS.search(text) else BLANKS.findall(text)
-
-    def of(self, texts: list[str], at_once: int = 256) -> Iterator[bytes]:
-        for start in range(0, len(texts), at_once):
-            words = [self._split(t) for t in texts[start : start + at_once]]
-            if len(self.known) > self.limit:
-                self.known, self.runs = {}, {}
-            self._learn(set().union(*words).difference(self.known))
-            ids = self.known.__getitem__
-            for cut in words:
-                yield b"".join(map(ids, cut))
+        return BLANKS.findall(text) if any(c in text for c in "\x1c\x1d\x1e\x1f") else text.split()
+
+    def of(self, texts: list[str]) -> Iterator[bytes]:
+        for text in texts:
+            if len(self) + len(self.odd) > self.limit:
+                self.clear()
+                self.odd.clear()
+            low = text.lower()
+            # Up to U+00FF lower-casing is one to one and nothing composes.
+            if _narrow(text) and not any(t in low for t in self.added):
+                yield b"".join(map(self.__getitem__, self._split(low)))
+            else:
+                yield b"".join(map(self._odd_word, self._split(text)))
 
 
 @lru_cache(maxsize=2)

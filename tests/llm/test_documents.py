@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import pathlib
 import random
 import re
 import zlib
@@ -331,3 +332,17 @@ def test_line_dedup_counts_a_repeated_document_once(spark, tmp_path):
     assert counted((r["doc_id"], r["kept_sha256"]) for r in out) == counted((i, hashlib.sha256(kept[i].encode()).hexdigest()) for i, _ in rows)
     docs = line_dedup.dedup_documents(spark.read.parquet(str(tmp_path / "documents.parquet")))
     assert counted((r["doc_id"], r["text"]) for r in docs.collect()) == counted((i, kept[i]) for i, _ in rows)
+
+
+def test_word_memory_equals_the_tokenizer(tmp_path):
+    r = random.Random(11)
+    latin = "abcXYZ'stremlvd ÄäéÉßµªº²¼0189.,;:!?-_<|>\x1c\x1d\x1e\x1f\x85\xa0\n\t\x0b"
+    texts = ["".join(r.choice(a) for _ in range(r.randint(0, 40))) for a in (latin, latin + "́ΣσςİıﬁЖж中文😀ẞ 　") for _ in range(2000)]
+    texts += ["a<|endoftext|>b", "A<|ENDOFTEXT|>B", "don't 'single we're 12 x²", "\x1cabc\x1d d", *[t for t in odd_texts() if t]]
+    words = packing.WordIds(packing.public_tokenizer(), limit=500)
+    for text, ids in zip(texts, words.of(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == words.tokenizer.encode(text, add_special_tokens=False).ids
+    other = tmp_path / "other.json"
+    other.write_text(pathlib.Path(packing.public_tokenizer("byte_bpe_50k.json")).read_text(encoding="utf-8"), encoding="utf-8")
+    with pytest.raises(ValueError):
+        packing.WordIds(str(other))
