@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import fixed
+from .lines import bind
 from .media import suffix
 
 IGNORABLE, LOW, NORMAL, PRIMARY = range(4)
@@ -67,9 +68,10 @@ def personal_labels(text: Column) -> Column:
 
 def sensitivity(text: Column) -> Column:
     """struct<level, labels>: secrets hide personal data."""
-    secret, personal = secret_labels(text), personal_labels(text)
-    return F.when(
-        F.size(secret) > 0, F.struct(F.lit("secret").alias("level"), secret.alias("labels"))
-    ).otherwise(
-        F.struct(F.when(F.size(personal) > 0, F.lit("pii")).otherwise(F.lit("none")).alias("level"), personal.alias("labels"))
-    )
+
+    def level(secret: Column, personal: Column) -> Column:
+        name = F.when(F.size(secret) > 0, "secret").when(F.size(personal) > 0, "pii").otherwise("none")
+        return F.struct(name.alias("level"), F.when(F.size(secret) > 0, secret).otherwise(personal).alias("labels"))
+
+    # Bound, so that every pattern runs once however often the result is used.
+    return bind(secret_labels(text), lambda secret: bind(personal_labels(text), lambda personal: level(secret, personal)))

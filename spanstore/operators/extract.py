@@ -7,6 +7,7 @@ reader that fails, lacks its package or finds nothing costs only its document.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from ..functions import media
 from ..functions.lines import decode
 from .native import NATIVE, text_units
-from .optional import OPTIONAL, REQUIREMENTS, available
+from .optional import REQUIREMENTS
 from .trees import TREES, Degraded, NothingFound
 from .units import UNITS
 
@@ -25,12 +26,16 @@ _OOXML = "application/vnd.openxmlformats-officedocument."
 
 @dataclass(frozen=True)
 class Reader:
-    """What a reader claims: media types (a trailing ``/`` claims a family) or suffixes."""
+    """What a reader claims: media types (a trailing ``/`` claims a family) or suffixes.
+
+    ``read(text, path)`` yields units as :mod:`.trees` makes them; a ``binary`` reader is given the bytes.
+    """
 
     name: str
     types: tuple[str, ...]
     suffixes: tuple[str, ...]
     read: Callable | None = None
+    binary: bool = False
 
 
 def _reader(name: str, types: str, suffixes: str = "") -> Reader:
@@ -60,9 +65,16 @@ READERS: list[Reader] = [
 
 
 def register(reader: Reader, before: str = "text") -> None:
-    """Adds a reader; ``read(text, path)`` yields units as :mod:`.trees` makes them."""
+    """Adds a reader ahead of ``before``, or puts it in the place of one with its name."""
     names = [r.name for r in READERS]
-    READERS.insert(names.index(before) if before in names else len(READERS), reader)
+    if reader.name in names:
+        READERS[names.index(reader.name)] = reader
+    else:
+        READERS.insert(names.index(before) if before in names else len(READERS), reader)
+
+
+def available(reader: Reader) -> bool:
+    return reader.read is not None or reader.name not in REQUIREMENTS
 
 
 def route(media_type: Column, path: Column) -> Column:
@@ -82,7 +94,7 @@ def route(media_type: Column, path: Column) -> Column:
 
 def availability(spark: SparkSession) -> DataFrame:
     """(name, available, requirement, hint) of every reader, in order."""
-    rows = [(r.name, available(r.name), *REQUIREMENTS.get(r.name, (None, None))) for r in READERS]
+    rows = [(r.name, available(r), *REQUIREMENTS.get(r.name, (None, None))) for r in READERS]
     return spark.createDataFrame(rows, "name string, available boolean, requirement string, hint string")
 
 
@@ -99,17 +111,15 @@ _UNITS_TYPE = pa.list_(
 )
 
 
-def _read_one(name: str, path: str, data: bytes, extra: dict[str, Callable]) -> tuple[str, str, str, list | None]:
+def _read_one(name: str, path: str, data: bytes, extra: dict[str, Reader]) -> tuple[str, str, str, list | None]:
     """(status, reason, detail, units) of one document."""
-    if name in OPTIONAL and not available(name):
+    own = extra.get(name)
+    if own is None and name in REQUIREMENTS:
         package, hint = REQUIREMENTS[name]
-        return "skipped", "missing_dependency", f"{package} is not installed: {hint}", None
+        return "skipped", "missing_dependency", f"no reader that uses {package} is registered: {hint}", None
     try:
-        if name in OPTIONAL:
-            got = list(OPTIONAL[name](data, path))
-        else:
-            text = data.decode("utf-8", "replace").removeprefix("﻿")
-            got = list((extra.get(name) or TREES[name])(text, path))
+        given = data if own is not None and own.binary else data.decode("utf-8", "replace").removeprefix("﻿")
+        got = list((own.read if own is not None else TREES[name])(given, path))
         units = []
         for u in got:
             u["text"].encode("utf-8")  # a lone surrogate fails its document here
@@ -129,12 +139,12 @@ def extract(docs: DataFrame, key: str = "document_id") -> DataFrame:
 
     status: ok, degraded (line windows that carry ``parse_error``), skipped, failed.
     """
-    extra = {r.name: r.read for r in READERS if r.read is not None}
+    extra = {r.name: r for r in READERS if r.read is not None}
     text = decode(F.col("content"))
     units = F.lit(None).cast(UNITS)
     for name, build in NATIVE.items():
         units = F.when(F.col("extractor") == name, build(text)).otherwise(units)
-    native = docs.filter(F.col("extractor").isin(*NATIVE)).select(
+    native = docs.filter(F.col("extractor").isin(*(n for n in NATIVE if n not in extra))).select(
         key, F.lit("ok").alias("status"), F.lit("").alias("reason"), F.lit("").alias("detail"), units.alias("units")
     )
 
@@ -149,7 +159,7 @@ def extract(docs: DataFrame, key: str = "document_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["key", "status", "reason", "detail", "units", "content"])
 
     kind = docs.schema[key].dataType.simpleString()
-    parsed = docs.filter(F.col("extractor").isNotNull() & ~F.col("extractor").isin(*NATIVE)).select(
+    parsed = docs.filter(F.col("extractor").isNotNull() & ~F.col("extractor").isin(*(n for n in NATIVE if n not in extra))).select(
         F.col(key).alias("key"), "extractor", "path", "content"
     )
     schema = f"key {kind}, status string, reason string, detail string, units {UNITS}, content binary"
@@ -162,9 +172,16 @@ def extract(docs: DataFrame, key: str = "document_id") -> DataFrame:
     return native.unionByName(parsed)
 
 
-def limits(spark: SparkSession) -> None:
-    """Small Arrow batches: a row may hold a 25 MiB file."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(64, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))))
+@contextmanager
+def small_batches(spark: SparkSession):
+    """A block with small Arrow batches: a row may hold a 25 MiB file."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(64, int(before)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-__all__ = ["READERS", "Reader", "availability", "extract", "limits", "missing_dependencies", "register", "route"]
+__all__ = ["READERS", "Reader", "availability", "extract", "missing_dependencies", "register", "route", "small_batches"]

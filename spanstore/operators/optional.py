@@ -1,15 +1,14 @@
-"""Readers that need optional packages: pdf, docx, xlsx, pptx, image-ocr."""
+"""Formats that are claimed but need a package to be read: pdf, docx, xlsx, pptx, images.
 
-from __future__ import annotations
-
-import io
-from collections.abc import Iterator
-from importlib.util import find_spec
+None of their readers is built in.  A reader of one's own is registered under the
+same name (:func:`.extract.register`, with ``binary=True`` it is given the bytes);
+until then a document of such a format is stored, and skipped as one whose
+dependency is missing.
+"""
 
-from ..functions import fixed
-from .trees import NothingFound, Unit, node_unit, squeeze
+from __future__ import annotations
 
-# Package that must be importable, and how to install it.
+# Package that a reader of each format would use, and how to install it.
 REQUIREMENTS = {
     "pdf": ("pypdf", "pip install pypdf"),
     "docx": ("docx", "pip install python-docx"),
@@ -17,123 +16,3 @@ REQUIREMENTS = {
     "pptx": ("pptx", "pip install python-pptx"),
     "image-ocr": ("pytesseract", "pip install pytesseract Pillow, and the tesseract program"),
 }
-
-
-def available(name: str) -> bool:
-    """Whether a reader's package (for OCR also its program) is here."""
-    if name not in REQUIREMENTS:
-        return True
-    if find_spec(REQUIREMENTS[name][0]) is None or (name == "image-ocr" and find_spec("PIL") is None):
-        return False
-    if name == "image-ocr":
-        import shutil
-
-        return shutil.which("tesseract") is not None
-    return True
-
-
-def pdf_units(data: bytes, path: str) -> Iterator[Unit]:
-    import pypdf
-
-    pages, blank = [], []
-    reader = pypdf.PdfReader(io.BytesIO(data))
-    for number, page in enumerate(reader.pages, 1):
-        try:
-            text = (page.extract_text() or "").strip()
-        except Exception as e:  # noqa: BLE001  damaged files raise all kinds
-            raise NothingFound("pdf_ilegible", f"page {number}: {e}") from e
-        (pages if text else blank).append((number, text, page))
-    if not pages:
-        raise NothingFound("pdf_sin_capa_de_texto", f"{len(blank)} pages without text")
-    meta = {"pages": len(reader.pages)} | ({"pages_without_text": [n for n, _, _ in blank]} if blank else {})
-    for number, text, page in pages:
-        try:
-            box = [float(getattr(page.mediabox, side)) for side in ("left", "bottom", "right", "top")]
-        except (AttributeError, TypeError, ValueError):
-            box = None
-        yield {"locator": {"kind": "page", "number": number, "bbox": box}, "text": text, "verbatim": False, "meta": meta}
-
-
-def docx_units(data: bytes, path: str) -> Iterator[Unit]:
-    import docx
-
-    document, any_ = docx.Document(io.BytesIO(data)), False
-    for i, p in enumerate(document.paragraphs, 1):
-        if text := squeeze(p.text):
-            any_ = True
-            yield node_unit(f"/document/paragraph[{i}]", text, style=p.style.name if p.style else "")
-    for t, table in enumerate(document.tables, 1):
-        for r, row in enumerate(table.rows, 1):
-            cells = [squeeze(c.text) for c in row.cells]
-            if any(cells):
-                any_ = True
-                yield node_unit(f"/document/table[{t}]/row[{r}]", " | ".join(cells), table=t)
-    if not any_:
-        raise NothingFound("docx_sin_texto", "no paragraph has text")
-
-
-def column_letter(index: int) -> str:
-    """1 is A, 27 is AA."""
-    index, letters = max(1, index), ""
-    while index:
-        index, rest = divmod(index - 1, 26)
-        letters = chr(ord("A") + rest) + letters
-    return letters
-
-
-def xlsx_units(data: bytes, path: str) -> Iterator[Unit]:
-    import openpyxl
-
-    book, any_ = openpyxl.load_workbook(io.BytesIO(data), read_only=True, data_only=True), False
-    for sheet in book.worksheets:
-        shown = ((n, ["" if v is None else str(v).strip() for v in row]) for n, row in enumerate(sheet.iter_rows(values_only=True), 1))
-        full = [(n, values) for n, values in shown if any(values)]
-        for at in range(0, len(full), fixed.ROWS_PER_SHEET_UNIT):
-            part = full[at : at + fixed.ROWS_PER_SHEET_UNIT]
-            width = max(len(v) for _, v in part)
-            any_ = True
-            yield {
-                "locator": {"kind": "cell", "sheet": sheet.title, "ref": f"A{part[0][0]}:{column_letter(width)}{part[-1][0]}"},
-                "text": "\n".join(" | ".join(v) for _, v in part)[: fixed.MAX_CHARS],
-                "verbatim": False, "meta": {"rows": len(part), "columns": width},
-            }
-    if not any_:
-        raise NothingFound("xlsx_sin_datos", "all sheets are empty")
-
-
-def pptx_units(data: bytes, path: str) -> Iterator[Unit]:
-    import pptx
-
-    deck, any_ = pptx.Presentation(io.BytesIO(data)), False
-    for number, slide in enumerate(deck.slides, 1):
-        for shape in slide.shapes:
-            if text := squeeze(getattr(shape, "text", "")):
-                any_ = True
-                locator = {"kind": "slide", "number": number, "shape": shape.name or None}
-                yield {"locator": locator, "text": text, "verbatim": False, "meta": {"slides": len(deck.slides)}}
-    if not any_:
-        raise NothingFound("pptx_sin_texto", "no slide has text")
-
-
-def ocr_units(data: bytes, path: str) -> Iterator[Unit]:
-    import pytesseract
-    from PIL import Image
-
-    with Image.open(io.BytesIO(data)) as image:
-        got = pytesseract.image_to_data(image, output_type=pytesseract.Output.DICT)
-    blocks: dict[int, tuple[list[str], list[int]]] = {}
-    for i, word in enumerate(got.get("text", [])):
-        try:
-            sure = float(got["conf"][i])
-        except (TypeError, ValueError):
-            sure = 0.0
-        if word.strip() and sure >= fixed.MIN_OCR_CONFIDENCE:
-            x, y, w, h = (int(got[k][i]) for k in ("left", "top", "width", "height"))
-            blocks.setdefault(int(got["block_num"][i]), ([], [x, y, x + w, y + h]))[0].append(word.strip())
-    if not blocks:
-        raise NothingFound("ocr_sin_texto", "no readable text in the image")
-    for k, (_, (words, box)) in enumerate(sorted(blocks.items()), 1):
-        yield node_unit(f"/ocr/bloque[{k}]", " ".join(words), bbox=box, source="ocr")
-
-
-OPTIONAL = {"pdf": pdf_units, "docx": docx_units, "xlsx": xlsx_units, "pptx": pptx_units, "image-ocr": ocr_units}

@@ -178,7 +178,42 @@ def _one_node(rows: str, key: str, units: list[tuple[str, str, str]]) -> str:
 
 
 _CELL = "'{{\"kind\":\"node\",\"path\":\"/diagram[1]/mxCell[@id=''{}'']\"}}'"
+# Two runs of the engine over documents as files.
+_RUN_SUFFIXES = "['.txt','.py','.log','.min.js','.env','.json']"
+_TWO_RUNS = f"""WITH RECURSIVE
+files AS (
+  SELECT doc_id, coalesce(source, 'none') || '/' || doc_id || {_RUN_SUFFIXES}[doc_id % 6 + 1] AS path,
+    CASE WHEN doc_id % 6 = 5 THEN '{{ ' ELSE '' END || coalesce(text, '') AS text FROM documents
+),
+versions_ AS (
+  SELECT doc_id, path, 1 AS run, text FROM files
+  UNION ALL SELECT doc_id, path, 2, CASE WHEN doc_id % 3 = 0 THEN text || chr(10) || 'edited' ELSE text END FROM files
+),
+texts AS (SELECT (doc_id, run) AS k, text FROM versions_), {_windows("texts")},
+counted AS (SELECT k, count(*) AS n, sum(length(t)) AS chars FROM wins GROUP BY k),
+met AS (
+  SELECT v.*, coalesce(n, 0) AS n, coalesce(chars, 0) AS chars,
+    CASE WHEN doc_id % 17 = 0 THEN 'pruned_directory' WHEN doc_id % 11 = 0 OR (doc_id % 13 <> 0 AND strlen(text) = 0) THEN 'empty_file' WHEN doc_id % 13 = 0 THEN 'too_large' END AS early,
+    doc_id % 6 = 3 AS ignorable
+  FROM versions_ v LEFT JOIN counted c ON c.k = (v.doc_id, v.run)
+),
+both_ AS (SELECT two.*, one.text = two.text AND one.early IS NULL AND NOT one.ignorable AND one.n > 0 AND two.run = 2 AS same FROM met two JOIN met one ON one.doc_id = two.doc_id AND one.run = 1)"""
+
 ORACLE_SQL = {
+    "ingest_ledger": f"""{_TWO_RUNS},
+judged AS (
+  SELECT *, CASE WHEN early IS NOT NULL THEN early WHEN same THEN 'unchanged_blob' WHEN ignorable THEN 'low_relevance' WHEN n = 0 THEN 'nothing_to_extract'
+    WHEN doc_id % 6 = 5 THEN 'degraded_parse' ELSE '' END AS reason FROM both_
+)
+SELECT run, path, CASE WHEN reason IN ('', 'degraded_parse') THEN 'extracted' WHEN reason = 'unchanged_blob' THEN 'unchanged' ELSE 'skipped' END AS outcome, reason,
+  CASE WHEN reason IN ('', 'degraded_parse') THEN n ELSE 0 END::INTEGER AS units, reason NOT IN ('', 'unchanged_blob', 'empty_file') AS has_detail FROM judged""",
+    "ingest_tables": f"""{_TWO_RUNS},
+current AS (SELECT * FROM both_ b WHERE early IS NULL AND run = 2),
+named AS (SELECT *, {_NAME} AS name, {_SUFFIX} AS suffix FROM current)
+SELECT {_DOC_ID} AS document_id, path, sha256(text) AS blob_sha, strlen(text)::BIGINT AS stored, {_relevance("strlen(text)")} AS relevance,
+  (SELECT count(DISTINCT m.text) FROM met m WHERE m.doc_id = named.doc_id AND m.early IS NULL)::BIGINT AS versions,
+  CASE WHEN ignorable THEN 0 ELSE n END::BIGINT AS units, CASE WHEN ignorable THEN 0 ELSE chars END::BIGINT AS chars,
+  CASE WHEN NOT ignorable AND n > 0 THEN n - 1 END::BIGINT AS last FROM named""",
     "text_windows": f"""{_DOC_WINDOWS}
 SELECT k AS doc_id, (row_number() OVER (PARTITION BY k ORDER BY s) - 1)::BIGINT AS ordinal, s AS start_line, e AS end_line, length(t)::BIGINT AS char_count, sha256(t) AS text_sha FROM wins""",
     "unit_ids": f"""{_UNITS}
@@ -222,6 +257,81 @@ SELECT id, CASE WHEN NOT failed THEN sha256(got) END AS resolved_sha, CASE WHEN
     "verify_units": f"{_UNITS} SELECT relevance, count(*)::BIGINT AS units, 0::BIGINT AS different FROM full_units GROUP BY 1",
     "verify_blobs": "SELECT doc_id % 9 <> 0 AS intact, count(*)::BIGINT AS blobs FROM documents GROUP BY 1",
     "source_order": f"WITH {ITEMS} SELECT path, row_number() OVER (PARTITION BY split_part(path, '/', 1) ORDER BY path)::BIGINT AS place FROM items",
+    # Sections between headings outside of fences.  A heading's trail holds the last heading of each upper
+    # level that no higher one has cut off; sections over the limit become windows.
+    "markdown_units": f"""WITH RECURSIVE
+docs AS (
+  SELECT conv_id AS d, string_agg(repeat('#', (turn % 3 + 1)::INTEGER) || ' ' || coalesce(role, '?') || chr(10) || coalesce(text, ''), chr(10) ORDER BY turn) AS text
+  FROM conversations GROUP BY 1
+),
+split AS (SELECT d, regexp_split_to_array(text, {_BREAKS}) AS ls FROM docs),
+kept AS (SELECT d, CASE WHEN ls[-1] = '' THEN ls[:-2] ELSE ls END AS ls FROM split),
+numbered_lines AS (SELECT d, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM kept),
+fences AS (SELECT *, regexp_matches(line, '^\\s*```') AS fence FROM numbered_lines),
+states AS (SELECT *, sum(fence::INTEGER) OVER (PARTITION BY d ORDER BY i) % 2 = 1 AS fenced FROM fences),
+heads AS (
+  SELECT d, i, length(regexp_extract(line, '^(#{{1,6}})\\s+(.*\\S)\\s*$', 1)) AS level, regexp_extract(line, '^(#{{1,6}})\\s+(.*\\S)\\s*$', 2) AS title
+  FROM states WHERE NOT fence AND NOT fenced AND regexp_matches(line, '^#{{1,6}}\\s+.*\\S\\s*$')
+),
+placed AS (
+  SELECT *, {", ".join(f"max(CASE WHEN level = {j} THEN i END) OVER w AS p{j}" for j in range(1, 7))}, {", ".join(f"max(CASE WHEN level < {j} THEN i END) OVER w AS u{j}" for j in range(1, 7))},
+    lead(i) OVER (PARTITION BY d ORDER BY i) AS next_i
+  FROM heads WINDOW w AS (PARTITION BY d ORDER BY i)
+),
+trails AS (
+  SELECT h.d, h.i, h.title, h.next_i,
+    list_filter([{", ".join(f"CASE WHEN {j} <= h.level AND h.p{j} >= coalesce(h.u{j}, 0) THEN (SELECT title FROM heads t WHERE t.d = h.d AND t.i = h.p{j}) END" for j in range(1, 7))}],
+      lambda x: x IS NOT NULL AND x <> '') AS trail
+  FROM placed h
+),
+sections AS (
+  SELECT d, i AS first, coalesce(next_i - 1, len(ls)) AS last, title, array_to_string(trail, ' > ') AS trail, array_to_string(ls[i : coalesce(next_i - 1, len(ls))], chr(10)) AS body
+  FROM trails JOIN kept USING (d)
+  UNION ALL
+  SELECT d, 1, coalesce(min(i) - 1, any_value(len(ls))), NULL, NULL, array_to_string(any_value(ls)[1 : coalesce(min(i) - 1, any_value(len(ls)))], chr(10))
+  FROM kept LEFT JOIN heads USING (d) GROUP BY d HAVING coalesce(min(i), 2) > 1
+),
+texts AS (SELECT (d, first) AS k, body AS text FROM sections WHERE length(body) > {fixed.MAX_CHARS}), {_windows("texts")},
+units AS (
+  SELECT d, first AS s, last AS e, body AS t, title, trail FROM sections WHERE length(body) <= {fixed.MAX_CHARS} AND regexp_matches(body, '[^\\s]')
+  UNION ALL SELECT d, first + w.s - 1, first + w.e - 1, w.t, title, trail FROM sections JOIN wins w ON w.k = (d, first)
+)
+SELECT d::BIGINT AS document_id, 'ok' AS status, (row_number() OVER (PARTITION BY d ORDER BY s) - 1)::BIGINT AS ordinal,
+  '{{"end":' || e || ',"kind":"lines","start":' || s || '}}' AS locator_json, t AS text, true AS verbatim,
+  CASE WHEN title IS NULL THEN '' ELSE 'heading=' || title || ';heading_trail=' || trail END AS meta FROM units""",
+    # Pieces between "<" signs; a block's end tag meets the last open start tag of its name.
+    "html_units": f"""WITH
+pieces AS (SELECT page_id, unnest(string_split(coalesce(html, ''), '<')) AS piece, unnest(range(len(string_split(coalesce(html, ''), '<')))) AS n FROM pages),
+tokens AS (
+  SELECT *, CASE WHEN n = 0 THEN '' ELSE lower(regexp_extract(piece, '^/?[a-zA-Z][a-zA-Z0-9]*')) END AS tag,
+    CASE WHEN n = 0 THEN piece WHEN starts_with(piece, '!--') THEN split_part(piece, '-->', 2) ELSE regexp_replace(piece, '^[^>]*>?', '') END AS data,
+    1 + coalesce(sum(len(string_split(piece, chr(10))) - 1) OVER (PARTITION BY page_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS line
+  FROM pieces
+),
+raw AS (
+  SELECT *, coalesce(sum((tag IN ({_values(fixed.HTML_DROPPED)}))::INTEGER) OVER w - sum((tag IN ({_values(["/" + t for t in fixed.HTML_DROPPED])}))::INTEGER) OVER w, 0) > 0 AS dropped
+  FROM tokens WINDOW w AS (PARTITION BY page_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+marks AS (
+  SELECT *, CASE WHEN NOT dropped AND tag IN ({_values(fixed.HTML_BLOCKS)}) THEN 1 WHEN NOT dropped AND tag IN ({_values(["/" + t for t in fixed.HTML_BLOCKS])}) THEN -1 ELSE 0 END AS step,
+    ltrim(tag, '/') AS name FROM raw
+),
+depths AS (
+  SELECT page_id, n, name, line, step, sum(step) OVER (PARTITION BY page_id, name ORDER BY n) - least(step, 0) AS depth FROM marks WHERE step <> 0
+),
+blocks AS (
+  SELECT page_id, name, n AS last, line AS end_line, max(CASE WHEN step = 1 THEN n END) OVER w AS first, max_by(line, n) FILTER (step = 1) OVER w AS start_line, step
+  FROM depths WINDOW w AS (PARTITION BY page_id, name, depth ORDER BY n)
+),
+texts AS (
+  SELECT b.page_id, b.name, b.last, b.start_line, b.end_line,
+    trim(regexp_replace(string_agg(replace(replace(replace(replace(replace(data, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), ' ' ORDER BY m.n), '\\s+', ' ', 'g')) AS t
+  FROM blocks b JOIN marks m ON m.page_id = b.page_id AND m.n >= b.first AND m.n < b.last
+  WHERE b.step = -1 AND b.first IS NOT NULL AND NOT m.dropped AND m.tag NOT IN ({_values(fixed.HTML_DROPPED)}) GROUP BY ALL
+)
+SELECT page_id::BIGINT AS document_id, 'ok' AS status, (row_number() OVER (PARTITION BY page_id ORDER BY last) - 1)::BIGINT AS ordinal,
+  '{{"end":' || end_line || ',"kind":"lines","start":' || start_line || '}}' AS locator_json, t AS text, false AS verbatim, 'tag=' || name AS meta
+FROM texts WHERE t <> ''""",
     "mermaid_units": """
 WITH l AS (
   SELECT c_nationkey AS k, 0 AS ordinal, 1 AS n, 'graph TD' AS text, '' AS meta, true AS v FROM customer GROUP BY 1

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ..functions import fixed, ids, media, triage
 from ..functions.lines import is_blank
 from ..functions.locators import canonical_json, is_valid
-from ..operators.extract import extract, limits, route
-from ..sources.connectors import Connector, select_connector
+from ..operators.extract import extract, route, small_batches
+from ..sources.connectors import Source, select_connector
 from ..sources.tree import fetch, with_content
 from ..sources.workspace import Workspace
 from . import store as st
@@ -60,6 +60,11 @@ def describe(items: DataFrame, source_id: Column) -> DataFrame:
     )
 
 
+def is_unchanged(old_sha: Column, sha: Column, had_units: Column) -> Column:
+    """The same bytes as before, and units of those bytes exist."""
+    return F.coalesce(old_sha == sha, F.lit(False)) & F.coalesce(had_units, F.lit(False))
+
+
 def content_gate(unchanged: Column) -> Column:
     """struct<outcome, reason, detail> of described items that are not extracted: the first rule that fits."""
     verdict = lambda outcome, reason, detail: F.struct(F.lit(outcome).alias("outcome"), reason.alias("reason"), detail.alias("detail"))
@@ -101,8 +106,7 @@ def ingest_entries(
     spark: SparkSession, entries: DataFrame, store: st.Store, connector: str, uri: str, label: str = "", revision: str = "", has_content: bool = False
 ) -> Run:
     """Runs one ingestion of ``entries`` and commits it as a whole."""
-    limits(spark)
-    with store.writing():
+    with small_batches(spark), store.writing():
         old = {name: store.table(name) for name in st.SCHEMAS}
         run = Run.start(old["ingest_runs"].count())
         source = ids.source_id(F.lit(connector), F.lit(uri))
@@ -119,9 +123,7 @@ def ingest_entries(
         prior = old["text_units"].select("document_id", "blob_sha").distinct().withColumn("had", F.lit(True))
         docs_before = old["documents"].select(F.col("id").alias("document_id"), F.col("blob_sha").alias("old_sha"))
         narrow = items.drop("content").join(docs_before, "document_id", "left").join(prior, ["document_id", "blob_sha"], "left")
-        # Unchanged means: the same bytes as before, and units of those bytes exist.
-        unchanged = F.coalesce(F.col("old_sha") == F.col("blob_sha"), F.lit(False)) & F.coalesce("had", F.lit(False))
-        judged = narrow.withColumn("gate", content_gate(unchanged))
+        judged = narrow.withColumn("gate", content_gate(is_unchanged(F.col("old_sha"), F.col("blob_sha"), F.col("had"))))
         todo = judged.filter("gate is null").select("document_id", "extractor", "path")
         work = todo.join(readable.select("document_id", "content"), "document_id")
         done_path = os_path(store, f"staging/{run.id}-units")
@@ -195,16 +197,21 @@ def ingest_entries(
             F.lit(run.now).alias("started_utc"), F.lit(run.now).alias("finished_utc"), F.lit("ok").alias("status"),
             F.coalesce("counters", F.from_json(F.lit("{}"), "map<string,bigint>")).alias("counters"),
         )
+        # Only the buckets that hold a row of this run are read and written again.
+        docs_at = store.touched("documents", seen.select("id"))
+        units_at = store.touched("text_units", stale.select("document_id"))
+        source_at = store.touched("sources", first.select("id"))
         store.commit(
             {
                 "blobs": blobs,
-                "sources": st.merge_rows(old["sources"], first),
-                "documents": st.merge_rows(old["documents"], seen.drop("seq", "revision")),
+                "sources": st.merge_rows(store.table("sources", source_at), first),
+                "documents": st.merge_rows(store.table("documents", docs_at), seen.drop("seq", "revision")),
                 "document_versions": versions,
-                "text_units": st.replace_units(old["text_units"], stale, units),
+                "text_units": st.replace_units(store.table("text_units", units_at), stale, units),
                 "ingest_events": events,
                 "ingest_runs": runs,
-            }
+            },
+            {"sources": source_at, "documents": docs_at, "text_units": units_at},
         )
         return run
 
@@ -213,9 +220,9 @@ def os_path(store: st.Store, part: str) -> str:
     return f"{store.root}/{part}"
 
 
-def ingest(spark: SparkSession, target: str | Connector, workspace: Workspace, kind: str | None = None) -> Run:
+def ingest(spark: SparkSession, target: str | Source, workspace: Workspace, kind: str | None = None) -> Run:
     """Ingests a target: a directory, a repository, a file or pasted text."""
-    connector = target if isinstance(target, Connector) else select_connector(target, kind)
+    connector = target if isinstance(target, Source) else select_connector(target, kind)
     connector.prepare(workspace.clones)
     store = st.Store(spark, workspace.tables)
     return ingest_entries(

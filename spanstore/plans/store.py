@@ -1,20 +1,28 @@
 """Snapshot tables with one atomic commit a run.
 
-Every commit writes the tables it changes to new directories and then moves one
-pointer file; readers see all of a run or nothing.  ``blobs``,
-``document_versions``, ``ingest_events`` and ``ingest_runs`` only grow: a commit
-adds directories to their list.  ``sources``, ``documents`` and ``text_units``
-are replaced by their merged state.  A lock file keeps writers apart.
+Every commit writes what it changes to new directories and then moves one pointer
+file; readers see all of a run or nothing.  ``blobs``, ``document_versions``,
+``ingest_events`` and ``ingest_runs`` only grow: a commit adds a directory to their
+list.  ``sources``, ``documents`` and ``text_units`` lie in hash buckets, and a commit
+replaces the buckets it touches, so one edited file rewrites a small part of them.
+What a commit adds is checked before the pointer moves.  A lock file keeps writers
+apart; it names its owner and can be broken when that one is gone.
+
+The root is a folder that the driver and the executors share as a file system.
 """
 
 from __future__ import annotations
 
+import functools
 import json
 import os
+import socket
+import tempfile
+import time
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.locators import LOCATOR
@@ -32,12 +40,49 @@ SCHEMAS = {
     "reason string, detail string, extractor string, units int, recorded_utc string",
 }
 GROWING = ("blobs", "document_versions", "ingest_events", "ingest_runs")
+# The other tables by the key that decides a row's bucket.
+BUCKETED = {"sources": "id", "documents": "id", "text_units": "document_id"}
+BUCKETS = 64
+
+# Constraints of what a commit adds: keys, references, and conditions that no row may meet.
+KEYS = {
+    "blobs": ["sha256"], "sources": ["id"], "documents": ["id"], "document_versions": ["document_id", "blob_sha"],
+    "text_units": ["id"], "ingest_runs": ["id"],
+}
+REFERENCES = [
+    ("documents", "source_id", "sources", "id"), ("documents", "blob_sha", "blobs", "sha256"),
+    ("document_versions", "document_id", "documents", "id"), ("document_versions", "blob_sha", "blobs", "sha256"),
+    ("text_units", "document_id", "documents", "id"), ("text_units", "blob_sha", "blobs", "sha256"),
+    ("ingest_events", "run_id", "ingest_runs", "id"), ("ingest_runs", "source_id", "sources", "id"),
+]
+FORBIDDEN = {
+    "blobs": "sha256 is null or length(sha256) <> 64 or size is null",
+    "sources": "connector is null or uri is null",
+    "documents": "path is null or blob_sha is null or source_id is null or relevance not between 0 and 3",
+    "document_versions": "document_id is null or blob_sha is null",
+    "text_units": "char_count <= 0 or blob_sha is null or locator_json is null or document_id is null or sensitivity not in ('none', 'pii', 'secret')",
+    "ingest_events": "run_id is null or path is null or outcome is null or outcome not in ('extracted', 'unchanged', 'skipped', 'failed')",
+    "ingest_runs": "status is null",
+}
+
+
+def bucket_of(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
 
 
 class StoreError(Exception):
     """A commit that would break a constraint, or a busy store."""
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder that the driver and the executors share, below the one the cluster names for checkpoints."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise StoreError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    root = "/" + named.removeprefix("file:").lstrip("/") if named else tempfile.mkdtemp(prefix="spark-store-")
+    return os.path.join(root, f"store-{uuid.uuid4().hex}")
+
+
 class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root
@@ -52,12 +97,17 @@ class Store:
         except FileNotFoundError:
             return {}
 
-    def table(self, name: str) -> DataFrame:
+    def table(self, name: str, buckets: set[int] | None = None) -> DataFrame:
+        """A table, or of a bucketed one only some buckets."""
         paths = self.parts().get(name, [])
-        if not paths:
-            return self.spark.createDataFrame([], SCHEMAS[name])
+        if buckets is not None:
+            paths = [p for p in paths if _bucket(p) in buckets]
         return self._read(name, paths)
 
+    def touched(self, name: str, keys: DataFrame) -> set[int]:
+        """Buckets of a table that hold or will hold ``keys`` (one column)."""
+        return {r[0] for r in keys.select(bucket_of(F.col(keys.columns[0]))).distinct().collect()}
+
     @contextmanager
     def writing(self):
         """Holds the store's lock."""
@@ -65,46 +115,105 @@ class Store:
         try:
             fd = os.open(lock, os.O_CREAT | os.O_EXCL | os.O_WRONLY)
         except FileExistsError as e:
-            raise StoreError(f"another run holds {lock}") from e
-        os.close(fd)
+            raise StoreError(f"another run holds {lock}: {self.lock_owner()}; if it is gone, Store.break_lock() frees the store") from e
+        with os.fdopen(fd, "w") as f:
+            json.dump({"host": socket.gethostname(), "pid": os.getpid(), "since": time.strftime("%Y-%m-%dT%H:%M:%SZ", time.gmtime())}, f)
         try:
             yield
         finally:
-            os.unlink(lock)
+            self.break_lock()
 
-    def commit(self, changes: dict[str, DataFrame]) -> None:
-        """Writes all changes, checks them, then moves the pointer."""
+    def lock_owner(self) -> dict:
+        """Who holds the lock and since when; empty if nobody does."""
+        try:
+            with open(os.path.join(self.root, "LOCK")) as f:
+                return json.load(f)
+        except FileNotFoundError:
+            return {}
+        except ValueError:
+            return {"host": "unknown"}
+
+    def break_lock(self) -> None:
+        """Frees the store.  Rows of a run that died are in no snapshot, so nothing else needs mending."""
+        try:
+            os.unlink(os.path.join(self.root, "LOCK"))
+        except FileNotFoundError:
+            pass
+
+    def commit(self, changes: dict[str, DataFrame], buckets: dict[str, set[int]] | None = None) -> None:
+        """Writes all changes, checks them, then moves the pointer.
+
+        A growing table's change is the rows to add.  A bucketed one's is all rows of the
+        buckets named for it in ``buckets`` (of all of them, if it isn't named there).
+        """
         parts, batch = self.parts(), uuid.uuid4().hex[:12]
+        fresh: dict[str, list[str]] = {}
         for name, df in changes.items():
             where = os.path.join(name, f"batch={batch}")
-            writer = df.select(*self.spark.createDataFrame([], SCHEMAS[name]).columns).write
+            rows = df.select(*_columns(self.spark, name))
             # Blobs lie by the first two digits of their hash, so a lookup reads one shard.
-            (writer.partitionBy("shard") if name == "blobs" else writer).parquet(os.path.join(self.root, where))
-            parts[name] = [*parts.get(name, []), where] if name in GROWING else [where]
-        self._check({n: self._read(n, p) for n, p in parts.items() if n in changes})
-        fresh = f"{self.pointer}.{batch}"
-        with open(fresh, "w") as f:
+            if name in BUCKETED:
+                rows = rows.withColumn("bucket", bucket_of(F.col(BUCKETED[name]))).repartition("bucket")
+            by = ["shard"] if name == "blobs" else ["bucket"] if name in BUCKETED else []
+            rows.write.partitionBy(*by).parquet(os.path.join(self.root, where))
+            fresh[name] = [where]
+            if name in BUCKETED:
+                gone = (buckets or {}).get(name, set(range(BUCKETS)))
+                made = sorted(d for d in os.listdir(os.path.join(self.root, where)) if d.startswith("bucket="))
+                fresh[name] = [os.path.join(where, d) for d in made]
+                if any(_bucket(p) not in gone for p in fresh[name]):
+                    raise StoreError(f"{name}: rows outside of the buckets to be replaced")
+                parts[name] = [p for p in parts.get(name, []) if _bucket(p) not in gone]
+            parts[name] = [*parts.get(name, []), *fresh[name]]
+        self._check(fresh, parts)
+        pointer = f"{self.pointer}.{batch}"
+        with open(pointer, "w") as f:
             json.dump(parts, f)
             f.flush()
             os.fsync(f.fileno())
-        os.replace(fresh, self.pointer)
+        os.replace(pointer, self.pointer)
 
     def _read(self, name: str, paths: list[str]) -> DataFrame:
-        read = self.spark.read.schema(SCHEMAS[name]).option("basePath", os.path.join(self.root, name))
-        rows = read.parquet(*[os.path.join(self.root, p) for p in paths])
-        return rows.select(*self.spark.createDataFrame([], SCHEMAS[name]).columns)
-
-    def _check(self, tables: dict[str, DataFrame]) -> None:
-        keys = {"blobs": ["sha256"], "sources": ["id"], "documents": ["id"], "document_versions": ["document_id", "blob_sha"], "text_units": ["id"]}
-        for name, key in keys.items():
-            if name in tables and not tables[name].groupBy(*key).count().filter("count > 1").isEmpty():
-                raise StoreError(f"{name}: {key} is not unique")
-        if "text_units" in tables and not tables["text_units"].filter("char_count <= 0 or blob_sha is null or locator_json is null").isEmpty():
-            raise StoreError("text_units: empty text or missing locator")
-        if "text_units" in tables and "documents" in tables:
-            docs = tables["documents"].select(F.col("id").alias("d"))
-            if not tables["text_units"].join(docs, F.col("document_id") == F.col("d"), "left_anti").isEmpty():
-                raise StoreError("text_units: unknown document")
+        if not paths:
+            return self.spark.createDataFrame([], SCHEMAS[name])
+        rows = self.spark.read.schema(SCHEMAS[name])
+        if name == "blobs":  # the shard is in the path
+            rows = rows.option("basePath", os.path.join(self.root, name))
+        return rows.parquet(*[os.path.join(self.root, p) for p in paths]).select(*_columns(self.spark, name))
+
+    def _check(self, fresh: dict[str, list[str]], parts: dict[str, list[str]]) -> None:
+        """Looks at what the commit adds, in one job; of other tables only the columns that are referred to."""
+        added = {n: self._read(n, p) for n, p in fresh.items() if p}
+        whole = {n: self._read(n, p) for n, p in parts.items()}
+        found = []
+
+        def broken(rows: DataFrame, what: str) -> None:
+            found.append(rows.limit(1).select(F.lit(what).alias("what")))
+
+        for name, rows in added.items():
+            key = KEYS.get(name)
+            if key:
+                # A bucket is written whole; what a growing table holds already can clash with what is added.
+                known = whole[name].select(*key) if name in GROWING else rows.select(*key)
+                near = known.join(rows.select(*key).distinct(), key, "left_semi") if name in GROWING else known
+                broken(near.groupBy(*key).count().filter("count > 1"), f"{name}: {', '.join(key)} is not unique")
+            broken(rows.filter(FORBIDDEN[name]), f"{name}: not allowed: {FORBIDDEN[name]}")
+        for child, column, parent, key in REFERENCES:
+            if child in added:
+                there = whole[parent].select(F.col(key).alias("_k")) if parent in whole else self._read(parent, []).select(F.col(key).alias("_k"))
+                asked = added[child].filter(F.col(column).isNotNull()).select(column).distinct()
+                broken(asked.join(there, F.col(column) == F.col("_k"), "left_anti"), f"{child}: {column} is in no row of {parent}")
+        wrong = [r["what"] for r in functools.reduce(DataFrame.unionByName, found).collect()] if found else []
+        if wrong:
+            raise StoreError("; ".join(wrong))
+
+
+def _columns(spark: SparkSession, name: str) -> list[str]:
+    return spark.createDataFrame([], SCHEMAS[name]).columns
+
+
+def _bucket(path: str) -> int:
+    return int(path.rsplit("bucket=", 1)[1])
 
 
 # Merges: set-based forms of insert-or-update.  All take and give plain rows.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from .functions import fixed, ids, lines, locators, media, triage
 from .operators.extract import extract, route
 from .plans import ingest, ledger, query
-from .plans.store import merge_rows, new_blobs, new_versions, replace_units
+from .plans.store import Store, merge_rows, new_blobs, new_versions, replace_units, shared_folder
 
 SUFFIXES = [".txt", ".md", ".py", ".log", ".min.js", ".env", ".csv", ".rst"]
 SOURCE = "tables"
@@ -312,8 +312,54 @@ def unchanged_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     one, two = _snapshot(spark, sf_dir, 1), _snapshot(spark, sf_dir, 2)
     had = one.withColumn("n", F.size(lines.windows(lines.split_lines(F.col("text"))))).select("id", F.col("blob_sha").alias("old_sha"), "n")
     seen = two.join(had, "id", "left")
-    same = (F.col("old_sha") == F.col("blob_sha")) & (F.col("n") > 0)
-    return seen.select("id", F.when(F.coalesce(same, F.lit(False)), "unchanged").otherwise("read").alias("verdict"))
+    same = ingest.is_unchanged(F.col("old_sha"), F.col("blob_sha"), F.col("n") > 0)
+    return seen.select("id", F.when(same, "unchanged").otherwise("read").alias("verdict"))
+
+
+RUN_SUFFIXES = [".txt", ".py", ".log", ".min.js", ".env", ".json"]
+
+
+def _entries(spark: SparkSession, sf_dir: str, run: int) -> DataFrame:
+    """Documents as entries of a walk: some pruned, empty or too large; what ends in .json is none; run 2 edits every third."""
+    doc = F.col("doc_id")
+    ext = F.element_at(F.array(*map(F.lit, RUN_SUFFIXES)), (doc % len(RUN_SUFFIXES) + 1).cast("int"))
+    text = F.concat(F.when(ext == ".json", "{ ").otherwise(""), F.coalesce("text", F.lit("")))
+    if run == 2:
+        text = F.when(doc % 3 == 0, F.concat(text, F.lit("\nedited"))).otherwise(text)
+    size = F.when(doc % 11 == 0, 0).when(doc % 13 == 0, fixed.MAX_BLOB_BYTES + doc).otherwise(F.octet_length("content"))
+    return (
+        _table(spark, sf_dir, "documents")
+        .select(doc, F.concat(F.coalesce("source", F.lit("none")), F.lit("/"), doc.cast("string"), ext).alias("path"), F.encode(text, "UTF-8").alias("content"))
+        .select(
+            F.when(doc % 17 == 0, "pruned").otherwise("file").alias("entry_kind"), F.lpad(doc.cast("string"), 20, "0").alias("seq"), "path",
+            size.cast("long").alias("size"), F.col("path").alias("origin"), F.lit("").alias("revision"), F.lit(None).cast("string").alias("media_type"), "content",
+        )
+    )
+
+
+def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Store, list[ingest.Run]]:
+    """A store after two runs of the engine over all documents."""
+    store = Store(spark, shared_folder(spark))
+    return store, [ingest.ingest_entries(spark, _entries(spark, sf_dir, r), store, SOURCE, "documents", has_content=True) for r in (1, 2)]
+
+
+def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of two runs of the engine, the second over edited files."""
+    store, runs = _ingested(spark, sf_dir)
+    run = F.when(F.col("run_id") == runs[0].id, 1).otherwise(2)
+    return store.table("ingest_events").select(run.alias("run"), "path", "outcome", "reason", "units", (F.col("detail") != "").alias("has_detail"))
+
+
+def ingest_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the store holds of each document after two runs: current bytes, versions, units."""
+    store, _ = _ingested(spark, sf_dir)
+    versions = store.table("document_versions").groupBy("document_id").agg(F.count("*").alias("versions"))
+    units = store.table("text_units").groupBy("document_id").agg(F.count("*").alias("units"), F.sum("char_count").alias("chars"), F.max("ordinal").cast("long").alias("last"))
+    blobs = store.table("blobs").select(F.col("sha256").alias("blob_sha"), F.col("size").alias("stored"))
+    docs = store.table("documents").withColumnRenamed("id", "document_id")
+    full = docs.join(versions, "document_id").join(units, "document_id", "left").join(blobs, "blob_sha")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("long").alias(c)
+    return full.select("document_id", "path", "blob_sha", "stored", "relevance", "versions", zero("units"), zero("chars"), "last")
 
 
 def source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,6 +374,6 @@ QUERIES = {
     for f in (
         text_windows, unit_ids, path_triage, sensitivity, blob_dedup, document_upsert, version_append, unit_replace, unchanged_gate, find_units,
         sensitive_units, gap_report, run_counters, event_list, table_counts, resolve_units, verify_units, verify_blobs, source_order,
-        markdown_units, mermaid_units, plantuml_units, csv_units, html_units, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units,
+        markdown_units, mermaid_units, plantuml_units, csv_units, html_units, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units, ingest_ledger, ingest_tables,
     )
 }

@@ -1,8 +1,8 @@
 """Directory trees as a Spark data source, and the reader that fetches bytes.
 
 ``spark.read.format("tree").option("path", root)`` lists every file of a tree,
-also hidden and empty ones, and every directory that is not entered.  Each
-top-level directory is a partition.  Rows carry metadata only; bytes are read
+also hidden and empty ones, and every directory that is not entered.  The upper
+folders are partitions of their own, also those inside one big folder.  Rows carry metadata only; bytes are read
 in a second step, after the size gates.
 """
 
@@ -18,6 +18,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..functions.fixed import SKIP_DIRS
 
+PARTITIONS = 128
 ENTRY = "entry_kind string, seq string, path string, size bigint, origin string, revision string, media_type string"
 
 
@@ -28,36 +29,42 @@ def _size(path: str) -> int:
         return 0  # an unreadable file is met again, and skipped, as empty
 
 
-def _walk(root: str, top: str) -> Iterator[tuple]:
-    """Pruned directories, then files, then subdirectories, each in name order.
+def _listed(folder: str) -> list[os.DirEntry]:
+    """Entries in name order; an unreadable folder has none."""
+    try:
+        with os.scandir(folder) as it:
+            return sorted(it, key=lambda e: e.name)
+    except OSError:
+        return []
 
-    seq sorts as the walk runs: one component per level, rank before name.
-    """
 
-    def rows(folder: str, prefix: str, order: str, only: str | None) -> Iterator[tuple]:
-        try:
-            with os.scandir(folder) as it:
-                entries = sorted(it, key=lambda e: e.name)
-        except OSError:
-            return
-        dirs = [e for e in entries if e.is_dir()]
-        for e in dirs:
-            if e.name in SKIP_DIRS and only in (None, ""):
-                yield ("pruned", f"{order}0{e.name}\1", prefix + e.name, 0, e.path)
-        if only in (None, ""):
-            for e in entries:
-                if not e.is_dir():
-                    yield ("file", f"{order}1{e.name}\1", prefix + e.name, _size(e.path), e.path)
-        for e in dirs:
-            if e.name not in SKIP_DIRS and not e.is_symlink() and (only is None or only == e.name):
-                yield from rows(e.path, f"{prefix}{e.name}/", f"{order}2{e.name}\1", None)
+def _entered(e: os.DirEntry) -> bool:
+    return e.is_dir() and not e.is_symlink() and e.name not in SKIP_DIRS
 
-    yield from rows(root, "", "", top)
+
+def _walk(root: str, folder: str, deep: bool) -> Iterator[tuple]:
+    """Rows of one folder (relative, empty for the root), and of all below if ``deep``:
+    pruned directories, then files, then subdirectories, each in name order.
+
+    seq sorts as a walk from the root runs: one component per level, rank before name.
+    """
+    prefix = folder + "/" if folder else ""
+    order = "".join(f"2{name}\1" for name in folder.split("/") if name)
+    entries = _listed(os.path.join(root, folder))
+    for e in entries:
+        if e.is_dir() and e.name in SKIP_DIRS:
+            yield "pruned", f"{order}0{e.name}\1", prefix + e.name, 0, e.path
+        elif not e.is_dir():
+            yield "file", f"{order}1{e.name}\1", prefix + e.name, _size(e.path), e.path
+    if deep:
+        for e in entries:
+            if _entered(e):
+                yield from _walk(root, prefix + e.name, True)
 
 
-class _Top(InputPartition):
-    def __init__(self, name: str):
-        self.value = name
+class _Folder(InputPartition):
+    def __init__(self, folder: str, deep: bool):
+        self.folder, self.deep = folder, deep
 
 
 class _TreeReader(DataSourceReader):
@@ -65,13 +72,15 @@ class _TreeReader(DataSourceReader):
         self.root, self.revision = root, revision
 
     def partitions(self) -> list[InputPartition]:
-        """The root's own files, and one partition per top-level directory."""
-        with os.scandir(self.root) as it:
-            tops = sorted(e.name for e in it if e.is_dir() and not e.is_symlink() and e.name not in SKIP_DIRS)
-        return [_Top(""), *map(_Top, tops)]
+        """Folders level by level, each its own files, until there are ``PARTITIONS``; those then left, with all below."""
+        parts, level = [], [""]
+        while level and len(parts) + len(level) < PARTITIONS:
+            parts += [_Folder(folder, False) for folder in level]
+            level = [os.path.join(folder, e.name) for folder in level for e in _listed(os.path.join(self.root, folder)) if _entered(e)]
+        return [*parts, *(_Folder(folder, True) for folder in level)]
 
     def read(self, partition: InputPartition) -> Iterator[tuple]:
-        for kind, seq, path, size, origin in _walk(self.root, partition.value):
+        for kind, seq, path, size, origin in _walk(self.root, partition.folder, partition.deep):
             yield kind, seq, path, size, origin, self.revision, None
 
 

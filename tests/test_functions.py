@@ -1,6 +1,8 @@
 """Column functions against plain statements of the rules."""
 
 import random
+import hashlib
+import os
 import re
 
 import pytest
@@ -9,7 +11,7 @@ from pyspark.sql import functions as F
 from spanstore.functions import fixed, ids, lines, locators, media, triage
 from spanstore.operators.extract import READERS, Reader, availability, route
 from spanstore.plans.query import contains
-from spanstore.sources.connectors import ConnectorError, FilesystemConnector, GitConnector, TextConnector, clone_slug, select_connector
+from spanstore.sources.connectors import ConnectorError, select_connector, slug
 
 
 def evaluate(spark, values, column, schema="x string"):
@@ -104,8 +106,6 @@ def test_locators(spark):
 
 
 def test_ids(spark):
-    import hashlib
-
     want = hashlib.sha256("\0".join(["document", "s", "a/b"]).encode()).hexdigest()[:32]
     assert evaluate(spark, ["a\\b"], lambda x: ids.document_id(F.lit("s"), x)) == [want]
 
@@ -128,11 +128,27 @@ def test_routing(spark):
 
 
 def test_connectors(tmp_path):
-    assert isinstance(select_connector(str(tmp_path)), FilesystemConnector)
-    assert isinstance(select_connector("git@host:x/y"), GitConnector)
-    assert isinstance(select_connector("line\nline"), TextConnector)
-    assert re.fullmatch(r"my-repo-[0-9a-f]{8}", clone_slug("https://h/My Repo.git"))
-    for bad, kind in (("", None), ("x", "mcp"), ("x", "nope"), ("s3://b/k", None), ("/no/such", None)):
+    real, link, note = tmp_path / "real", tmp_path / "link", tmp_path / "note.txt"
+    real.mkdir()
+    link.symlink_to(real)
+    note.write_text("x")
+    digest = hashlib.sha256(b"line\nline").hexdigest()
+    cases = {
+        (str(tmp_path), None): ("filesystem", os.path.realpath(tmp_path), tmp_path.name),
+        (str(link), None): ("filesystem", os.path.realpath(real), "real"),
+        (f"  {note} ", None): ("file", os.path.realpath(note), "note.txt"),
+        ("git@host:x/y", None): ("git", "git@host:x/y", "y"),
+        ("https://h/My Repo.git", None): ("git", "https://h/My Repo.git", "my-repo"),
+        ("see github.com for it", None): ("git", "see github.com for it", "see-github.com-for-it"),
+        (" line\nline\n", None): ("text", "text:" + digest[:16], "pegado"),
+        ("w" * 201, None): ("text", "text:" + hashlib.sha256(b"w" * 201).hexdigest()[:16], "pegado"),
+        ("short", "text"): ("text", "text:" + hashlib.sha256(b"short").hexdigest()[:16], "pegado"),
+    }
+    for (target, kind), want in cases.items():
+        got = select_connector(target, kind)
+        assert (got.name, got.uri, got.label) == want
+    assert re.fullmatch(r"my-repo-[0-9a-f]{8}", slug("https://h/My Repo.git"))
+    for bad, kind in (("", None), ("", "text"), (None, None), ("x", "mcp"), ("x", "nope"), ("s3://b/k", None), ("/no/such", None)):
         with pytest.raises(ConnectorError):
             select_connector(bad, kind)
 

@@ -10,9 +10,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanstore.cli import main
+from spanstore.functions import locators
+from spanstore.operators import extract
 from spanstore.plans import ledger, query
 from spanstore.plans.ingest import ingest
-from spanstore.plans.store import Store
+from spanstore.plans.store import BUCKETED, SCHEMAS, Store, StoreError
 from spanstore.sources.workspace import Workspace
 
 
@@ -143,7 +145,7 @@ def test_pasted_text_and_cli(spark, tmp_path, capsys):
     for command in (["runs"], ["ledger"], ["gaps"], ["find", "NOTE"], ["doctor"], ["stats"]):
         assert main(["--root", str(tmp_path), *command], spark) == 0
     out = capsys.readouterr().out
-    assert "pasted.txt · lines 1-2" in out and "sensitive\t1" in out
+    assert "pegado.txt · lines 1-2" in out and "sensitive\t1" in out
     unit = Store(spark, Workspace.resolve(str(tmp_path)).tables).table("text_units").first()["id"]
     assert main(["--root", str(tmp_path), "show", unit], spark) == 0
     assert "identical to the bytes" in capsys.readouterr().out
@@ -166,5 +168,120 @@ def test_git_source(spark, tmp_path):
     store = Store(spark, workspace.tables)
     got = {r["path"]: r["outcome"] for r in store.table("ingest_events").collect()}
     assert got == {".git": "skipped", "a.md": "extracted"}
+    assert store.table("sources").first()["label"] == "origin"
     assert len(store.table("sources").first()["revision"]) == 40
     assert os.path.isdir(workspace.clones)
+
+
+def test_links_and_big_folders_are_walked_in_order(spark, tmp_path, monkeypatch):
+    from spanstore.sources import tree
+
+    for i in range(6):
+        (tmp_path / "big" / f"d{i}" / "deep").mkdir(parents=True)
+        (tmp_path / "big" / f"d{i}" / "deep" / f"f{i}.txt").write_text("x")
+    (tmp_path / "big" / ".git").mkdir()
+    (tmp_path / "link").symlink_to(tmp_path / "big")
+    want = None
+    for parts in (1, 4, 128):
+        monkeypatch.setattr(tree, "PARTITIONS", parts)
+        got = [(r["entry_kind"], r["path"]) for r in tree.read_tree(spark, str(tmp_path)).orderBy("seq").collect()]
+        want = want or got
+        assert got == want
+    assert want == [("pruned", "big/.git"), *(("file", f"big/d{i}/deep/f{i}.txt") for i in range(6))]
+
+
+def test_store_refuses_what_breaks_a_constraint(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    blank = lambda name: spark.createDataFrame([], SCHEMAS[name])
+    sha = "a" * 64
+    row = lambda name, **v: blank(name).unionByName(spark.createDataFrame([tuple(v.values())], ", ".join(f"{k} {blank(name).schema[k].dataType.simpleString()}" for k in v)), allowMissingColumns=True)
+    blob = row("blobs", sha256=sha, size=1, shard="aa")
+    source = row("sources", id="s", connector="c", uri="u")
+    document = row("documents", id="d", source_id="s", path="p", blob_sha=sha, relevance=1)
+    store.commit({"blobs": blob, "sources": source, "documents": document})
+    before = store.parts()
+    unit = dict(id="u", document_id="d", blob_sha=sha, locator_json="{}", char_count=1, sensitivity="none")
+    for name, bad in (
+        ("blobs", row("blobs", sha256="short", size=1, shard="sh")),
+        ("blobs", blob),  # stands already
+        ("documents", row("documents", id="e", source_id="nobody", path="p", blob_sha=sha, relevance=1)),
+        ("documents", row("documents", id="e", source_id="s", path="p", blob_sha="b" * 64, relevance=1)),
+        ("documents", document.unionByName(document)),
+        ("document_versions", row("document_versions", document_id="x", blob_sha=sha)),
+        ("text_units", row("text_units", **{**unit, "char_count": 0})),
+        ("text_units", row("text_units", **{**unit, "document_id": "x"})),
+        ("text_units", row("text_units", **{**unit, "blob_sha": "b" * 64})),
+        ("text_units", row("text_units", **{**unit, "sensitivity": "other"})),
+        ("ingest_events", row("ingest_events", run_id="r", path="p", outcome="skipped")),
+    ):
+        with pytest.raises(StoreError):
+            store.commit({name: bad}, {name: store.touched(name, bad.select(BUCKETED[name]))} if name in BUCKETED else None)
+        assert store.parts() == before
+    store.commit({"text_units": row("text_units", **unit)}, {"text_units": store.touched("text_units", document.select("id"))})
+    assert store.table("text_units").count() == 1 and store.table("documents").count() == 1
+
+
+def test_lock_names_its_owner_and_can_be_broken(spark, tmp_path):
+    store = Store(spark, str(tmp_path))
+    with store.writing():
+        assert store.lock_owner()["pid"] == os.getpid()
+        with pytest.raises(StoreError, match=str(os.getpid())), store.writing():
+            pass
+        store.break_lock()
+        with store.writing():
+            pass
+    assert store.lock_owner() == {}
+
+
+def test_an_edit_rewrites_few_buckets(site, spark):
+    root, workspace, store, _, _ = site
+    before = store.parts()
+    path = root / "one/app/run.py"
+    old = path.read_text()
+    path.write_text("def stop():\n    return 2\n")
+    ingest(spark, str(root), workspace)
+    after = store.parts()
+    assert len(set(after["text_units"]) - set(before["text_units"])) == 1
+    path.write_text(old)
+    ingest(spark, str(root), workspace)
+
+
+def test_registered_reader_gets_its_documents(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(extract, "READERS", list(extract.READERS))
+
+    def read(data, path):
+        yield {"locator": {"kind": "page", "number": 1}, "text": f"{len(data)} bytes", "verbatim": False, "meta": {"pages": 1}}
+
+    def fails(text, path):
+        raise RuntimeError("no")
+
+    extract.register(extract.Reader("pdf", ("application/pdf",), (".pdf",), read, binary=True))
+    extract.register(extract.Reader("odd", (), (".odd",), fails))
+    (tmp_path / "a.pdf").write_bytes(b"%PDF\xff\x00")
+    (tmp_path / "b.odd").write_text("x")
+    workspace = Workspace.resolve(str(tmp_path / "ws"))
+    run = ingest(spark, str(tmp_path / "a.pdf"), workspace)
+    other = ingest(spark, str(tmp_path / "b.odd"), workspace)
+    store = Store(spark, workspace.tables)
+    assert [r["text"] for r in store.table("text_units").collect()] == ["6 bytes"]
+    assert by_path(store, run)["a.pdf"]["outcome"] == "extracted"
+    failed = by_path(store, other)["b.odd"]
+    assert (failed["outcome"], failed["reason"], failed["detail"]) == ("failed", "extractor_error", "RuntimeError: no")
+    assert extract.availability(spark).filter("name = 'pdf'").first()["available"]
+
+
+def test_byte_spans_and_new_locator_kinds(spark, monkeypatch):
+    monkeypatch.setattr(locators, "KINDS", dict(locators.KINDS))
+    locators.register_kind("frame", ["number", "path"])
+    frame = locators.locator("frame", number=F.lit(7), path=F.lit("clip"))
+    got = spark.range(1).select(locators.canonical_json(frame), locators.is_valid(frame), locators.label(frame)).first()
+    assert tuple(got) == ('{"kind":"frame","number":7,"path":"clip"}', True, "frame")
+    with pytest.raises(ValueError):
+        locators.register_kind("bad", ["nowhere"])
+    blobs = spark.createDataFrame([("s", bytearray("aé\nb".encode()))], "sha256 string, content binary")
+    spans = [(0, 1, "a", None), (1, 3, "é", None), (3, 99, "\nb", None), (1, 2, "\ufffd", None), (5, 6, None, "past")]
+    units = spark.createDataFrame([(i, a, b) for i, (a, b, *_) in enumerate(spans)], "id int, a long, b long")
+    units = units.select("id", F.lit("s").alias("blob_sha"), F.lit("t").alias("text"), locators.locator("bytes", start=F.col("a"), end=F.col("b")).alias("locator"))
+    rows = query.resolve(units, blobs).orderBy("id").collect()
+    for row, (_, _, text, error) in zip(rows, spans):
+        assert row["resolved"] == text and row["exact"] == (error is None) and (error is None or error in row["error"])
