@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import gc
 import math
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -24,27 +25,67 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of our own only where none is named."""
+    """The cluster's shared folder.  Only a local session may do without one: it has one machine's disk."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         named = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(named)
     return named
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_open = threading.local()
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage durably: a lost executor rereads the files instead of
-    recomputing the work, and later branches share one result.
+    recomputing the work, and later branches share one result.  Spark drops the
+    shuffle files of the write as it ends; the table itself goes with the
+    :func:`scratch` block it was made in.
     """
-    path = f"{shared_dir(df.sparkSession)}/tables/{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    # Shuffle files of finished work go when the driver collects its garbage,
-    # which a roomy driver may not do for hours.
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stored_at = path
+    for tables in getattr(_open, "scopes", [])[-1:]:
+        tables.append(path)
+    return out
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """A block whose stored tables are deleted at its end, but for what is passed to the function it gives."""
+    scopes = _open.scopes = getattr(_open, "scopes", [])
+    mine: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        mine.remove(df._stored_at)
+        for outer in scopes[-2:-1]:
+            outer.append(df._stored_at)
+        return df
+
+    scopes.append(mine)
+    try:
+        yield keep
+    finally:
+        scopes.pop()
+        for path in mine:
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def let(value: Column, body) -> Column:
