@@ -251,7 +251,10 @@ def test_near_duplicates(docs):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted({r["component_id"] for r in got})
 
 
-def test_family_larger_than_the_star_limit(spark):
+@pytest.mark.parametrize("tile", [1 << 20, 4000])
+def test_family_in_one_tile_and_in_many(spark, monkeypatch, tile):
+    monkeypatch.setattr(jaccard_join, "TILE", tile)
+    monkeypatch.setattr(jaccard_join, "TILE_POINTS", 1 << 14 if tile > 4000 else 40)
     r = random.Random(8)
     base = [f"w{r.randrange(10**6)}" for _ in range(260)]
 
@@ -261,7 +264,7 @@ def test_family_larger_than_the_star_limit(spark):
             ws[r.randrange(len(ws))] = f"e{r.randrange(10**6)}"
         return " ".join(ws)
 
-    rows = [(i, edited(r.choice((0, 1, 2, 4, 6, 9)))) for i in range(60)]
+    rows = [(i, edited(r.choice((0, 1, 2, 4, 6, 9)))) for i in range(120)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert {tuple(x) for x in jaccard_join.link_documents(df).collect()} == brute_components(rows)
 
@@ -273,12 +276,19 @@ def test_tree_leaves_no_pair_out():
         base = sets[r.integers(len(sets))] if sets and r.random() < 0.7 else r.integers(0, 1 << 62, r.integers(5, 60)).astype(np.uint64)
         sets.append(np.unique(np.concatenate([base[r.random(len(base)) > 0.07], r.integers(0, 1 << 62, 2).astype(np.uint64)])))
     tree = jaccard_join.RTree(np.stack([jaccard_join.count_vector(s) for s in sets]), np.arange(150))
-    left = {tuple(sorted(p)) for p in tree.pairs()}
+    left = [tuple(sorted((i, j))) for i, mates in tree.candidates() for j in mates.tolist()]
+    assert len(left) == len(set(left))
     for i in range(150):
         for j in range(i):
             both = len(np.intersect1d(sets[i], sets[j]))
             if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both):
                 assert (j, i) in left
+    # Linked in one task, the roots are the components of brute force.
+    pairs_ = [(i, j) for i in range(150) for j in range(i) if 100 * (k := len(np.intersect1d(sets[i], sets[j]))) >= 80 * (len(sets[i]) + len(sets[j]) - k)]
+    whole = jaccard_join.Joined(np.arange(150))
+    for i, j in pairs_:
+        whole.join(i, j)
+    assert jaccard_join.link_group(sets, np.arange(150)).tolist() == whole.roots().tolist() and len(set(whole.roots())) < 120
 
 
 def test_suffix_dedup(docs, spark, monkeypatch):
