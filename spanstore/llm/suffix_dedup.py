@@ -3,35 +3,35 @@
 A window is a string of ``WINDOW`` bytes inside one document; bytes covered by a
 window that also starts anywhere else are removed.
 
-*Letters.*  Sorting every byte's suffix would shuffle many times the input, so
-texts are first parsed into phrases.  Each window p has an anchor m(p): the
-position with the least hash of a ``GRAM``-byte string among those the window
-holds.  Equal windows have their anchors at the same distance, so an anchor
-whose gram no other anchor has settles all its windows: none of them repeats.
-This drops most of the text without loss.  A phrase runs from an anchor to
-the gram of the next one; its name is a letter of the text to be sorted.
-
-*Suffix sort (DC3) over letters.*
-1. Triples of letters at positions i mod 3 in {1, 2} are range sorted and named.
-2. The names form a shorter text: triples of names (i, i+3, i+6) are sorted and
-   give the sample's ranks.  Nine phrases are far longer than a window, so the
-   recursion ends here; ties beyond only leave work to step 5.
-3. The remaining suffixes (i mod 3 = 0) merge with either half of the sample
-   through sorted lists of (letter, rank of i+1) and (letter, letter, rank of i+2).
-4. Adjacent suffixes of each list are compared; a shared prefix of L >= WINDOW
-   bytes settles the windows that start in its first L - WINDOW + 1 bytes.
-5. Suffixes that start inside a phrase and are still open repeat if their anchor's
-   windows all stand together at another one too.  The rest is merged by
-   fingerprints: of a coarse string that neighbouring windows share, of all these
-   windows together, and only where the two disagree of each window; sorted,
-   equal neighbours repeat.
-
-Every step is a shuffle of narrow rows; a text moves only if it has
-open windows or bytes to lose.  Names are 64-bit and window fingerprints 96-bit.
+*Cover.*  A difference cover is a sample of positions such that any two equal
+strings hold sampled positions at the same distance.  Here the text chooses it:
+each window p has an anchor m(p), the position with the least hash of a
+``GRAM``-byte string among those the window holds, so equal windows have their
+anchors at the same distance.  Only anchors are sampled suffixes, about one in
+forty bytes, and suffixes to be compared always have one gram at their anchor, so
+the sort runs gram by gram.  An anchor whose gram no other anchor has settles all
+its windows (none repeats), and a surrounding (the string all windows of an anchor
+cover) that stands at two anchors settles them too (all repeat).
+
+*Sort.*  What is left open:
+1. The right contexts of a gram's anchors are cut into words of eight bytes; triples
+   of words are sorted and named, triples of names are sorted and named again
+   (the recursion), and one more triple, 27 words, is longer than a window:
+   its name is the rank of the sampled suffix.  The left contexts are sorted alike.
+2. Suffixes that start ``d`` bytes before an anchor, the ones not sampled, are merged by
+   their leading ``d`` bytes and the order of the suffix at the anchor.
+3. Neighbours in the order are compared: those that share ``WINDOW`` bytes repeat.
+
+Every comparison of step 3 is on bytes; hashes only bring together what is to be
+compared (a gram's 64 bits) or state the equality of a surrounding (gram and
+64 more bits).  A text is known by its 128-bit hash, and equal texts count as one that
+stands several times.  A gram with more than ``SPLIT`` surroundings is split by the
+bytes around it.  A text moves only if it has open windows or bytes to lose.
 
 Edge cases: a null text is empty; texts shorter than a window lose nothing;
 repeated rows are copies of each other; windows may overlap themselves in a
-periodic text.  Only the key and the text are read.
+periodic text; a text is held whole by one worker, with some ten arrays of its length;
+an empty table gives an empty result.  Only the key and the text are read.
 """
 
 from __future__ import annotations
@@ -41,17 +41,18 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import key_runs, maybe_among, run_starts, stored, table
+from .common import key_runs, maybe_among, run_starts, scratch, stored, table
 from .textgrams import Powers, mix64
 
 WINDOW = 200
 GRAM = 32
-COARSE = 24
-DEPTH = 3  # phrases a list row carries for the comparison with its neighbours
+WORD = 8  # bytes of a letter of the sort
+SPLIT = 20_000
+AT_ONCE = 20_000  # contexts sorted together
+OUT_BYTES = 1 << 23
 
 _POWERS = (Powers(), Powers(0xD1B54A32D192ED03))
 
@@ -96,335 +97,273 @@ def _raw(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def _i64(values) -> pa.Array:
-    return pa.array(np.asarray(values).astype(np.uint64).view(np.int64) if np.asarray(values).dtype == np.uint64 else np.asarray(values, np.int64))
-
-
-def _batch(**columns) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([_i64(c) for c in columns.values()], list(columns))
-
-
-def _longs(batch: pa.RecordBatch, *names: str) -> list[np.ndarray]:
-    return [batch[n].to_numpy(zero_copy_only=False) for n in names]
-
-
-def _schema(names: str) -> str:
-    return ", ".join(f"`{n}` long" for n in names.split())
-
-
-LETTER = "row i g c block x lo hi after"
+LETTER = "g long, block long, row binary, x int, lo int, hi int"
 
 
 def _letters(docs: DataFrame) -> DataFrame:
-    """Anchors of every text: LETTER.  after: the next anchor, -1 if none."""
+    """Anchors of every text, once a split: gram, surrounding, text, place, first and last window."""
+    names = ["g", "block", "row", "x", "lo", "hi"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
             out: list[tuple] = []
+            rows: list[bytes] = []
             for row, text in zip(batch["row"].to_pylist(), batch["text"].to_pylist()):
+                if row in seen:
+                    continue
+                seen.add(row)
                 raw = _raw(text)
                 x, lo, hi, gram = anchors(raw)
                 if not len(x):
                     continue
-                prints = Prints(raw, 1)
-                after = np.append(x[1:], -1)
-                end = np.where(after >= 0, np.minimum(after + GRAM, len(raw)), len(raw))
-                block = prints.of(lo, hi + WINDOW) ^ mix64(((x - lo) * 1024 + (hi - lo)).astype(np.uint64))
-                out.append((np.full(len(x), row), np.arange(len(x)), gram, prints.of(x, end), block, x, lo, hi, after))
+                block = Prints(raw, 1).of(lo, hi + WINDOW) ^ mix64(((x - lo) * 1024 + (hi - lo)).astype(np.uint64))
+                out.append((gram.view(np.int64), block.view(np.int64), x.astype(np.int32), lo.astype(np.int32), hi.astype(np.int32)))
+                rows += [row] * len(x)
             if out:
-                yield _batch(**dict(zip(LETTER.split(), (np.concatenate(c) for c in zip(*out)))))
-
-    return docs.mapInArrow(run, _schema(LETTER))
-
-
-def _repeated(letters: DataFrame) -> DataFrame:
-    """Letters whose gram stands in two places at least; ``twice``: so does the letter."""
+                g, block, x, lo, hi = (pa.array(np.concatenate(c)) for c in zip(*out))
+                yield pa.RecordBatch.from_arrays([g, block, pa.array(rows, pa.binary()), x, lo, hi], names)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in key_runs(batches, "g"):
-            g, c = _longs(batch, "g", "c")
-            starts = run_starts(g)
-            keep = np.repeat(np.diff(starts) > 1, np.diff(starts))
-            pairs = run_starts(g, c)
-            twice = np.repeat(np.diff(pairs) > 1, np.diff(pairs))
-            if keep.any():
-                columns = [pc.filter(col, pa.array(keep)) for col in batch.columns]
-                yield pa.RecordBatch.from_arrays([*columns, _i64(twice[keep])], [*batch.schema.names, "twice"])
-
-    return letters.repartition("g").sortWithinPartitions("g", "c").mapInArrow(run, _schema(LETTER + " twice"))
+    return docs.mapInArrow(run, LETTER)
 
 
-def _by_row(rows: DataFrame, fn, schema: str) -> DataFrame:
-    """``fn`` over batches that hold whole rows in order of i."""
+def _settled(letters: DataFrame) -> DataFrame:
+    """Letters whose gram stands in two places at least, as they stream by in order: ``known`` if the
+    surrounding stands twice, ``lead`` for the first letter of each surrounding."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in key_runs(batches, "row"):
-            out = fn(batch)
-            if out is not None and out.num_rows:
-                yield out
-
-    return rows.repartition("row").sortWithinPartitions("row", "i").mapInArrow(run, _schema(schema))
+        held, before = None, (None, None)  # the last row, which waits for its next neighbour, and the gram and surrounding before it
+
+        def decided(t: pa.RecordBatch, last: bool) -> pa.RecordBatch | None:
+            nonlocal held, before
+            g, block = (t[c].to_numpy(zero_copy_only=False) for c in ("g", "block"))
+            same_g = np.concatenate([[g[0] == before[0]], g[1:] == g[:-1], [False]])
+            same = np.concatenate([[same_g[0] and block[0] == before[1]], same_g[1:-1] & (block[1:] == block[:-1]), [False]])
+            n = len(g) if last else len(g) - 1
+            held = None if last else t.slice(n)
+            if n:
+                before = (g[n - 1], block[n - 1])
+            take = (same_g[:-1] | same_g[1:])[:n]
+            known, lead = (same[:-1] | same[1:])[:n], ~same[:-1][:n]
+            take &= known | lead
+            if not take.any():
+                return None
+            mask = pa.array(take)
+            columns = [pc.filter(t[c].slice(0, n), mask) for c in ("g", "row", "x", "lo", "hi")]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(known[take]), pa.array(lead[take])], ["g", "row", "x", "lo", "hi", "known", "lead"])
 
-
-def _ahead(row: np.ndarray, i: np.ndarray, value: np.ndarray, step: int, else_: int = 0) -> np.ndarray:
-    """value at position i + step of the same row, ``else_`` where it isn't there.  Rows sorted by (row, i)."""
-    out = np.full(len(i), else_, value.dtype)
-    for back in range(1, step + 1):  # i + step stands at most ``step`` places on
-        if back < len(i):
-            hit = (row[back:] == row[:-back]) & (i[back:] == i[:-back] + step)
-            out[:-back][hit] = value[back:][hit]
-    return out
-
-
-def _named(triples: DataFrame, partitions: int) -> DataFrame:
-    """(row, i, name): order-preserving names of triples (row, i, a, b, d), equal for equal triples.
-
-    Range partitions are in order, so partition number and count make a name
-    without any exchange of offsets.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, count, last = (TaskContext.get().partitionId() + 1) << 40, 0, None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            row, i, *abd = _longs(batch, "row", "i", "a", "b", "d")
-            new = np.ones(len(row), np.int64)
-            new[1:] = np.logical_or.reduce([v[1:] != v[:-1] for v in abd])
-            new[0] = last is None or last != tuple(v[0] for v in abd)
-            name = base + count + np.cumsum(new)
-            count, last = count + int(new.sum()), tuple(v[-1] for v in abd)
-            yield _batch(row=row, i=i, name=name)
-
-    keys = ("a", "b", "d")
-    return triples.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys).mapInArrow(run, _schema("row i name"))
-
-
-def _sample_triples(batch: pa.RecordBatch) -> pa.RecordBatch:
-    row, i, c = _longs(batch, "row", "i", "c")
-    b, d = _ahead(row, i, c, 1), _ahead(row, i, c, 2)
-    take = i % 3 != 0
-    return _batch(row=row[take], i=i[take], a=c[take], b=b[take], d=d[take])
+            t = batch if held is None else pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            # The same letter from another split is the next row.
+            g, block, x = (t[c].to_numpy(zero_copy_only=False) for c in ("g", "block", "x"))
+            twin = np.concatenate([[False], (g[1:] == g[:-1]) & (block[1:] == block[:-1]) & (x[1:] == x[:-1])])
+            if twin.any():
+                rows = t["row"]
+                at = np.flatnonzero(twin)
+                twin[at] = pc.equal(rows.take(pa.array(at)), rows.take(pa.array(at - 1))).to_numpy(zero_copy_only=False)
+                t = pa.RecordBatch.from_arrays([pc.filter(c, pa.array(~twin)) for c in t.columns], t.schema.names)
+            out = decided(t, False)
+            if out is not None:
+                yield out
+        if held is not None:
+            out = decided(held, True)
+            if out is not None:
+                yield out
 
+    ordered = letters.repartition("g").sortWithinPartitions("g", "block", "x", "row")
+    return ordered.mapInArrow(run, "g long, row binary, x int, lo int, hi int, known boolean, lead boolean")
 
-def _name_triples(batch: pa.RecordBatch) -> pa.RecordBatch:
-    row, i, name = _longs(batch, "row", "i", "name")
-    return _batch(row=row, i=i, a=name, b=_ahead(row, i, name, 3), d=_ahead(row, i, name, 6))
 
+def _asked(settled: DataFrame, split: int) -> DataFrame:
+    """(g, row, x, first, last, open, wide): the windows whose contexts are to be sorted.
 
-LISTED = "list k0 k1 k2 row i c0 c1 c2 e1 e2 e3"
+    In a gram's group every distance from the anchor that is open somewhere is shown
+    by one letter of each surrounding that has it.
+    """
+    group = Window.partitionBy("g")
+    far, near = (f(F.when(~F.col("known"), F.col("x") - F.col(c))).over(group) for f, c in ((F.max, "lo"), (F.min, "hi")))
+    rows = settled.filter("lead").select("*", far.alias("far"), near.alias("near"), F.count("*").over(group).alias("many"))
+    return rows.select(
+        "g", "row", "x", F.greatest(F.col("lo"), F.col("x") - F.col("far")).alias("first"), F.least(F.col("hi"), F.col("x") - F.col("near")).alias("last"),
+        (~F.col("known")).alias("open"), (F.col("many") > split).alias("wide"),
+    ).filter((F.col("first") <= F.col("last")) & F.col("far").isNotNull() & (F.col("many") > 1))
 
 
-def _lists(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The sorted lists' rows: 0 the sample by rank, 1 and 2 the remaining suffixes with either half of it."""
-    row, i, c, x, after, twice, rank = _longs(batch, "row", "i", "c", "x", "after", "twice", "rank")
-    names, ends, end = [c], [], np.where(after >= 0, after + GRAM - x, 0)
-    ends.append(end)
-    for m in range(1, DEPTH):
-        names.append(_ahead(row, i, c, m))
-        there = _ahead(row, i, np.ones(len(i), np.int64), m) == 1
-        ends.append(np.where(there & (ends[-1] > 0), np.maximum(_ahead(row, i, after, m, -1) + GRAM - x, 0), 0))
-    r1, r2 = _ahead(row, i, rank, 1), _ahead(row, i, rank, 2)
-    zero = np.zeros(len(i), np.int64)
-    parts = []
-    for number, mod, keys in ((0, (1, 2), (rank, zero, zero)), (1, (0, 1), (c, r1, zero)), (2, (0, 2), (c, names[1], r2))):
-        take = np.isin(i % 3, mod) & (twice == 1)
-        columns = (np.full(len(i), number), *keys, row, i, *names, *ends)
-        parts.append([v[take] for v in columns])
-    return _batch(**dict(zip(LISTED.split(), (np.concatenate(v) for v in zip(*parts)))))
+def _listed(column: pa.ListArray, *names: str) -> Iterator[list[np.ndarray]]:
+    """The fields of a list<struct> column, one list of arrays a row, without Python objects."""
+    at = column.offsets.to_numpy() - column.offsets[0].as_py()
+    fields = [column.flatten().field(n).to_numpy(zero_copy_only=False) for n in names]
+    for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
+        yield [f[s:e] for f in fields]
 
 
-def _compared(listed: DataFrame, partitions: int) -> DataFrame:
-    """(row, i, reach): bytes a suffix shares with a neighbour in its list, in whole phrases.
+def _contexts(docs: DataFrame, asked: DataFrame) -> DataFrame:
+    """(k, row, x, first, last, open, bytes): the bytes that the windows of each asked letter cover, by the group k they are sorted in.
 
-    Neighbours parted by a partition's edge are not compared; their windows stay open for step 5.
+    A letter of a wide gram goes to one group for its windows that hold the bytes on the right of the
+    anchor, and to another for those that hold the bytes on its left: groups are split by these bytes.
     """
+    half = (WINDOW - GRAM) // 2
+    goals = stored(asked.groupBy("row").agg(F.collect_list(F.struct("g", "x", "first", "last", "open", "wide")).alias("goals")).withColumnRenamed("row", "_row"))
+    key = F.xxhash64("row")
+    texts = maybe_among(docs.withColumn("_key", key), "_key", goals.select(F.xxhash64("_row"))).select("row", "text").dropDuplicates(["row"])
+    texts = texts.join(goals, F.col("row") == F.col("_row")).select("row", "text", "goals")
+    names = ["k", "row", "x", "first", "last", "open", "bytes"]
+
+    def together(parts: list[tuple]) -> pa.RecordBatch:
+        k, x, first, last, open_ = (np.concatenate(c) for c in list(zip(*parts))[2:])
+        rows = pa.array([row for row, cut, *_ in parts for _ in cut], pa.binary())
+        cut = pa.array([c for _, cut, *_ in parts for c in cut], pa.binary())
+        ints = (pa.array(v.astype(np.int32)) for v in (x, first, last))
+        return pa.RecordBatch.from_arrays([pa.array(k), rows, *ints, pa.array(open_ > 0), cut], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        parts, held_bytes = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            now = np.stack(_longs(batch, *LISTED.split()))
-            both = now if held is None else np.concatenate([held, now], axis=1)
-            # The last row waits for its next neighbour.
-            reach, edge = _neighbours(both), slice(0 if held is None else 1, None)
-            held = now[:, -1:]
-            yield _batch(row=both[4][edge], i=both[5][edge], reach=reach[edge])
-            if held is not None and both.shape[1] > 1:
-                yield _batch(row=both[4][:1], i=both[5][:1], reach=reach[:1])
-
-    keys = ("list", "k0", "k1", "k2")
-    pairs = listed.repartitionByRange(partitions, *keys).sortWithinPartitions(*keys).mapInArrow(run, _schema("row i reach"))
-    return pairs.filter(F.col("reach") >= WINDOW).groupBy("row", "i").agg(F.max("reach").alias("reach"))
-
-
-def _neighbours(v: np.ndarray) -> np.ndarray:
-    """Shared bytes of each listed row with the better of its two neighbours."""
-    same = v[0][1:] == v[0][:-1]
-    shared = np.zeros(len(same), np.int64)
-    for m in range(DEPTH):
-        same = same & (v[6 + m][1:] == v[6 + m][:-1]) & (v[9 + m][1:] > 0) & (v[9 + m][1:] == v[9 + m][:-1])
-        shared = np.where(same, v[9 + m][1:], shared)
-    out = np.zeros(v.shape[1], np.int64)
-    out[1:] = shared
-    out[:-1] = np.maximum(out[:-1], shared)
+            for row, text, got in zip(batch["row"].to_pylist(), batch["text"].to_pylist(), _listed(batch["goals"], "g", "x", "first", "last", "open", "wide")):
+                g, x, first, last, open_, wide = (v.astype(np.int64) for v in got)
+                raw = _raw(text)
+                if wide.any():
+                    prints = Prints(raw, 1)
+                    w = np.flatnonzero(wide)
+                    right, left = w[last[w] >= x[w] - half], w[first[w] < x[w] - half]
+                    ends = np.minimum(x[right] + WINDOW - half, len(raw))
+                    keys = [mix64(g[right].view(np.uint64) ^ prints.of(x[right], ends)), mix64(g[left].view(np.uint64) ^ ~prints.of(x[left] - half - 1, x[left] + GRAM))]
+                    n = np.flatnonzero(wide == 0)
+                    g = np.concatenate([g[n], *(k.view(np.int64) for k in keys)])
+                    first = np.concatenate([first[n], np.maximum(first[right], x[right] - half), first[left]])
+                    last = np.concatenate([last[n], last[right], np.minimum(last[left], x[left] - half - 1)])
+                    which = np.concatenate([n, right, left])
+                    x, open_ = x[which], open_[which]
+                held = raw.tobytes()
+                parts.append((row, [held[a:b] for a, b in zip(first.tolist(), (last + WINDOW).tolist())], g, x, first, last, open_))
+                held_bytes += int((last - first + WINDOW).sum())
+                if held_bytes > OUT_BYTES:
+                    yield together(parts)
+                    parts, held_bytes = [], 0
+        if parts:
+            yield together(parts)
+
+    return texts.mapInArrow(run, "k long, row binary, x int, first int, last int, open boolean, bytes binary")
+
+
+def _named_triples(names: np.ndarray) -> np.ndarray:
+    """Order-preserving names of the triples of columns of ``names``, equal for equal triples."""
+    k, width = names.shape
+    padded = np.zeros((k, -(-width // 3) * 3), names.dtype)
+    padded[:, :width] = names
+    triples = padded.reshape(-1, 3)
+    order = np.lexsort((triples[:, 2], triples[:, 1], triples[:, 0]))
+    ordered = triples[order]
+    new = np.ones(len(order), np.int64)
+    new[1:] = (ordered[1:] != ordered[:-1]).any(axis=1)
+    out = np.empty(len(order), np.int64)
+    out[order] = np.cumsum(new)
+    return out.reshape(k, -1)
+
+
+def _ranked(context: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order, shared): the rows of a byte matrix sorted inside their groups, and the bytes each shares with the one
+    before it (-1 at the start of a group).  Triples of words are named, then triples of names, until one name is left."""
+    k, width = context.shape
+    padded = np.zeros((k, -(-width // WORD) * WORD), np.uint8)
+    padded[:, :width] = context
+    names = padded.view(">u8").astype(np.uint64)
+    while names.shape[1] > 1:
+        names = _named_triples(names)
+    order = np.lexsort((names[:, 0], group))
+    differs = context[order[1:]] != context[order[:-1]]
+    shared = np.full(k, -1, np.int64)
+    shared[1:] = np.where(differs.any(axis=1), differs.argmax(axis=1), width)
+    shared[1:][group[order[1:]] != group[order[:-1]]] = -1
+    return order, shared
+
+
+def _classes(context: np.ndarray, group: np.ndarray, depths: np.ndarray) -> np.ndarray:
+    """For each row and depth, the place in the order where its run of rows with equal first ``depth`` bytes begins."""
+    order, shared = _ranked(context, group)
+    begins = np.where(shared[:, None] < depths[None, :], np.arange(len(order))[:, None], 0)
+    out = np.empty((len(order), len(depths)), np.int64)
+    out[order] = np.maximum.accumulate(begins, axis=0)
     return out
 
 
-OPEN = "g row i x lo hi block first last"
-
+def repeated_distances(group: np.ndarray, ahead: np.ndarray, after: np.ndarray, contexts: list[bytes]) -> np.ndarray:
+    """(rows x distances) whether the window that starts d bytes before a row's anchor also starts d bytes
+    before another anchor of its group.
 
-def _open_windows(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Per letter the first and last of its windows that is not settled (-1: none)."""
-    row, i, g, block, x, lo, hi, reach = _longs(batch, "row", "i", "g", "block", "x", "lo", "hi", "reach")
-    first, last = np.full(len(i), -1), np.full(len(i), -1)
-    starts = run_starts(row)
-    for s, e in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        low, n = int(lo[s:e].min()), int(hi[s:e].max()) + 2
-        shut = np.zeros(n - low + 1, np.int64)
-
-        def close(a: np.ndarray, b: np.ndarray, shut=shut, low=low, n=n) -> None:
-            a, b = np.maximum(a, low), np.minimum(b, n - 1)
-            ok = a <= b
-            np.add.at(shut, a[ok] - low, 1)
-            np.add.at(shut, b[ok] + 1 - low, -1)
-
-        part = slice(s, e)
-        settled = reach[part] >= WINDOW
-        close(x[part][settled], (x + reach - WINDOW)[part][settled])
-        closed = np.cumsum(shut)
-        for j in range(s, e):
-            free = np.flatnonzero(closed[lo[j] - low : hi[j] + 1 - low] == 0)
-            if len(free):
-                first[j], last[j] = lo[j] + free[0], lo[j] + free[-1]
-    return _batch(g=g, row=row, i=i, x=x, lo=lo, hi=hi, block=block, first=first, last=last)
-
-
-def _to_fingerprint(open_: DataFrame) -> DataFrame:
-    """(row, x, first, last, known): open windows that are known to repeat (1) and windows to fingerprint (0).
-
-    In a group of letters with one gram, a surrounding that stands in two letters
-    proves that all its windows repeat.  For the other open windows, every distinct
-    surrounding has one place that shows all distances which are open somewhere.
+    A row's context begins ``ahead`` bytes before its anchor, and its windows have distances after..ahead.
     """
+    k, most = len(group), int(ahead.max()) + 1
+    right, left = np.zeros((k, WINDOW), np.uint8), np.zeros((k, max(most, 1)), np.uint8)
+    sizes = np.asarray([len(c) for c in contexts])
+    flat, start = np.frombuffer(b"".join(contexts), np.uint8), np.cumsum(sizes) - sizes
+    for matrix, count, at, step in ((right, sizes - ahead, start + ahead, 1), (left, ahead, start + ahead - 1, -1)):
+        row = np.repeat(np.arange(k), count)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)
+        matrix[row, place] = flat[np.repeat(at, count) + step * place]
+    distances = np.arange(most)
+    behind, front = _classes(left, group, distances), _classes(right, group, WINDOW - distances)
+    row, d = np.nonzero((distances >= after[:, None]) & (distances <= ahead[:, None]))
+    # Merged by the distance, the leading bytes and the order at the anchor; equal neighbours share WINDOW bytes.
+    merged = (d * (k + 1) + behind[row, d]) * (k + 1) + front[row, d]
+    order = np.argsort(merged, kind="stable")
+    twin = merged[order[1:]] == merged[order[:-1]]
+    again = np.zeros(len(order), bool)
+    again[order[1:][twin]] = True
+    again[order[:-1][twin]] = True
+    out = np.zeros((k, most), bool)
+    out[row[again], d[again]] = True
+    return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in key_runs(batches, "g"):
-            g, row, x, lo, hi, block, first, last = _longs(batch, "g", "row", "x", "lo", "hi", "block", "first", "last")
-            starts = run_starts(g)
-            blocks = run_starts(g, block)
-            sizes, known = np.diff(starts), (first >= 0) & np.repeat(np.diff(blocks) > 1, np.diff(blocks))
-            asked = (first >= 0) & ~known
-            far = np.where(asked, x - first, -(1 << 40))
-            near = np.where(asked, x - last, 1 << 40)
-            far = np.repeat(np.maximum.reduceat(far, starts[:-1]), sizes)
-            near = np.repeat(np.minimum.reduceat(near, starts[:-1]), sizes)
-            # Sorted by block too: the first of equal blocks stands for all; an asked one is the only one of its block.
-            lead = np.zeros(len(g), bool)
-            lead[blocks[:-1]] = True
-            a, b = np.maximum(lo, x - far), np.minimum(hi, x - near)
-            take = lead & (far >= near) & (a <= b)
-            out = [np.concatenate([v[known], w[take]]) for v, w in ((row, row), (x, x), (first, a), (last, b))]
-            if len(out[0]):
-                flag = np.repeat([1, 0], [int(known.sum()), int(take.sum())])
-                yield _batch(row=out[0], x=out[1], first=out[2], last=out[3], known=flag)
-
-    return open_.repartition("g").sortWithinPartitions("g", "block", "row", "x").mapInArrow(run, _schema("row x first last known"))
-
-
-def _listed(column: pa.ListArray, *names: str) -> Iterator[list[np.ndarray]]:
-    """The fields of a list<struct> column, one list of arrays a row, without Python objects."""
-    at = column.offsets.to_numpy() - column.offsets[0].as_py()
-    fields = [column.flatten().field(n).to_numpy(zero_copy_only=False) for n in names]
-    for s, e in zip(at[:-1].tolist(), at[1:].tolist()):
-        yield [f[s:e] for f in fields]
-
-
-def _windows_of(x: np.ndarray, first: np.ndarray, last: np.ndarray, n: int, step: int) -> tuple[np.ndarray, ...]:
-    """(x, first, last, a, b): the windows of spans in a text of n bytes, by the largest string x-a..x+b that
-    they share with ends at multiples of ``step`` from their anchor; all windows with that string, in or out of the span."""
-    many = last - first + 1
-    p = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
-    x = np.repeat(x, many)
-    a, b = (x - p) // step * step, (WINDOW - x + p) // step * step
-    keep = np.unique(x << 16 | a << 8 | b)  # a and b are at most WINDOW, below 256
-    x, a, b = keep >> 16, keep >> 8 & 255, keep & 255
-    # Distances d of a window from its anchor with d // step and (WINDOW - d) // step as given.
-    near, far = np.maximum(a, WINDOW - b - step + 1), np.minimum(a + step - 1, WINDOW - b)
-    return x, np.maximum(x - far, 0), np.minimum(x - near, n - WINDOW), a, b
-
-
-def _standing_twice(docs: DataFrame, spans: DataFrame, step: int) -> DataFrame:
-    """(row, x, first, last, known): windows of ``spans`` (row, x, first, last) that may stand in two places.
 
-    Rows meet by the string their windows share.  known = 1: all of the row's
-    windows together stand in two places, so each of them repeats; with step 1
-    every row that comes out is known.  known = 0: to be decided by a finer step,
-    as are single representatives of known rows that share the string.
-    """
-    asked = stored(spans.groupBy("row").agg(F.collect_list(F.struct("x", "first", "last")).alias("spans")).withColumnRenamed("row", "_row"))
-    texts = maybe_among(docs, "row", asked.select("_row")).join(asked, F.col("row") == F.col("_row")).select("row", "text", "spans")
+def _merged(contexts: DataFrame) -> DataFrame:
+    """(row, start, end): spans of the open windows that stand twice."""
 
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, text, spans in zip(batch["row"].to_pylist(), batch["text"].to_pylist(), _listed(batch["spans"], "x", "first", "last")):
-                raw = _raw(text)
-                x, first, last, a, b = _windows_of(*spans, len(raw), step)
-                one, two = (Prints(raw, which) for which in (0, 1))
-                h, k = (f.of(x - a, x + b) ^ mix64(a.astype(np.uint64)) for f in (one, two))
-                whole = two.of(first, last + WINDOW) ^ mix64((x - first).astype(np.uint64))
-                yield _batch(h=h, k=k >> np.uint64(32), whole=whole, row=np.full(len(x), row), x=x, first=first, last=last)
-
-    def equal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in key_runs(batches, "h"):
-            h, k, whole, row, x, first, last = _longs(batch, "h", "k", "whole", "row", "x", "first", "last")
-            starts, parts = run_starts(h, k), run_starts(h, k, whole)
-            many = np.repeat(np.diff(starts), np.diff(starts))
-            known = np.repeat(np.diff(parts) > 1, np.diff(parts))
-            lead = np.zeros(len(h), bool)
-            lead[parts[:-1]] = True
-            unsure = np.repeat(np.logical_or.reduceat(~known, starts[:-1]), np.diff(starts))
-            again = (many > 1) & unsure & (~known | lead)
-            out = [np.concatenate([v[known], v[again]]) for v in (row, x, first, last)]
-            if len(out[0]):
-                flag = np.repeat([1, 0], [int(known.sum()), int(again.sum())])
-                yield _batch(row=out[0], x=out[1], first=out[2], last=out[3], known=flag)
-
-    hashed = texts.mapInArrow(prints, _schema("h k whole row x first last"))
-    return hashed.repartition("h").sortWithinPartitions("h", "k", "whole").mapInArrow(equal, _schema("row x first last known"))
-
-
-def repeated_spans(docs: DataFrame) -> DataFrame:
-    """(row, spans): byte spans [start, end) of repeated windows, sorted but perhaps touching.  docs: (row, text)."""
-    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    letters = stored(_repeated(_letters(docs)))
-    text = letters.select("row", "i", "c")
-    names = stored(_named(_by_row(text, _sample_triples, "row i a b d"), partitions))
-    ranks = stored(_named(_by_row(names, _name_triples, "row i a b d"), partitions))
-    ranked = letters.join(ranks.withColumnRenamed("name", "rank"), ["row", "i"], "left").withColumn("rank", F.coalesce("rank", F.lit(0)))
-    reaches = stored(_compared(_by_row(ranked, _lists, LISTED), partitions))
-    reached = letters.join(reaches, ["row", "i"], "left").withColumn("reach", F.coalesce("reach", F.lit(0)))
-    spans = stored(_to_fingerprint(_by_row(reached, _open_windows, OPEN)))
-    coarse = stored(_standing_twice(docs, spans.filter("known = 0"), COARSE))
-    fine = _standing_twice(docs, coarse.filter("known = 0"), 1)
-    merged = spans.unionByName(coarse).unionByName(fine).filter("known = 1")
-    found = letters.join(reaches, ["row", "i"]).select("row", F.col("x").alias("start"), (F.col("x") + F.col("reach")).alias("end"))
-    found = found.unionByName(merged.select("row", F.col("first").alias("start"), (F.col("last") + WINDOW).alias("end")))
-    return stored(found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans")))
-
-
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in key_runs(batches, "k"):
+            k = batch["k"].to_numpy(zero_copy_only=False)
+            starts = run_starts(k)
+            # As many whole groups at a time as hold about AT_ONCE contexts.
+            cuts = np.unique(np.concatenate([[0], starts[np.searchsorted(starts, np.arange(AT_ONCE, len(k) + AT_ONCE, AT_ONCE), "left").clip(max=len(starts) - 1)]]))
+            for s, e in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                part = batch.slice(s, e - s)
+                x, first, last = (part[c].to_numpy(zero_copy_only=False).astype(np.int64) for c in ("x", "first", "last"))
+                again = repeated_distances(k[s:e], x - first, x - last, part["bytes"].to_pylist())
+                again &= part["open"].to_numpy(zero_copy_only=False)[:, None]
+                edge = np.diff(np.pad(again.astype(np.int8), ((0, 0), (1, 1))), axis=1)
+                row, near = np.nonzero(edge == 1)
+                _, far = np.nonzero(edge == -1)
+                if len(row):
+                    columns = [part["row"].take(pa.array(row)), pa.array((x[row] - far + 1).astype(np.int32)), pa.array((x[row] - near + WINDOW).astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, ["row", "start", "end"])
+
+    return contexts.repartition("k").sortWithinPartitions("k").mapInArrow(run, "row binary, start int, end int")
+
+
+def repeated_spans(docs: DataFrame, split: int = SPLIT) -> DataFrame:
+    """(row, spans): byte spans [start, end) of repeated windows, sorted but perhaps touching.  docs: (row, text), row the text's own key."""
+    with scratch(docs.sparkSession) as keep:
+        settled = stored(_settled(_letters(docs)))
+        open_ = stored(_merged(_contexts(docs, _asked(settled, split))))
+        known = settled.filter("known").select("row", F.col("lo").alias("start"), (F.col("hi") + WINDOW).alias("end"))
+        size = F.octet_length("text")
+        copies = docs.select("row", size.alias("end")).groupBy("row", "end").agg(F.count("*").alias("n"))
+        copies = copies.filter((F.col("n") > 1) & (F.col("end") >= WINDOW)).select("row", F.lit(0).alias("start"), "end")
+        found = known.unionByName(open_).unionByName(copies)
+        return keep(stored(found.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("start", "end"))).alias("spans"))))
+
+
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", split: int = SPLIT) -> tuple[DataFrame, DataFrame]:
     """(rows, changed): all rows as (id, text, row), and (row, runs, kept) of those that lose bytes.
 
-    runs are the maximal removed byte spans, kept the bytes that stay.  Rows
-    equal in id and text are copies of each other and share a ``row``.
+    runs are the maximal removed byte spans, kept the bytes that stay.  Rows of equal texts share a ``row``.
     """
-    rows = docs.select(
-        F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-        F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("row"),
-    )
-    found = repeated_spans(rows.select("row", "text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.unhex(F.md5(text)).alias("row"))
+    found = repeated_spans(rows.select("row", "text"), split)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -439,8 +378,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([batch["row"], pa.array(runs, span), pa.array(kept, pa.binary())], ["row", "runs", "kept"])
 
-    texts = maybe_among(rows, "row", found.select("row")).dropDuplicates(["row"]).join(found, "row").select("row", "text", "spans")
-    changed = texts.mapInArrow(cut, "row long, runs array<struct<start:long,end:long>>, kept binary")
+    texts = maybe_among(rows.withColumn("_key", F.xxhash64("row")), "_key", found.select(F.xxhash64("row"))).select("row", "text")
+    texts = texts.dropDuplicates(["row"]).join(found, "row").select("row", "text", "spans")
+    changed = texts.mapInArrow(cut, "row binary, runs array<struct<start:long,end:long>>, kept binary")
     return rows, changed
 
 
