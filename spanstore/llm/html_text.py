@@ -3,20 +3,23 @@
 One regular expression cuts the page into tags, comments and text.  A builder
 closes what the next tag implies (paragraphs, list items, table parts, options),
 ignores stray end tags, and drops what a browser does not show: scripts, styles,
-templates, ``hidden`` and ``display:none`` / ``visibility:hidden`` elements,
+templates, ``hidden`` and ``display:none`` elements, what stands in ``visibility:hidden``
+ones unless it is made visible again,
 closed dialogs, hidden inputs, datalists, and what browsers with scripts, frames and
 media show other content for (noscript, noembed, noframes, iframe, canvas, audio, video).
 In drawings and formulas descriptions, definitions and annotations are dropped.  Of a
 select the chosen option is shown, of a list box all; an object shows its fallback.  The renderer walks the tree: inline text is collapsed, blocks start
 lines (paragraph-like ones leave a blank line between), list items carry bullets
 or numbers and indentation, ``pre`` keeps its white space, and table cells are
-padded into aligned columns; what stands in a table outside of its cells goes
+padded into aligned columns, spans of rows and columns counted; what stands in a table outside of its cells goes
 before the table, as a browser's foster parenting has it.
 
 Edge cases: null html gives null text; a page without visible text gives the
 empty string; unclosed and misnested tags are closed where a new block or the
 end of the page implies it; nesting beyond ``MAX_DEPTH`` is flattened into its
-parent; repeated rows are extracted each.  Extra columns are ignored.
+parent; repeated rows are extracted each; a very long page is one row, and time and
+memory grow with its length; an empty table gives an empty result.  Extra columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -52,9 +55,13 @@ IMPLIED = {
 IMPLIED["thead"] = IMPLIED["tfoot"] = IMPLIED["tbody"]
 # A quote delimits a value only after "="; anywhere else in a tag it is a character as any other.
 VALUE = r"\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+"
-PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE})?+)?+)*+)>|([^<]+|<)", re.S)
+PIECE = re.compile(rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:{VALUE})?+)?+)*+)>|([^<]+|<)", re.S)
+# For the rest of a page where a quote is never closed.
+UNQUOTED = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|([^<]+|<)", re.S)
+TAG_START = re.compile("</?[a-zA-Z]")
 ATTRIBUTE = re.compile(rf"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+({VALUE})?+)?+")
-GONE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+GONE = re.compile(r"display\s*:\s*none", re.I)
+VEILED = re.compile(r"visibility\s*:\s*(\w+)", re.I)
 SPACE = re.compile(r"[ \t\n\f\r]+")
 DRAWS = re.compile("<(?:svg|math)", re.I)
 MAX_DEPTH = 200
@@ -99,17 +106,27 @@ def build(page: str) -> Node:
         return next((n.tag in ("svg", "math") for n in reversed(open_) if n.tag in ("svg", "math", "foreignobject")), False)
 
     draws = DRAWS.search(page) is not None
-    at = 0
-    while m := PIECE.match(page, at):
-        at = m.end()
-        end, tag, attrs, text = m.groups()
+    at, piece, last = 0, PIECE, page.rfind(">")
+    while at < len(page):
+        if at > last and not page.startswith("<!--", at):  # no tag ends behind here
+            end, tag, attrs, text = None, None, None, page[at:]
+            start, at = at, len(page)
+        else:
+            m = piece.match(page, at)
+            end, tag, attrs, text = m.groups()
+            if text == "<" and piece is PIECE and TAG_START.match(page, at):
+                piece = UNQUOTED
+                continue
+            start, at = at, m.end()
         if text is not None:
+            if open_[-1].tag == "head" and text.strip(" \t\n\f\r"):
+                open_.pop()  # text ends the head
             open_[-1].kids.append(unescape(text))
         elif tag is None:
-            if draws and page.startswith("<![CDATA[", m.start()) and drawn():
-                stop = page.find("]]>", m.start())
+            if draws and page.startswith("<![CDATA[", start) and drawn():
+                stop = page.find("]]>", start)
                 at = stop + 3 if stop >= 0 else len(page)
-                open_[-1].kids.append(page[m.start() + 9 : stop if stop >= 0 else len(page)])
+                open_[-1].kids.append(page[start + 9 : stop if stop >= 0 else len(page)])
         elif end:
             tag = tag.lower()
             for i in range(len(open_) - 1, 0, -1):
@@ -145,9 +162,26 @@ def build(page: str) -> Node:
                 at = stop.end() if stop else len(page)
             elif tag not in VOID and len(open_) < MAX_DEPTH:
                 open_.append(node)
+    if VEILED.search(page):
+        unveil(root, True)
     return root
 
 
+def unveil(node: Node, shown: bool) -> None:
+    """Takes out what stands in elements of hidden visibility; an element inside that is visible again keeps its own."""
+    kept = []
+    for kid in node.kids:
+        if isinstance(kid, Node):
+            said = VEILED.search(kid.attributes().get("style", "")) if kid.attrs else None
+            seen = said[1].lower() not in ("hidden", "collapse") if said else shown
+            unveil(kid, seen)
+            if seen or kid.tag not in ("img", "input", "select", "textarea", "hr", "br"):
+                kept.append(kid)
+        elif shown:
+            kept.append(kid)
+    node.kids = kept
+
+
 class Lines:
     """Output under way: finished lines, the inline text of the current one, and whether a blank line is due."""
 
@@ -181,11 +215,28 @@ def _grid(table_: Node) -> list[str]:
     head: list[str] = []
     loose = Node("div")
     in_row = False
+    below: dict[int, int] = {}  # rows that a cell above still covers, by column
 
     def flush() -> None:
         before.extend(render(loose))
         loose.kids = []
 
+    def end_row() -> None:
+        nonlocal in_row
+        for column in [c for c in below if in_row and c >= len(rows[-1])]:
+            below[column] -= 1
+        in_row = False
+
+    def add_cell(cell: Node) -> None:
+        row, a = rows[-1], cell.attributes()
+        wide, high = (int(a[k]) if a.get(k, "").isdigit() else 1 for k in ("colspan", "rowspan"))
+        while below.get(len(row), 0) > 0:
+            below[len(row)] -= 1
+            row.append("")
+        for column in range(len(row), len(row) + (wide := min(max(wide, 1), 100))):
+            below[column] = high - 1 if high else 1 << 16  # 0: all rows of the part
+        row += [" ".join(x for x in render(cell) if x)] + [""] * (wide - 1)
+
     def collect(node: Node, shown: bool) -> None:
         nonlocal in_row
         for kid in node.kids:
@@ -202,16 +253,18 @@ def _grid(table_: Node) -> list[str]:
                 if not in_row:
                     rows.append([])
                     in_row = True
-                span = kid.attributes().get("colspan", "1")
-                rows[-1] += [" ".join(x for x in render(kid) if x)] + [""] * (min(int(span), 100) - 1 if span.isdigit() and int(span) else 0)
+                add_cell(kid)
             elif kid.tag in PARTS:
                 flush()
-                in_row = kid.tag == "tr"
-                if in_row:
+                end_row()
+                if kid.tag == "tr":
+                    in_row = True
                     rows.append([])
+                else:
+                    below.clear()
                 collect(kid, True)
                 flush()
-                in_row = False
+                end_row()
             elif kid.tag == "caption":
                 flush()
                 head.extend(render(kid))
@@ -252,12 +305,20 @@ def _options(select: Node) -> list[str]:
     return [label(o) for o in chosen]
 
 
-def render(node: Node, depth: int = 0) -> list[str]:
-    """Lines of the visible text below ``node``."""
+def render(node: Node, pre: bool = False) -> list[str]:
+    """Lines of the visible text below ``node``; ``pre``: white space is kept."""
     out = Lines()
 
+    def end(pre: bool) -> None:
+        """The line under way ends, as it is if white space is kept."""
+        if pre and out.now:
+            out.add("".join(out.now))
+            out.now = []
+        out.end_line()
+
     def walk(n: Node, pre: bool) -> None:
-        count = 0
+        first = n.attributes().get("start", "") if n.tag == "ol" and n.attrs else ""
+        count = int(first) - 1 if first.isdigit() else 0
         for kid in n.kids:
             if isinstance(kid, str):
                 if pre and "\n" in kid:
@@ -274,7 +335,7 @@ def render(node: Node, depth: int = 0) -> list[str]:
             tag = kid.tag
             if tag == "br":
                 had = bool("".join(out.now).strip())
-                out.end_line()
+                end(pre)
                 if not had and out.done and out.done[-1]:
                     out.done.append("")
             elif tag == "wbr":
@@ -295,7 +356,7 @@ def render(node: Node, depth: int = 0) -> list[str]:
                 walk(kid, pre)
                 out.now.append('"')
             elif tag in BLOCK:
-                out.end_line()
+                end(pre)
                 out.blank |= tag in SPACED and not (tag in ("ul", "ol") and n.tag == "li")
                 if tag == "hr":
                     out.add("---")
@@ -303,29 +364,26 @@ def render(node: Node, depth: int = 0) -> list[str]:
                     for line in _grid(kid):
                         out.add(line)
                 elif tag == "li":
-                    a = kid.attributes() if kid.attrs else {}
-                    count = int(a["value"]) if a.get("value", "").isdigit() else count + 1
-                    start = n.attributes().get("start", "1") if n.tag == "ol" and n.attrs else "1"
-                    mark = f"{count + (int(start) if start.isdigit() else 1) - 1}. " if n.tag == "ol" else "- "
-                    for i, line in enumerate(render(kid)):
+                    said = kid.attributes().get("value", "") if kid.attrs else ""
+                    count = int(said) if said.isdigit() else count + 1
+                    mark = f"{count}. " if n.tag == "ol" else "- "
+                    for i, line in enumerate(render(kid, pre)):
                         out.add((mark if i == 0 else " " * len(mark)) + line if line else "")
                 elif tag in ("blockquote", "dd"):
-                    for line in render(kid):
+                    for line in render(kid, pre):
                         out.add(("> " if tag == "blockquote" else "  ") + line if line else "")
                 else:
-                    walk(kid, tag == "pre")
-                    if tag == "pre" and out.now:
-                        out.add("".join(out.now))
-                        out.now = []
-                    out.end_line()
+                    kept = pre or tag == "pre"
+                    walk(kid, kept)
+                    end(kept)
                 out.blank |= tag in SPACED
             else:
                 walk(kid, pre)
                 if tag in ("td", "th"):
                     out.now.append(" ")
 
-    walk(node, node.tag == "pre")
-    out.end_line()
+    walk(node, pre or node.tag == "pre")
+    end(pre or node.tag == "pre")
     return out.done
 
 

@@ -1,5 +1,9 @@
 """Top-k search, HTML extraction and the pipeline."""
 
+import html.parser
+import re
+import time
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -64,11 +68,17 @@ PAGES = [
     ("<p>one<p>two", "one\n\ntwo"),
     ("<div>a</div><div>b <b>c</b></div>", "a\nb c"),
     ("<ul><li>x<li>y<ol><li>p<li>q</ol></ul>z", "- x\n- y\n  1. p\n  2. q\n\nz"),
-    ("<ol start=4><li>x<li value=9>y<li>z</ol>", "4. x\n12. y\n13. z"),
+    ("<ol start=4><li>x<li value=9>y<li>z</ol>", "4. x\n9. y\n10. z"),
     ("<table><tr><th>Name<th>N<tr><td>Long name<td>1<tr><td>b</table>", "Name       N\nLong name  1\nb"),
     ("a<script>if (1 < 2) x()</script><style>p{}</style>b", "ab"),
     ("<p hidden>no</p><p style='display: NONE'>no</p><span style=visibility:hidden>no</span>yes", "yes"),
     ("<head><title>t</title></head><body>in</body>", "in"),
+    ("<head><title>t</title>Hello world", "Hello world"),
+    ("<table><tr><td rowspan=2>A<td>B<tr><td>C<tr><td>D<td>E</table>", "A  B\n   C\nD  E"),
+    ("<table><tr><td>a<td rowspan=2 colspan=2>b<td>c<tr><td>d<td>e</table>", "a  b    c\nd       e"),
+    ("<pre><div>x  y</div>z  w</pre>", "x  y\nz  w"),
+    ("<pre>a  b<ul><li>c  d</ul></pre>", "a  b\n\n- c  d"),
+    ("<div style='visibility:hidden'>no<b style='visibility:visible'>yes</b>no<img alt=no></div>", "yes"),
     ("<pre>a\n  b</pre>", "a\n  b"),
     ("a<br>b<br><br>c", "a\nb\n\nc"),
     ("<!-- gone -->x<!DOCTYPE html>", "x"),
@@ -158,3 +168,38 @@ SHOWN = [
 @pytest.mark.parametrize("page, text", SHOWN)
 def test_what_browsers_show_is_kept(page, text):
     assert html_text.page_text(page) == text
+
+
+def test_time_grows_with_the_page():
+    """Malformed pages of a megabyte end in seconds."""
+    for piece in ("<b", "<p title='", "<!--", "<a b=", "<table><tr>", "<![CDATA[", "<td rowspan=9>", "< ", "&amp", "<textarea>", "<a ='", "<a b='>'"):
+        began = time.monotonic()
+        html_text.page_text(piece * (200_000 // len(piece)))
+        assert time.monotonic() - began < 5, piece
+
+
+def test_words_of_ordinary_pages_equal_another_parser(spark, data):
+    """Every word that the standard library's parser finds outside of dropped elements stands in the text, in order."""
+
+    class Words(html.parser.HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.words, self.off = [], 0
+
+        def handle_starttag(self, tag, attrs):
+            self.off += tag in ("script", "style", "title", "noscript", "template")
+
+        def handle_endtag(self, tag):
+            self.off -= tag in ("script", "style", "title", "noscript", "template")
+
+        def handle_data(self, words):
+            self.words += [] if self.off else words.split()
+
+    pages = spark.read.parquet(f"{data}/pages.parquet").select("html").limit(200).collect()
+    for (page,) in pages:
+        if page and "hidden" not in page and "<img" not in page and "<input" not in page and "<iframe" not in page:
+            other = Words()
+            other.feed(page)
+            other.close()
+            got = "".join(w for w in re.sub(r"(?m)^[ >]*(- |\d+\. )?", "", html_text.page_text(page)).split() if w != "---")
+            assert got == "".join(other.words)
