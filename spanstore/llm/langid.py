@@ -4,11 +4,13 @@ N-grams of 1 to 3 code points (lower-cased) hash into ``BUCKETS`` counts.
 Training is a distributed sum over all labelled rows: each task adds up its
 counts and emits one row per language, so what meets on the driver has
 languages x buckets cells at any input size.  The log-probability matrix is
-broadcast; a text is scored as its sparse counts times that matrix in numpy.
+broadcast; a batch of texts is scored in numpy by gathering the matrix rows of the
+n-grams that stand in each text and summing them text by text.
 
 Edge cases: a null text, or one without a letter, is ``und`` with score 0; so
 is every text when no labelled row exists; ties go to the smaller language
-name.  Very long texts are taken in slices.  Only text, language and the row
+name.  Very long texts are taken in slices.  Repeated rows are trained on and
+predicted each; an empty table gives an empty result.  Only text, language and the row
 key are read, so extra columns do no harm.
 """
 
@@ -25,27 +27,43 @@ from .common import table
 
 BUCKETS = 1 << 15
 MAX_N = 3
+MAX_LANGS = 1000
 ALPHA = 0.5
 SLICE = 1 << 20
 UNKNOWN = "und"
 
 
-def ngram_counts(text: str, buckets: int = BUCKETS, max_n: int = MAX_N) -> np.ndarray:
-    """Counts of the hashed n-grams of the lower-cased text."""
-    counts = np.zeros(buckets, np.int64)
-    text = text.lower()
-    for at in range(0, len(text), SLICE):
-        # Slices overlap so that no n-gram is lost.
-        cps = np.frombuffer(text[at : at + SLICE + max_n - 1].encode("utf-32-le", "surrogatepass"), np.uint32)
-        rolled = np.zeros(len(cps), np.uint32)
-        for n in range(1, max_n + 1):
-            if len(cps) < n:
-                break
-            rolled = rolled[: len(cps) - n + 1] * np.uint32(0x01000193) + cps[n - 1 :] + np.uint32(n)
-            mixed = (rolled ^ (rolled >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
-            bucket = (mixed >> np.uint32(16)) & np.uint32(buckets - 1)
-            counts += np.bincount(bucket[:SLICE], minlength=buckets)
-    return counts
+def ngram_rows(texts: list[str], buckets: int = BUCKETS, max_n: int = MAX_N) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, buckets) of the n-grams of the lower-cased texts, sorted by row for each n: many short texts
+    at a time, a very long one in slices that overlap so that no n-gram is lost."""
+    held: list[tuple[int, str]] = []
+    size = 0
+    for row, text in enumerate(texts):
+        low = text.lower()
+        for at in range(0, len(low), SLICE):
+            held.append((row, low[at : at + SLICE + max_n - 1]))
+            size += len(held[-1][1])
+            if size >= SLICE:
+                yield from _hashed(held, buckets, max_n)
+                held, size = [], 0
+    if held:
+        yield from _hashed(held, buckets, max_n)
+
+
+def _hashed(held: list[tuple[int, str]], buckets: int, max_n: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    cps = np.frombuffer("".join(p for _, p in held).encode("utf-32-le", "surrogatepass"), np.uint32)
+    lengths = np.asarray([len(p) for _, p in held])
+    row = np.repeat(np.asarray([r for r, _ in held]), lengths)
+    place = np.arange(len(cps)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+    room = np.where(place < SLICE, np.repeat(lengths, lengths) - place, 0)
+    rolled = np.zeros(len(cps), np.uint32)
+    for n in range(1, max_n + 1):
+        if len(cps) < n:
+            return
+        rolled = rolled[: len(cps) - n + 1] * np.uint32(0x01000193) + cps[n - 1 :] + np.uint32(n)
+        mixed = (rolled ^ (rolled >> np.uint32(15))) * np.uint32(0x2C1B3C6D)
+        inside = room[: len(rolled)] >= n  # the n-gram ends in its own text
+        yield row[: len(rolled)][inside], ((mixed >> np.uint32(16)) & np.uint32(buckets - 1))[inside]
 
 
 class Model:
@@ -57,39 +75,52 @@ class Model:
         self.log_p = np.log(smooth / smooth.sum(axis=1, keepdims=True)).T.astype(np.float64).copy()
         self.prior = np.log((docs + alpha) / (docs + alpha).sum()) if len(langs) else np.zeros(0)
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not self.langs or not any(map(str.isalpha, text)):
-            return UNKNOWN, 0.0
-        counts = ngram_counts(text)
-        seen = np.flatnonzero(counts)
-        score = counts[seen] @ self.log_p[seen] + self.prior
-        odds = np.exp(score - score.max())
-        best = int(score.argmax())
-        return self.langs[best], float(odds[best] / odds.sum())
-
-
-def train(rows: DataFrame) -> Model:
-    """Fits on all rows of (text, lang); null languages are left out."""
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """Languages and scores of a batch: the log-probability rows of the n-grams each text holds, summed by text."""
+        langs, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
+        asked = [i for i, t in enumerate(texts) if t and self.langs and any(map(str.isalpha, t))]
+        total = np.tile(self.prior, (len(asked), 1))
+        for row, bucket in ngram_rows([texts[i] for i in asked]):
+            if len(row):
+                cut = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
+                total[row[cut]] += np.add.reduceat(self.log_p[bucket], cut, axis=0)
+        if asked:
+            odds = np.exp(total - total.max(axis=1, keepdims=True))
+            best = total.argmax(axis=1)
+            sure = odds[np.arange(len(asked)), best] / odds.sum(axis=1)
+            for i, k, p in zip(asked, best.tolist(), sure.tolist()):
+                langs[i], scores[i] = self.langs[k], p
+        return langs, scores
+
+
+def train(rows: DataFrame, max_langs: int = MAX_LANGS) -> Model:
+    """Fits on all rows of (text, lang); null languages are left out.  More than ``max_langs`` languages are refused."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         docs: dict[str, int] = {}
         for batch in batches:
+            by_lang: dict[str, list[str]] = {}
             for text, lang in zip(batch["text"].to_pylist(), batch["lang"].to_pylist()):
-                counts = ngram_counts(text)
-                sums[lang] = sums[lang] + counts if lang in sums else counts
-                docs[lang] = docs.get(lang, 0) + 1
+                by_lang.setdefault(lang, []).append(text)
+            for lang, texts in by_lang.items():
+                counts = sums.setdefault(lang, np.zeros(BUCKETS, np.int64))
+                for _, bucket in ngram_rows(texts):
+                    counts += np.bincount(bucket, minlength=BUCKETS)
+                docs[lang] = docs.get(lang, 0) + len(texts)
         for lang, counts in sums.items():
+            seen = np.flatnonzero(counts)
             yield pa.RecordBatch.from_pydict(
-                {"lang": pa.array([lang] * (BUCKETS + 1)), "bucket": pa.array(range(-1, BUCKETS), pa.int32()),
-                 "n": pa.array(np.concatenate([[docs[lang]], counts]))}
+                {"lang": pa.array([lang] * (len(seen) + 1)), "bucket": pa.array(np.append(-1, seen), pa.int32()),
+                 "n": pa.array(np.append(docs[lang], counts[seen]), pa.int64())}
             )
 
     parts = rows.select("text", "lang").filter("text is not null and lang is not null")
-    cells = parts.mapInArrow(add_up, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    # languages x (BUCKETS + 1) cells, however many rows there were
-    got = cells.filter("n > 0").toPandas()
-    langs = sorted(got["lang"].unique())
+    langs = sorted(r["lang"] for r in parts.select("lang").distinct().limit(max_langs + 1).collect())
+    if len(langs) > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
+    # At most max_langs x (BUCKETS + 1) cells, however many rows there are.
+    got = parts.mapInArrow(add_up, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts, docs = np.zeros((len(langs), BUCKETS)), np.zeros(len(langs))
     at = got["lang"].map({x: i for i, x in enumerate(langs)}).to_numpy(np.int64)
     bucket, n = got["bucket"].to_numpy(np.int64), got["n"].to_numpy(np.float64)
@@ -107,8 +138,8 @@ def predict(df: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [shared.value.predict(t) for t in batch["text"].to_pylist()]
-            columns = [batch[c] for c in keep] + [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
+            langs, scores = shared.value.predict(batch["text"].to_pylist())
+            columns = [batch[c] for c in keep] + [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
 
     return df.mapInArrow(run, schema)
