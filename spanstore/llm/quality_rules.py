@@ -12,8 +12,10 @@ there.  Rows it covers leave the sample and the next rule is grown.
 
 Edge cases: null or empty text has no words, so the base rule rejects it; with
 no labels, or labels of one kind, the list is empty and rejects nothing; labels
-without a document and null labels are ignored; repeated labels count as often
-as they stand there.  Extra columns pass through :func:`filter_quality`.
+without a document and null labels are ignored; a label that repeats for a document
+counts once; a document id that stands for several texts counts with the least of them;
+ties in the sample's hash go to the smaller id; very long texts are one row each; an
+empty table gives an empty result.  Extra columns pass through :func:`filter_quality`.
 """
 
 from __future__ import annotations
@@ -194,12 +196,14 @@ def fit_rules(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELL
         .orderBy(F.xxhash64("doc_id"), "doc_id", "_quality")
         .limit(max_labelled)
     )
-    # max_labelled narrow rows bound what is broadcast.
+    # max_labelled narrow rows bound what is broadcast; a document that stands several times counts once a label.
     known = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    stats = with_stats(known)
+    # Repeated rows of one document would otherwise multiply what is gathered.
+    known = known.groupBy("doc_id", "_quality").agg(F.min("text").alias("text"))
     named = features(F.col("_stats"))
-    got = stats.select("doc_id", "_quality", F.struct(*[c.alias(k) for k, c in named.items()]).alias("f")).collect()
-    got.sort(key=lambda r: (hash((r["doc_id"], 1)), r["doc_id"], r["_quality"], tuple(r["f"])))
+    order = F.struct(F.xxhash64("doc_id", F.lit(1)), F.col("doc_id"), F.col("_quality")).alias("order")
+    got = with_stats(known).select(order, "_quality", F.struct(*[c.alias(k) for k, c in named.items()]).alias("f")).collect()
+    got.sort(key=lambda r: r["order"])  # the same in every process
     return learn_rules([r["f"].asDict() for r in got], [r["_quality"] == 0 for r in got])
 
 
