@@ -10,7 +10,8 @@ few shared groups that pack again, so waste stays a small share at any size.
 Tokens never move: the scan reduces each document to lengths and CRCs.
 
 Edge cases: a null or empty text is the closing id alone; repeated rows are
-packed each; an empty table gives an empty result.  Extra columns are ignored.
+packed each; a very long text is one row while it is tokenised and then pieces of one
+sequence each; an empty table gives an empty result.  Extra columns are ignored.
 """
 
 from __future__ import annotations

@@ -4,8 +4,9 @@ A key and the number of shards decide the shard; there is no ring table.  When
 a shard is appended, only the rows that move into it change place.
 
 Edge cases: a null key counts as key 0; a null text has size 8 and the CRC of
-the empty string; repeated rows get slots of their own; an empty table gives an
-empty result.  Extra columns of the input are ignored.
+the empty string; repeated rows get slots of their own; a very long text is reduced to
+its size and CRC where it is read; an empty table gives an empty result.  Extra columns
+of the input are ignored.
 """
 
 from __future__ import annotations
