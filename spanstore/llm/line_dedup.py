@@ -17,9 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPACES, let, packed, stored, table, unpacked
+from .common import SPACES, let, maybe_among, packed, stored, table, unpacked
 
 MIN_DOCS = 10
+HOT_KEYS = 10_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -54,20 +55,27 @@ def dropped_positions(rows: DataFrame, min_docs: int, distinct: bool = False) ->
     )
     # A key counts once a row, and partial aggregation runs before the shuffle,
     # so a very common line costs each task one row.
-    common = (
+    common = stored(
         hashed.select(F.explode(F.array_distinct("_hashed.key")).alias("key"))
         .groupBy("key")
         .agg(F.count("*").alias("docs"))
         .filter(F.col("docs") >= min_docs)
-        .select("key")
     )
+    # The HOT_KEYS most frequent keys are joined by broadcast; no other key has more than 1 / HOT_KEYS of all lines,
+    # and of the other lines only those that may have such a key are shuffled.
+    hot = common.orderBy(F.desc("docs"), "key").limit(HOT_KEYS).select("key")
     lines = hashed.select("_row", F.inline("_hashed"))
-    hits = lines.join(common, "key")
+    cold = common.join(F.broadcast(hot), "key", "left_anti").select("key")
+    hits = lines.join(F.broadcast(hot), "key", "left_semi").unionByName(
+        maybe_among(lines, "key", cold).join(F.broadcast(hot), "key", "left_anti").join(cold, "key", "left_semi")
+    )
     if distinct:
         # No key has more ids than rows, so only the lines found so far need to be counted by id.
         hits = stored(hits)
-        shared = hits.groupBy("key").agg(F.count_distinct("_row.id").alias("ids")).filter(F.col("ids") >= min_docs).select("key")
-        hits = hits.join(shared, "key")
+        few = hits.groupBy("key").agg(F.count_distinct("_row.id").alias("ids")).filter(F.col("ids") < min_docs).select("key")
+        few = stored(few)
+        if not few.isEmpty():  # only where rows repeat their id
+            hits = hits.join(few, "key", "left_anti")
     return hits.groupBy("_row").agg(F.collect_set("pos").alias("_gone"))
 
 
