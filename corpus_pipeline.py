@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from spanstore.llm import jaccard_join, line_dedup, mixing, packing, quality_rules
-from spanstore.llm.common import stored, table
+from spanstore.llm.common import delete, scratch, stored, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are written and read again."""
+    """All stages over ``documents``; each one's rows are written and read again, and its own tables are deleted."""
     docs = table(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = stored(stage(spark, docs, sf_dir))
+        before = getattr(docs, "_stored_at", None)
+        with scratch(spark) as keep:
+            docs = keep(stored(stage(spark, docs, sf_dir)))
+        if before:
+            delete(spark, before)
     return STAGES[-1][1](spark, docs, sf_dir)
