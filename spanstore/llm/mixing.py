@@ -10,7 +10,8 @@ below twice the number of blocks touches a block at most twice.
 
 Edge cases: null text has size 0 and is never taken; a null source is a source
 of its own, last in order; sources of size 0 get target 0; repeated rows are
-separate documents; an empty table gives an empty result.  The recipe (one row a
+separate documents; a very long text is one row whose blocks are taken apart; extra
+columns are kept by :func:`mix_documents`; an empty table gives an empty result.  The recipe (one row a
 source) is gathered on the driver and refused beyond ``max_sources``.
 """
 
@@ -30,7 +31,8 @@ SEED = 20240517
 WEIGHTS = (3, 1, 2)
 SHARE = (3, 2)  # 150% as a fraction
 MAX_REPEAT = 2
-PART_ROWS = 50_000
+PART_ROWS = 10_000
+CHUNK = 4096
 MAX_SOURCES = 100_000
 
 
@@ -93,56 +95,80 @@ def permuted(index: Column, n: Column, key: Column, rounds: int = ROUNDS) -> Col
     return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), index.cast("long"), step)
 
 
+def alias_table(weights: list[int]) -> list[tuple[int, float, int]]:
+    """Rows (j, stay, other) of Walker's alias method: column j stands for itself with probability ``stay``, else for ``other``."""
+    n, total = len(weights), sum(weights)
+    share = [w * n / total for w in weights]
+    low, high = [j for j in range(n) if share[j] < 1], [j for j in range(n) if share[j] >= 1]
+    out = [(j, 1.0, j) for j in range(n)]
+    while low and high:
+        j, k = low.pop(), high[-1]
+        out[j] = (j, share[j], k)
+        share[k] -= 1 - share[j]
+        if share[k] < 1:
+            low.append(high.pop())
+    return out
+
+
+def spread(rows: DataFrame, n: str, name: str, chunk: int = CHUNK) -> DataFrame:
+    """Each row ``n`` times, numbered from 0 in ``name``: first chunk by chunk and dealt out, then inside the chunks,
+    so that neither a row's array nor a task grows with ``n``."""
+    parts = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / chunk))).alias("_chunk"))
+    parts = parts.repartition(F.xxhash64(*[c for c in parts.columns]))
+    inside = F.sequence(F.col("_chunk") * chunk, F.least(F.col(n), (F.col("_chunk") + 1) * chunk) - 1)
+    return parts.select("*", F.explode(inside).alias(name)).drop("_chunk")
+
+
 def draw_slots(spark: SparkSession, recipe: list[Recipe], shards: int = SHARDS, seed: int = SEED) -> DataFrame:
     """(shard, source_index, slot): slot runs over 0..quota-1 of each source."""
-    total = sum(r.quota for r in recipe)
     live = [r for r in recipe if r.quota]
-    bounds, run = [], 0
-    for r in live:
-        run += r.quota
-        bounds.append(run / max(total, 1))
-    pick = F.lit(live[-1].index if live else 0)
-    u = F.col("u")
-    if len(live) <= 64:
-        for r, b in reversed(list(zip(live, bounds))):
-            pick = F.when(u < b, F.lit(r.index)).otherwise(pick)
-    else:
-        table_ = F.array(*[F.lit(b) for b in bounds])
-        at = F.size(F.filter(table_, lambda b: b <= u))
-        pick = F.get(F.array(*[F.lit(r.index) for r in live]), F.least(at, F.lit(len(live) - 1)))
+    total = sum(r.quota for r in live)
+    out = "shard int, source_index int, slot long"
+    if not live:
+        return spark.createDataFrame([], out)
+    # One row a source: no more than the recipe's.
+    table_ = spark.createDataFrame([(j, stay, live[j].index, live[k].index) for j, stay, k in alias_table([r.quota for r in live])], "j long, stay double, own int, other int")
+    quotas = spark.createDataFrame([(r.index, r.quota) for r in live], "source_index int, quota long")
+    u = F.col("u") * len(live)
     draws = (
         spark.range(total)
         .select((F.col("id") % shards).cast("int").alias("shard"), _unit(F.lit(seed), F.col("id")).alias("u"))
-        .select("shard", pick.alias("source_index"))
+        .select("shard", F.floor(u).alias("j"), (u - F.floor(u)).alias("rest"))
+        .join(F.broadcast(table_), "j")
+        .select("shard", F.when(F.col("rest") < F.col("stay"), F.col("own")).otherwise(F.col("other")).alias("source_index"))
     )
     counts = draws.groupBy("shard", "source_index").agg(F.count("*").alias("n"))
-    quotas = spark.createDataFrame([(r.index, r.quota) for r in recipe], "source_index int, quota long")
-    # At most shards x sources rows from here until the slots are laid out.
     before = Window.partitionBy("source_index").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     drawn = stored(
         counts.withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .join(F.broadcast(quotas), "source_index")
         .withColumn("inside", F.greatest(F.lit(0), F.least(F.col("n"), F.col("quota") - F.col("start"))))
+        .withColumn("over", F.col("n") - F.col("inside"))
     )
-    spread = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
-    kept = drawn.filter("inside > 0").select("shard", "source_index", "start", spread(F.col("inside")).alias("k"))
+    kept = spread(drawn.filter("inside > 0").select("shard", "source_index", "start", "inside"), "inside", "k")
     kept = kept.select("shard", "source_index", (F.col("start") + F.col("k")).alias("slot"))
     # Surplus places and missing slots are as many; both are numbered and paired.
-    order = lambda *c: Window.orderBy(*c).rowsBetween(Window.unboundedPreceding, -1)
-    surplus = drawn.filter("n > inside").select("shard", "source_index", (F.col("n") - F.col("inside")).alias("n"))
-    surplus = surplus.withColumn("base", F.coalesce(F.sum("n").over(order("shard", "source_index")), F.lit(0)))
-    places = surplus.select("shard", "base", spread(F.col("n")).alias("k")).select(
-        "shard", (F.col("base") + F.col("k")).alias("r")
-    )
-    met = drawn.groupBy("source_index").agg(F.sum("inside").alias("have"))
-    missing = (
-        quotas.join(met, "source_index", "left")
-        .withColumn("have", F.coalesce("have", F.lit(0)))
-        .withColumn("n", F.col("quota") - F.col("have"))
-        .filter("n > 0")
-    )
-    missing = missing.withColumn("base", F.coalesce(F.sum("n").over(order("source_index")), F.lit(0)))
-    needs = missing.select("source_index", "have", "base", spread(F.col("n")).alias("k")).select(
+    # One row a shard and one a source meet on the driver.
+    over = sorted((r["shard"], r["n"]) for r in drawn.groupBy("shard").agg(F.sum("over").alias("n")).collect())
+    have = {r["source_index"]: r["n"] for r in drawn.groupBy("source_index").agg(F.sum("inside").alias("n")).collect()}
+    if not sum(n for _, n in over):
+        return kept
+    ahead, run = [], 0
+    for shard, n in over:
+        ahead.append((shard, run))
+        run += n
+    first = spark.createDataFrame(ahead, "shard int, first long")
+    within = Window.partitionBy("shard").orderBy("source_index").rowsBetween(Window.unboundedPreceding, -1)
+    surplus = drawn.filter("over > 0").withColumn("base", F.coalesce(F.sum("over").over(within), F.lit(0)))
+    surplus = surplus.join(F.broadcast(first), "shard").select("shard", "source_index", "over", (F.col("first") + F.col("base")).alias("base"))
+    places = spread(surplus, "over", "k").select("shard", (F.col("base") + F.col("k")).alias("r"))
+    missing, run = [], 0
+    for r in live:
+        lack = r.quota - have.get(r.index, 0)
+        if lack:
+            missing.append((r.index, have.get(r.index, 0), lack, run))
+            run += lack
+    needs = spread(spark.createDataFrame(missing, "source_index int, have long, lack long, base long"), "lack", "k").select(
         "source_index", (F.col("have") + F.col("k")).alias("slot"), (F.col("base") + F.col("k")).alias("r")
     )
     return kept.unionByName(places.join(needs, "r").select("shard", "source_index", "slot"))
