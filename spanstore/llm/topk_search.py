@@ -2,21 +2,24 @@
 
 Vectors become integers ``floor(1024 x)``.  Equal vectors keep their ``k + 1``
 smallest ids (no other can be in an answer), so a crowd of copies costs
-nothing.  Rows go to the nearest of ``PIVOTS`` pivots and cells are cut into
-blocks of about ``BLOCK_ROWS``; queries form groups of about ``QUERY_ROWS``.
-A query group meets a block in one task, where both are indexed by cover trees
+nothing.  Rows go to the nearest of some pivots, whose number grows with the
+data up to ``MAX_PIVOTS``; a cell is cut into shells around its pivot, blocks of
+about ``BLOCK_ROWS`` with radii of their own.  Queries near each other form groups
+of at most about ``QUERY_ROWS``.  A query group meets a block in one task, where both are indexed by cover trees
 and searched together: a pair of nodes is left out when
 
     cq.cp + rq |cp| + rp |cq| + rq rp
 
 (centres c, covering radii r) is below the worst kth score of the queries in
 the query node.  A first round against one near block gives every query a floor
-for that score; the second meets only blocks whose cell can still beat it.
+for that score; the second joins a group only to blocks that can still beat it.
 
 Edge cases: null vectors and vectors with null or non-finite components take no
 part; shorter vectors count as padded with zeros; a query never meets its own
 row; fewer than k candidates give fewer rows; ties go to the smaller id; rows
-with a null id are left out; an empty table gives an empty result.
+with a null id are left out; rows that repeat id and vector count once, and an id
+with several vectors keeps them all; an empty table gives an empty result.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -26,13 +29,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import groups_for, stored, table
+from .common import groups_for, scratch, stored, table
 
 K = 10
 SCALE = 1024
 PIVOTS = 64
 BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
+MAX_PIVOTS = 4096
+SHELLS = 16
 LEAF = 24
 BASE = 1.3
 FOUND = "query_id long, vec_id long, score long"
@@ -159,13 +164,27 @@ def _best(found: DataFrame, k: int) -> DataFrame:
     return found.distinct().withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
 
+def _with_blocks(placed: DataFrame, shells: DataFrame) -> DataFrame:
+    """Adds ``block`` = cell:shell:part to rows with (vec_id, cell, far); shells: one row a cell with its cuts.  Other cells drop out."""
+    shell = F.size(F.filter("cuts", lambda c: c < F.col("far")))
+    return placed.join(F.broadcast(shells), "cell").withColumn("block", F.concat_ws(":", "cell", shell, F.pmod(F.xxhash64("vec_id"), F.col("parts")))).drop("cuts", "parts")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVOTS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of ``vectors`` for each of ``queries``; both (vec_id, v)."""
+    with scratch(vectors.sparkSession) as keep:
+        return keep(stored(_top_k(vectors, queries, k, pivots)))
+
+
+def _top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int) -> DataFrame:
     spark = vectors.sparkSession
+    vectors = vectors.select("vec_id", "v").distinct()
     # Of equal vectors only the k + 1 smallest ids can be in an answer (one may be the query's own).
     copies = Window.partitionBy("v").orderBy("vec_id")
-    distinct = vectors.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).drop("copy")
-    chosen = vectors.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()
+    distinct = stored(vectors.withColumn("copy", F.row_number().over(copies)).filter(F.col("copy") <= k + 1).drop("copy"))
+    pivots = min(MAX_PIVOTS, max(pivots, groups_for(distinct.count(), BLOCK_ROWS)))
+    # At most MAX_PIVOTS vectors.
+    chosen = distinct.select("v").distinct().orderBy(F.xxhash64("v"), "v").limit(pivots).collect()
     if not chosen:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     shared = spark.sparkContext.broadcast([np.asarray(r["v"], np.float64) for r in chosen])
@@ -180,37 +199,49 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, pivots: int = PIVO
         return pd.DataFrame({"cell": cell.astype(np.int32), "far": np.sqrt(d2[np.arange(len(rows)), cell])})
 
     placed = stored(distinct.withColumn("at", nearest("v")).select("vec_id", "v", "at.cell", "at.far"))
-    # At most ``pivots`` rows: size, covering radius and number of blocks of each cell.
-    cells = {r["cell"]: (r["r"], groups_for(r["n"], BLOCK_ROWS)) for r in placed.groupBy("cell").agg(F.max("far").alias("r"), F.count("*").alias("n")).collect()}
-    cuts = F.create_map(*[F.lit(x) for c, (_, n) in cells.items() for x in (c, n)])
-    parts = F.pmod(F.xxhash64("vec_id"), cuts[F.col("cell")])
-    data = placed.select("vec_id", "v", F.concat_ws(":", "cell", parts).alias("block"))
-    asked = stored(queries.select("vec_id", "v"))
-    groups = groups_for(asked.count(), QUERY_ROWS)
-    asked = asked.withColumn("group", F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int"))
-    data = data.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    first = asked.withColumn("at", nearest("v")).withColumn("floor", F.lit(float("-inf")))
-    own = F.pmod(F.xxhash64("vec_id"), cuts[F.col("at.cell")])
-    known = F.array(*[F.lit(c) for c in cells])
-    first = first.filter(F.array_contains(known, F.col("at.cell"))).withColumn("block", F.concat_ws(":", "at.cell", own)).drop("at")
-    seeds = _best(_search(data, first, k), k).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
-    floors = stored(asked.join(seeds, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))))
-    radius = {c: r for c, (r, _) in cells.items()}
-    numbers = {c: n for c, (_, n) in cells.items()}
+    # A cell is cut into shells around its pivot, each with its own radius; only a shell of very many rows has several parts.
+    blocks = F.ceil(F.count("*") / BLOCK_ROWS).cast("int")
+    cells = placed.groupBy("cell").agg(
+        F.least(blocks, F.lit(SHELLS)).alias("n"), blocks.alias("_blocks"),
+        F.percentile_approx("far", [i / SHELLS for i in range(1, SHELLS)]).alias("q"),
+    )
+    cut = lambda i: F.get("q", F.floor(i * SHELLS / F.col("n")).cast("int") - 1)
+    shells = cells.select(
+        "cell", F.when(F.col("n") > 1, F.transform(F.sequence(F.lit(1), F.greatest(F.col("n") - 1, F.lit(1))), cut)).otherwise(F.array().cast("array<double>")).alias("cuts"),
+        F.ceil(F.col("_blocks") / F.col("n")).cast("int").alias("parts"),
+    )
+    shells = stored(shells)
+    data = stored(_with_blocks(placed, shells))
+    # At most MAX_PIVOTS x SHELLS rows, however many blocks: the shells' radii and numbers of parts.
+    place = F.split("block", ":")
+    about = data.groupBy("cell", F.get(place, F.lit(1)).alias("shell")).agg(F.max("far").alias("r"), F.max(F.get(place, F.lit(2)).cast("int")).alias("last")).collect()
+    rows = stored(queries.select("vec_id", "v").distinct().withColumn("at", nearest("v")).select("vec_id", "v", "at.cell", "at.far"))
+    # Queries of one group are near each other, so that they share blocks and the trees prune.
+    many = rows.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("_groups"))
+    asked = rows.join(F.broadcast(many), "cell").withColumn("group", F.concat_ws(":", "cell", F.pmod(F.xxhash64("vec_id"), F.col("_groups")))).drop("_groups")
+
+    def met(pairs: DataFrame) -> DataFrame:
+        """The rows of each block that some query of a group has to meet, once a group."""
+        wanted = pairs.select(F.col("block").alias("_b"), F.col("group").alias("_g")).distinct()
+        return data.join(wanted, F.col("block") == F.col("_b")).select("vec_id", "v", "block", F.col("_g").alias("group"))
+
+    first = stored(_with_blocks(asked, shells).select("vec_id", "v", "group", "block", F.lit(float("-inf")).alias("floor")))
+    seeds = _best(_search(met(first), first, k), k).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
+    floors = asked.join(seeds, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))).select("vec_id", "v", "group", "floor")
 
     @F.pandas_udf("array<string>")
     def open_blocks(v: pd.Series, floor: pd.Series) -> pd.Series:
         width = max([len(c) for c in shared.value] + [len(x) for x in v])
-        centers = np.stack([np.pad(shared.value[c], (0, width - len(shared.value[c]))) for c in radius])
-        rows, r = _matrix(v, width).astype(np.float64), np.asarray(list(radius.values()))
+        centers = np.stack([np.pad(shared.value[b["cell"]], (0, width - len(shared.value[b["cell"]]))) for b in about])
+        rows, r = _matrix(v, width).astype(np.float64), np.asarray([b["r"] for b in about])
         norm = np.sqrt((rows**2).sum(axis=1))[:, None]
         bound = rows @ centers.T + norm * r[None, :]
         bound += 1e-9 * (np.abs(bound) + norm * (np.sqrt((centers**2).sum(axis=1)) + r)[None, :]) + 1e-6
-        ids = list(radius)
-        return pd.Series([[f"{ids[j]}:{b}" for j in np.flatnonzero(bound[i] >= f) for b in range(numbers[ids[j]])] for i, f in enumerate(floor)])
+        named = [(f"{b['cell']}:{b['shell']}:", b["last"] + 1) for b in about]
+        return pd.Series([[f"{named[j][0]}{part}" for j in np.flatnonzero(bound[i] >= f) for part in range(named[j][1])] for i, f in enumerate(floor)])
 
-    pairs = floors.withColumn("block", F.explode(open_blocks("v", "floor")))
-    return _best(_search(data, pairs, k), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    pairs = stored(floors.withColumn("block", F.explode(open_blocks("v", "floor"))))
+    return _best(_search(met(pairs), pairs, k), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
 def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -222,7 +253,7 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH valid AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
