@@ -114,7 +114,8 @@ def spread(rows: DataFrame, n: str, name: str, chunk: int = CHUNK) -> DataFrame:
     """Each row ``n`` times, numbered from 0 in ``name``: first chunk by chunk and dealt out, then inside the chunks,
     so that neither a row's array nor a task grows with ``n``."""
     parts = rows.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / chunk))).alias("_chunk"))
-    parts = parts.repartition(F.xxhash64(*[c for c in parts.columns]))
+    # By number: Spark would merge these few rows, which are about to become many, into a task or two.
+    parts = parts.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), F.xxhash64(*parts.columns))
     inside = F.sequence(F.col("_chunk") * chunk, F.least(F.col(n), (F.col("_chunk") + 1) * chunk) - 1)
     return parts.select("*", F.explode(inside).alias(name)).drop("_chunk")
 
