@@ -218,7 +218,9 @@ def _top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int) -> DataF
     rows = stored(queries.select("vec_id", "v").distinct().withColumn("at", nearest("v")).select("vec_id", "v", "at.cell", "at.far"))
     # Queries of one group are near each other, so that they share blocks and the trees prune.
     many = rows.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("_groups"))
-    asked = rows.join(F.broadcast(many), "cell").withColumn("group", F.concat_ws(":", "cell", F.pmod(F.xxhash64("vec_id"), F.col("_groups")))).drop("_groups")
+    # Cells of few queries share a group, so that a block is copied to no more groups than the queries fill.
+    shared_by = F.col("cell") % groups_for(rows.count(), QUERY_ROWS)
+    asked = rows.join(F.broadcast(many), "cell").withColumn("group", F.concat_ws(":", shared_by, F.pmod(F.xxhash64("vec_id"), F.col("_groups")))).drop("_groups")
 
     def met(pairs: DataFrame) -> DataFrame:
         """The rows of each block that some query of a group has to meet, once a group."""
