@@ -130,6 +130,25 @@ def maybe_among(df: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return marked.join(F.broadcast(words), "_word").filter(hit).select(*df.columns)
 
 
+HOT_KEYS = 1000
+
+
+def join_skewed(rows: DataFrame, facts: DataFrame, keys: list[str], count: str, anti: bool = False) -> DataFrame:
+    """``rows`` joined with ``facts`` (unique ``keys``), or without those that ``facts`` has.
+
+    ``count`` is a column of ``facts``: how many rows have the key.  Keys with more than a share of
+    1 / HOT_KEYS of these rows are joined by broadcast, and there are fewer than HOT_KEYS of them; no
+    other key weighs enough to hold up a task.
+    """
+    total = facts.agg(F.sum(count)).first()[0] or 0
+    is_hot = F.col(count) * HOT_KEYS > total
+    hot, cold = facts.filter(is_hot), facts.filter(~is_hot)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    if anti:
+        return rest.join(cold.select(*keys), keys, "left_anti")
+    return rows.join(F.broadcast(hot), keys).unionByName(rest.join(cold, keys))
+
+
 def words_of(text: Column) -> Column:
     """Maximal runs of characters outside ASCII white space; null gives none."""
     trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, jaccard_join, langid, line_dedup, mixing, packing, quality_rules, sharding, suffix_dedup, topk_search
+from . import html_text, jaccard_join, langid, line_dedup, mixing, packing, periodic_runs, quality_rules, sharding, simhash, suffix_dedup, topk_search
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_near_duplicates": jaccard_join.op8_near_duplicates,
     "op9_quality_rules": quality_rules.op9_quality_rules,
     "op10_mix": mixing.op10_mix,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op13_simhash": simhash.op13_simhash,
 }
 
 ORACLE_SQL = {
