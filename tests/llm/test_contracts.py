@@ -1,6 +1,7 @@
-"""The ten queries on odd, repeated and empty tables: columns, types, and plain statements of what they return."""
+"""The queries on odd, repeated and empty tables: columns, types, and plain statements of what they return."""
 
 import collections
+import hashlib
 import math
 import re
 import struct
@@ -29,6 +30,9 @@ COLUMNS = {
     "op8_near_duplicates": "doc_id bigint, n_shingles bigint, component_id bigint",
     "op9_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, base_failed boolean, kept boolean",
     "op10_mix": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op11_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
+    "op12_vector_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
+    "op13_simhash": "doc_id bigint, fingerprint string, component_id bigint",
 }
 
 
@@ -43,7 +47,7 @@ def odd_dir(spark, tmp_path_factory):
     vectors += [vectors[100], vectors[7], (None, [1.0] * 5, ""), (400, None, ""), (401, [None] * 5, ""), (500, [float("nan")] * 5, "")]
     tables = {
         "documents": docs,
-        "embeddings": spark.createDataFrame(vectors, "vec_id long, embedding array<double>, block string"),
+        "embeddings": spark.createDataFrame([(*v, None if k % 3 == 0 else k % 4) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, block string, label int"),
         "pages": spark.createDataFrame([(1, "u", "<p>a"), (1, "u", "<p>a"), (2, None, None), (None, "u", ""), (3, "u", "<b" * 5000)], "page_id long, url string, html string"),
         "labels": spark.createDataFrame([(i, i % 2, None) for i in range(30)] + [(2, 0, 1), (2, 1, 1), (None, 1, 0), (99, None, 0), (3, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int"),
     }
@@ -168,6 +172,61 @@ def check_op9(spark, odd_dir, documents, rows):
     assert collections.Counter((r["doc_id"], r["base_failed"], r["kept"]) for r in rows) == want
 
 
+def brute_runs(words, least, exponent):
+    """Every period tried on every stretch."""
+    found = []
+    for q in range(1, len(words) // exponent + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            length = i - start + q
+            part = words[start : start + length]
+            if length >= max(least, exponent * q) and not any(part[d:] == part[:-d] for d in range(1, q)):
+                found.append((start, length, q))
+            i += i == start
+    return sorted(found)
+
+
+def check_op11(spark, odd_dir, documents, rows):
+    """Runs by trying all periods; the planted texts and digests restated."""
+    want = collections.Counter()
+    for i, text, _ in documents:
+        words = WORD.findall(text)
+        n, h = len(words), zlib.crc32(str(i).encode())
+        if i is not None and h % 10 == 0 and n:
+            a = h // 10 % n
+            p = 1 + (n - a) // (3 + h // 10 % 8)
+            words = words[:a] + [words[a + (k - a) % p] for k in range(a, n)]
+        runs = brute_runs(words, 6, 4)
+        best = max(runs, key=lambda r: (r[1], -r[0], -r[2]), default=None)
+        gone = {k for s, length, q in runs for k in range(s + q, s + length)}
+        digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+        want[
+            i, len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+            digest("".join("%d,%d,%d\n" % r for r in runs)), digest(" ".join(w for k, w in enumerate(words) if k not in gone)),
+        ] += 1
+    assert collections.Counter(map(tuple, rows)) == want
+
+
+def check_op13(spark, odd_dir, documents, rows):
+    """Bits counted one by one, all pairs met."""
+    prints = []
+    for i, text, _ in documents:
+        words = [w.encode().lower().decode() for w in WORD.findall(text)]
+        shingles = [" ".join(words[k : k + 3]) for k in range(len(words) - 2)] or [" ".join(words)] * bool(words)
+        hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        prints.append((i, sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))))
+    label = {f: i for i, f in sorted((p for p in prints if p[0] is not None), reverse=True)}
+    while True:
+        new = {f: min(label[g] for g in label if (f ^ g).bit_count() <= 3) for f in label}
+        if new == label:
+            break
+        label = new
+    assert collections.Counter(map(tuple, rows)) == collections.Counter((i, f"{f:016x}", None if i is None else label[f]) for i, f in prints)
+
+
 def _hash(*parts):
     seed = 42
     for value, kind in parts:
