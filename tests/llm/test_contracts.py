@@ -174,18 +174,16 @@ def check_op9(spark, odd_dir, documents, rows):
 
 def brute_runs(words, least, exponent):
     """Every period tried on every stretch."""
+    names = {w: k for k, w in enumerate(dict.fromkeys(words))}
+    codes = np.asarray([names[w] for w in words], np.int64)
     found = []
     for q in range(1, len(words) // exponent + 1):
-        i = 0
-        while i + q < len(words):
-            start = i
-            while i + q < len(words) and words[i] == words[i + q]:
-                i += 1
-            length = i - start + q
-            part = words[start : start + length]
-            if length >= max(least, exponent * q) and not any(part[d:] == part[:-d] for d in range(1, q)):
-                found.append((start, length, q))
-            i += i == start
+        same = np.concatenate([[False], codes[q:] == codes[:-q], [False]])
+        edge = np.flatnonzero(same[1:] != same[:-1])
+        for start, end in zip(edge[::2].tolist(), edge[1::2].tolist()):
+            part = codes[start : end + q]
+            if len(part) >= max(least, exponent * q) and not any((part[d:] == part[:-d]).all() for d in range(1, q)):
+                found.append((start, len(part), q))
     return sorted(found)
 
 
