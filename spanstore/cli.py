@@ -28,7 +28,7 @@ def parser() -> argparse.ArgumentParser:
             s.add_argument(flag, **kw)
 
     limit = lambda n: ("--limit", {"type": int, "default": n})
-    add("ingest", ("target", {}), ("--kind", {}))
+    add("ingest", ("target", {}), ("--kind", {}), ("--only", {"default": "", "metavar": "PREFIX"}))
     add("runs")
     add("ledger", ("--run", {}), ("--outcome", {"choices": ledger.OUTCOMES}), limit(50))
     add("gaps", ("--run", {}))
@@ -50,7 +50,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> list[str]:
     if args.command == "doctor":
         return _lines(availability(spark))
     if args.command == "ingest":
-        run = ingest(spark, args.target, workspace, args.kind)
+        run = ingest(spark, args.target, workspace, args.kind, args.only)
         args.run = run.id
     store = Store(spark, workspace.tables)
     t = store.table
@@ -71,7 +71,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> list[str]:
         first = F.substring(F.element_at(F.split("text", "\n"), 1), 1, 90)
         return _lines(found.select("id", cite(F.col("path"), F.col("blob_sha"), F.col("locator")), first))
     if args.command == "show":
-        rows = query.show(t("text_units"), t("documents"), t("blobs"), args.unit_id).select("cite", "text", "resolved", "verdict").collect()
+        rows = query.show(*store.of_unit(args.unit_id), args.unit_id).select("cite", "text", "resolved", "verdict").collect()
         if not rows:
             raise StoreError(f"no unit {args.unit_id}")
         return [str(v) for v in rows[0] if v is not None]

@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed, ids, media, triage
@@ -17,7 +17,7 @@ from ..sources.connectors import Source, select_connector
 from ..sources.tree import fetch, with_content
 from ..sources.workspace import Workspace
 from . import store as st
-from .ledger import counters
+from .ledger import OUTCOMES
 
 
 @dataclass(frozen=True)
@@ -107,26 +107,32 @@ def ingest_entries(
 ) -> Run:
     """Runs one ingestion of ``entries`` and commits it as a whole."""
     with small_batches(spark), store.writing():
-        old = {name: store.table(name) for name in st.SCHEMAS}
+        old = {name: store.table(name) for name in ("blobs", "document_versions", "ingest_runs")}
         run = Run.start(old["ingest_runs"].count())
         source = ids.source_id(F.lit(connector), F.lit(uri))
+        if not has_content:
+            # A tree is walked once; both gates read its listing.
+            entries.write.parquet(store.staging(run.id, "listing"))
+            entries = spark.read.schema(entries.schema).parquet(store.staging(run.id, "listing"))
         gated = entries.withColumn("gate", metadata_gate(F.col("size"), F.col("entry_kind")))
         early = gated.filter("gate is not null")
         ready = gated.filter("gate is null").drop("gate")
         items = describe(with_content(ready) if has_content else fetch(ready), source)
         # Bytes are written once, as the blobs' staging table; all else reads the narrow columns.
-        staged = os_path(store, f"staging/{run.id}")
+        staged = store.staging(run.id, "items")
         items.write.parquet(staged)
         items = spark.read.schema(items.schema).parquet(staged)
         readable = items.filter("read_error is null")
 
-        prior = old["text_units"].select("document_id", "blob_sha").distinct().withColumn("had", F.lit(True))
-        docs_before = old["documents"].select(F.col("id").alias("document_id"), F.col("blob_sha").alias("old_sha"))
+        # Only the buckets of the run's documents are read.
+        docs_at = store.touched("documents", readable.select("document_id"))
+        prior = store.table("text_units", docs_at).select("document_id", "blob_sha").distinct().withColumn("had", F.lit(True))
+        docs_before = store.table("documents", docs_at).select(F.col("id").alias("document_id"), F.col("blob_sha").alias("old_sha"))
         narrow = items.drop("content").join(docs_before, "document_id", "left").join(prior, ["document_id", "blob_sha"], "left")
         judged = narrow.withColumn("gate", content_gate(is_unchanged(F.col("old_sha"), F.col("blob_sha"), F.col("had"))))
         todo = judged.filter("gate is null").select("document_id", "extractor", "path")
         work = todo.join(readable.select("document_id", "content"), "document_id")
-        done_path = os_path(store, f"staging/{run.id}-units")
+        done_path = store.staging(run.id, "units")
         finished_units(extract(work)).write.parquet(done_path)
         done = spark.read.parquet(done_path)
 
@@ -181,25 +187,29 @@ def ingest_entries(
             ),
             old["document_versions"],
         )
-        # Documents whose bytes changed lose their old units even when the new bytes give none.
-        stale = judged.filter("read_error is null and (gate is null or not (old_sha <=> blob_sha))").filter(
-            F.coalesce(F.col("gate.outcome"), F.lit("")) != "unchanged"
+        # Documents whose bytes changed lose their old units even when the new bytes give none; what never had units has none to lose.
+        stale = (
+            judged.filter("read_error is null and (gate is null or not (old_sha <=> blob_sha))")
+            .filter(F.coalesce(F.col("gate.outcome"), F.lit("")) != "unchanged")
+            .join(prior.select("document_id").distinct(), "document_id", "left_semi")
         )
         units = unit_rows(done.join(judged.select("document_id", "blob_sha", "extractor", "relevance"), "document_id"), run.now)
         first = spark.range(1).select(
             source.alias("id"), F.lit(connector).alias("connector"), F.lit(uri).alias("uri"), F.lit(label).alias("label"),
             F.lit(revision).alias("revision"), F.lit(run.now).alias("first_seen"), F.lit(run.now).alias("last_seen"),
         )
-        runs = spark.range(1).select(F.lit(run.id).alias("id")).join(
-            counters(events).withColumnRenamed("run_id", "id"), "id", "left"
-        ).select(
-            "id", F.lit(run.seq).cast("long").alias("run_seq"), F.lit(connector).alias("connector"), F.lit(uri).alias("target"), source.alias("source_id"),
-            F.lit(run.now).alias("started_utc"), F.lit(run.now).alias("finished_utc"), F.lit("ok").alias("status"),
-            F.coalesce("counters", F.from_json(F.lit("{}"), "map<string,bigint>")).alias("counters"),
-        )
-        # Only the buckets that hold a row of this run are read and written again.
-        docs_at = store.touched("documents", seen.select("id"))
-        units_at = store.touched("text_units", stale.select("document_id"))
+        # The counters are taken while the events are written.
+        counted = Observation(run.id)
+        events = events.observe(counted, *(F.count_if(F.col("outcome") == o).alias(o) for o in OUTCOMES), F.coalesce(F.sum("units"), F.lit(0)).cast("long").alias("units"))
+
+        def finished() -> DataFrame:
+            counts = {k: n for k, n in counted.get.items() if n or k == "units"}
+            row = (run.id, run.seq, connector, uri, run.now, run.now, "ok", counts if len(counts) > 1 else {})
+            names = "id string, run_seq bigint, connector string, target string, started_utc string, finished_utc string, status string, counters map<string,bigint>"
+            return spark.createDataFrame([row], names).withColumn("source_id", source)
+
+        # Only the buckets that hold a row of this run are written again.
+        units_at = store.touched("text_units", stale.select("document_id").unionByName(done.filter(F.size("units") > 0).select("document_id")))
         source_at = store.touched("sources", first.select("id"))
         store.commit(
             {
@@ -209,20 +219,21 @@ def ingest_entries(
                 "document_versions": versions,
                 "text_units": st.replace_units(store.table("text_units", units_at), stale, units),
                 "ingest_events": events,
-                "ingest_runs": runs,
+                "ingest_runs": finished,
             },
             {"sources": source_at, "documents": docs_at, "text_units": units_at},
         )
+        store.drop_staging(run.id)
         return run
 
 
-def os_path(store: st.Store, part: str) -> str:
-    return f"{store.root}/{part}"
-
+def ingest(spark: SparkSession, target: str | Source, workspace: Workspace, kind: str | None = None, only: str = "") -> Run:
+    """Ingests a target: a directory, a repository, a file or pasted text.
 
-def ingest(spark: SparkSession, target: str | Source, workspace: Workspace, kind: str | None = None) -> Run:
-    """Ingests a target: a directory, a repository, a file or pasted text."""
+    only: of a tree, the paths that begin with this; no other folder is listed.
+    """
     connector = target if isinstance(target, Source) else select_connector(target, kind)
+    connector.only = only or connector.only
     connector.prepare(workspace.clones)
     store = st.Store(spark, workspace.tables)
     return ingest_entries(

@@ -16,16 +16,19 @@ from __future__ import annotations
 import functools
 import json
 import os
+import shutil
 import socket
 import tempfile
 import time
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.locators import LOCATOR
+from ..sources.sink import BlobSink
 
 SCHEMAS = {
     "blobs": "sha256 string, size bigint, media_type string, first_seen string, shard string, content binary",
@@ -43,6 +46,13 @@ GROWING = ("blobs", "document_versions", "ingest_events", "ingest_runs")
 # The other tables by the key that decides a row's bucket.
 BUCKETED = {"sources": "id", "documents": "id", "text_units": "document_id"}
 BUCKETS = 64
+# Units are also looked up by id, which says nothing of their bucket: small row groups with a Bloom filter each.
+BLOOM = {
+    "text_units": {
+        "parquet.bloom.filter.enabled#id": "true", "parquet.bloom.filter.expected.ndv#id": "20000", "parquet.block.size": str(16 << 20),
+        "parquet.page.row.count.limit": "2000",
+    }
+}
 
 # Constraints of what a commit adds: keys, references, and conditions that no row may meet.
 KEYS = {
@@ -79,7 +89,10 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named and not spark.sparkContext.master.startswith("local"):
         raise StoreError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    root = "/" + named.removeprefix("file:").lstrip("/") if named else tempfile.mkdtemp(prefix="spark-store-")
+    scheme, colon, rest = (named or "").partition(":")
+    if colon and scheme != "file":
+        raise StoreError(f"{named}: the store needs a folder that driver and executors share as a file system, not a {scheme} address")
+    root = "/" + (rest if colon else named).lstrip("/") if named else tempfile.mkdtemp(prefix="spark-store-")
     return os.path.join(root, f"store-{uuid.uuid4().hex}")
 
 
@@ -108,6 +121,29 @@ class Store:
         """Buckets of a table that hold or will hold ``keys`` (one column)."""
         return {r[0] for r in keys.select(bucket_of(F.col(keys.columns[0]))).distinct().collect()}
 
+    def staging(self, run: str, part: str) -> str:
+        """Where a run keeps rows that it reads several times, until it is committed."""
+        return os.path.join(self.root, "staging", run, part)
+
+    def drop_staging(self, run: str) -> None:
+        shutil.rmtree(os.path.join(self.root, "staging", run), ignore_errors=True)
+
+    def of_unit(self, unit_id: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """The unit, its document and its blob, each from the one bucket or shard that holds it.
+
+        The first step finds the unit's document: row groups whose Bloom filter doesn't know the id
+        are not read.  The others are read where the document and the hash say.
+        """
+        where = self.table("text_units").filter(F.col("id") == unit_id).select("document_id", "blob_sha").head()
+        if where is None:
+            return tuple(self.table(n, set()) if n in BUCKETED else self._read(n, []) for n in ("text_units", "documents", "blobs"))
+        key = self.spark.range(1).select(F.lit(where["document_id"]).alias("id"))
+        at = self.touched("documents", key)
+        units = self.table("text_units", at).filter((F.col("document_id") == where["document_id"]) & (F.col("id") == unit_id))
+        documents = self.table("documents", at).filter(F.col("id") == where["document_id"])
+        sha = where["blob_sha"]
+        return units, documents, self.table("blobs").filter((F.col("shard") == sha[:2]) & (F.col("sha256") == sha))
+
     @contextmanager
     def writing(self):
         """Holds the store's lock."""
@@ -140,22 +176,29 @@ class Store:
         except FileNotFoundError:
             pass
 
-    def commit(self, changes: dict[str, DataFrame], buckets: dict[str, set[int]] | None = None) -> None:
+    def commit(self, changes: dict[str, DataFrame | Callable[[], DataFrame]], buckets: dict[str, set[int]] | None = None) -> None:
         """Writes all changes, checks them, then moves the pointer.
 
         A growing table's change is the rows to add.  A bucketed one's is all rows of the
-        buckets named for it in ``buckets`` (of all of them, if it isn't named there).
+        buckets named for it in ``buckets`` (of all of them, if it isn't named there).  A function
+        is called when the changes before it are written.
         """
         parts, batch = self.parts(), uuid.uuid4().hex[:12]
         fresh: dict[str, list[str]] = {}
         for name, df in changes.items():
             where = os.path.join(name, f"batch={batch}")
-            rows = df.select(*_columns(self.spark, name))
+            rows = (df() if callable(df) else df).select(*_columns(self.spark, name))
             # Blobs lie by the first two digits of their hash, so a lookup reads one shard.
             if name in BUCKETED:
                 rows = rows.withColumn("bucket", bucket_of(F.col(BUCKETED[name]))).repartition("bucket")
-            by = ["shard"] if name == "blobs" else ["bucket"] if name in BUCKETED else []
-            rows.write.partitionBy(*by).parquet(os.path.join(self.root, where))
+            if name == "blobs":
+                self.spark.dataSource.register(BlobSink)
+                rows.sortWithinPartitions("shard").write.format("blobs").option("path", os.path.join(self.root, where)).mode("append").save()
+            else:
+                out = rows.write.partitionBy(*(["bucket"] if name in BUCKETED else []))
+                for option, value in BLOOM.get(name, {}).items():
+                    out = out.option(option, value)
+                out.parquet(os.path.join(self.root, where))
             fresh[name] = [where]
             if name in BUCKETED:
                 gone = (buckets or {}).get(name, set(range(BUCKETS)))

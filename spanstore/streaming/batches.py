@@ -6,12 +6,15 @@ replayed batch harmless: it changes nothing but ``last_seen`` and the ledger.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import os
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import ingest_entries
 from ..plans.store import Store
+from ..sources.tree import read_tree_changes
 
 
 def as_entries(items: DataFrame) -> DataFrame:
@@ -32,3 +35,20 @@ def ingest_stream(items: DataFrame, store: Store, uri: str, checkpoint: str, con
             ingest_entries(df.sparkSession, as_entries(last), store, connector, uri, uri, has_content=True)
 
     return items.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def ingest_tree_stream(spark: SparkSession, root: str, store: Store, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Starts ingestion of a tree's files as they appear and change: a batch opens only what differs from the last listing.
+
+    ``interval``, such as "10 seconds", keeps the query running; without it the query ends when it has caught up.
+    Deleted files leave their documents as they are, as in a batch run.
+    """
+    root = os.path.realpath(root)
+    changes = read_tree_changes(spark, root, os.path.join(checkpoint, "listings"))
+
+    def batch(df: DataFrame, _: int) -> None:
+        if not df.isEmpty():
+            ingest_entries(df.sparkSession, df, store, "filesystem", root, os.path.basename(root))
+
+    out = changes.writeStream.foreachBatch(batch).option("checkpointLocation", os.path.join(checkpoint, "query"))
+    return (out.trigger(processingTime=interval) if interval else out.trigger(availableNow=True)).start()
