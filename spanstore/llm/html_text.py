@@ -5,13 +5,13 @@ closes what the next tag implies (paragraphs, list items, table parts, options),
 ignores stray end tags, and drops what a browser does not show: scripts, styles,
 templates, ``hidden`` and ``display:none`` elements, what stands in ``visibility:hidden``
 ones unless it is made visible again,
-closed dialogs, hidden inputs, datalists, and what browsers with scripts, frames and
+closed dialogs, all but the summary of closed details, hidden inputs, datalists, and what browsers with scripts, frames and
 media show other content for (noscript, noembed, noframes, iframe, canvas, audio, video).
 In drawings and formulas descriptions, definitions and annotations are dropped.  Of a
 select the chosen option is shown, of a list box all; an object shows its fallback.  The renderer walks the tree: inline text is collapsed, blocks start
 lines (paragraph-like ones leave a blank line between), list items carry bullets
-or numbers and indentation, ``pre`` keeps its white space, and table cells are
-padded into aligned columns, spans of rows and columns counted; what stands in a table outside of its cells goes
+or numbers (from ``start``, also negative, down if ``reversed``) and indentation, ``pre`` keeps its white space, and table cells are
+padded into aligned columns, spans of rows and columns counted, with bounds that keep the text's size in proportion to the page's; what stands in a table outside of its cells goes
 before the table, as a browser's foster parenting has it.
 
 Edge cases: null html gives null text; a page without visible text gives the
@@ -64,7 +64,10 @@ GONE = re.compile(r"display\s*:\s*none", re.I)
 VEILED = re.compile(r"visibility\s*:\s*(\w+)", re.I)
 SPACE = re.compile(r"[ \t\n\f\r]+")
 DRAWS = re.compile("<(?:svg|math)", re.I)
+INTEGER = re.compile("[+-]?[0-9]{1,9}")
 MAX_DEPTH = 200
+PAD = 40
+GAP = 80
 
 
 class Node:
@@ -208,14 +211,53 @@ def _has_parts(node: Node) -> bool:
     return any(isinstance(k, Node) and k.tag != "table" and (k.tag in PARTS or _has_parts(k)) for k in node.kids)
 
 
+def _number(said: str | None) -> int | None:
+    """An integer attribute; anything else is as if it were not there."""
+    return int(said) if said and INTEGER.fullmatch(said.strip(" \t\n\f\r")) else None
+
+
+def _count_rows(node: Node) -> int:
+    """At least the number of rows of a table, those of tables inside it not counted."""
+    return sum(1 + _count_rows(k) for k in node.kids if isinstance(k, Node) and k.tag != "table")
+
+
+def _aligned(rows: list[dict[int, str]]) -> list[str]:
+    """Lines of rows of cells by column.
+
+    A column starts after the widest cells of those before it, of which ``PAD`` characters count; columns that only
+    spans fill take two; a gap is at most ``GAP`` wide.  So a line is at most a constant times its cells.
+    """
+    widths: dict[int, int] = {}
+    for row in rows:
+        for column, cell in row.items():
+            widths[column] = max(widths.get(column, 0), min(len(cell), PAD))
+    start, at, before = {}, 0, 0
+    for column in sorted(widths):
+        at += 2 * (column - before)
+        start[column] = at
+        at, before = at + widths[column] + 2, column + 1
+    lines = []
+    for row in rows:
+        pieces, length = [], 0
+        for column, cell in row.items():
+            gap = min(max(start[column] - length, 2 if pieces else 0), GAP)
+            pieces.append(" " * gap + cell)
+            length += gap + len(cell)
+        lines.append("".join(pieces).rstrip())
+    return lines
+
+
 def _grid(table_: Node) -> list[str]:
     """Rows of a table with cells padded to their columns, after whatever stands in it outside of cells."""
-    rows: list[list[str]] = []
+    rows: list[dict[int, str]] = []
     before: list[str] = []
     head: list[str] = []
     loose = Node("div")
     in_row = False
-    below: dict[int, int] = {}  # rows that a cell above still covers, by column
+    covered: list[tuple[int, int, int]] = []  # columns [from, to) that a cell above covers down to a row, in order
+    coming: list[tuple[int, int, int]] = []
+    place = seen = 0  # the next free column, and how many of ``covered`` lie before it
+    last = _count_rows(table_)
 
     def flush() -> None:
         before.extend(render(loose))
@@ -223,19 +265,33 @@ def _grid(table_: Node) -> list[str]:
 
     def end_row() -> None:
         nonlocal in_row
-        for column in [c for c in below if in_row and c >= len(rows[-1])]:
-            below[column] -= 1
         in_row = False
 
+    def begin_row() -> None:
+        nonlocal in_row, place, seen, covered, coming
+        joined: list[tuple[int, int, int]] = []
+        for one in sorted([*covered, *coming]) if coming else covered:
+            if one[2] < len(rows):
+                continue
+            if joined and joined[-1][1] >= one[0] and joined[-1][2] == one[2]:
+                one = (joined[-1][0], max(joined.pop()[1], one[1]), one[2])
+            joined.append(one)
+        covered, coming, place, seen, in_row = joined, [], 0, 0, True
+        rows.append({})
+
     def add_cell(cell: Node) -> None:
-        row, a = rows[-1], cell.attributes()
-        wide, high = (int(a[k]) if a.get(k, "").isdigit() else 1 for k in ("colspan", "rowspan"))
-        while below.get(len(row), 0) > 0:
-            below[len(row)] -= 1
-            row.append("")
-        for column in range(len(row), len(row) + (wide := min(max(wide, 1), 100))):
-            below[column] = high - 1 if high else 1 << 16  # 0: all rows of the part
-        row += [" ".join(x for x in render(cell) if x)] + [""] * (wide - 1)
+        nonlocal place, seen
+        a = cell.attributes()
+        wide, high = (_number(a.get(k)) for k in ("colspan", "rowspan"))
+        wide, high = 1 if wide is None else min(max(wide, 1), 1000), 1 if high is None else max(high, 0)
+        while seen < len(covered) and covered[seen][0] <= place:
+            place = max(place, covered[seen][1])
+            seen += 1
+        if high != 1:  # 0: all rows of the part
+            coming.append((place, place + wide, min(len(rows) + high - 2, last) if high else last))
+        if text := " ".join(x for x in render(cell) if x):
+            rows[-1][place] = text
+        place += wide
 
     def collect(node: Node, shown: bool) -> None:
         nonlocal in_row
@@ -251,17 +307,16 @@ def _grid(table_: Node) -> list[str]:
             elif kid.tag in ("td", "th"):
                 flush()
                 if not in_row:
-                    rows.append([])
-                    in_row = True
+                    begin_row()
                 add_cell(kid)
             elif kid.tag in PARTS:
                 flush()
                 end_row()
                 if kid.tag == "tr":
-                    in_row = True
-                    rows.append([])
+                    begin_row()
                 else:
-                    below.clear()
+                    covered.clear()
+                    coming.clear()
                 collect(kid, True)
                 flush()
                 end_row()
@@ -273,14 +328,7 @@ def _grid(table_: Node) -> list[str]:
 
     collect(table_, True)
     flush()
-    widths: list[int] = []
-    for row in rows:
-        for i, cell in enumerate(row):
-            if i == len(widths):
-                widths.append(0)
-            widths[i] = max(widths[i], len(cell))
-    lines = ["  ".join(c.ljust(w) for c, w in zip(row, widths)).rstrip() for row in rows]
-    return [x for x in [*before, *head, *lines] if x]
+    return [x for x in [*before, *head, *_aligned(rows)] if x]
 
 
 def _options(select: Node) -> list[str]:
@@ -299,7 +347,7 @@ def _options(select: Node) -> list[str]:
 
     collect(select, False)
     a = select.attributes()
-    if "multiple" in a or (a.get("size", "").isdigit() and int(a["size"]) > 1):
+    if "multiple" in a or (_number(a.get("size")) or 0) > 1:
         return [label(o) for o, _ in found if o.visible()]
     chosen = [o for o, _ in found if "selected" in o.attributes()][-1:] or [o for o, off in found if not off][:1]
     return [label(o) for o in chosen]
@@ -317,9 +365,17 @@ def render(node: Node, pre: bool = False) -> list[str]:
         out.end_line()
 
     def walk(n: Node, pre: bool) -> None:
-        first = n.attributes().get("start", "") if n.tag == "ol" and n.attrs else ""
-        count = int(first) - 1 if first.isdigit() else 0
-        for kid in n.kids:
+        kids, step, count = n.kids, 1, 0
+        if n.tag == "ol" and n.attrs:
+            a = n.attributes()
+            step = -1 if "reversed" in a else 1
+            first = _number(a.get("start"))
+            if first is None:
+                first = sum(isinstance(k, Node) and k.tag == "li" for k in kids) if step < 0 else 1
+            count = first - step
+        if n.tag == "details" and "open" not in n.attributes():
+            kids = [k for k in kids if isinstance(k, Node) and k.tag == "summary"][:1]
+        for kid in kids:
             if isinstance(kid, str):
                 if pre and "\n" in kid:
                     *full, rest = kid.split("\n")
@@ -364,8 +420,8 @@ def render(node: Node, pre: bool = False) -> list[str]:
                     for line in _grid(kid):
                         out.add(line)
                 elif tag == "li":
-                    said = kid.attributes().get("value", "") if kid.attrs else ""
-                    count = int(said) if said.isdigit() else count + 1
+                    said = _number(kid.attributes().get("value")) if kid.attrs else None
+                    count = count + step if said is None else said
                     mark = f"{count}. " if n.tag == "ol" else "- "
                     for i, line in enumerate(render(kid, pre)):
                         out.add((mark if i == 0 else " " * len(mark)) + line if line else "")

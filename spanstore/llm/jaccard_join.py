@@ -48,6 +48,7 @@ from .textgrams import mix64, set_id, shingle_set
 GROUPS = 128
 PER_GROUP = 8  # shingles a hash group at most, on average
 LEAF = 4
+MAX_LEVEL = 8
 TILE = 1 << 20  # shingles
 TILE_POINTS = 1 << 14
 HEADS = 16  # members of a wide group that stand in all its tiles
@@ -483,7 +484,11 @@ def _linked_documents(docs: DataFrame) -> DataFrame:
         per_doc.filter("cls is not null and doc_id is not null").groupBy("cls").agg(F.min("doc_id").alias("node"), F.max("n").alias("n"))
     )
     groups = _groups(_prefixes(docs, tokens[order], names[order]))
-    members = groups.join(classes, "cls").withColumn("weight", F.lit(1))
+    # A point weighs as many as its vector is wider than the narrowest.
+    width = F.lit(1)
+    for level in range(MAX_LEVEL):
+        width = F.when(F.col("n") > PER_GROUP * GROUPS << 3 * level, 8 << 3 * level).otherwise(width)
+    members = groups.join(classes, "cls").withColumn("weight", width)
     # Only rows that have another of linkable size in their group need points.
     by_size = Window.partitionBy("g").orderBy("n", "cls")
     close = lambda less, more: less * DEN >= more * NUM

@@ -27,6 +27,7 @@ from .common import table
 
 BUCKETS = 1 << 15
 MAX_N = 3
+CELLS = 1 << 23
 MAX_LANGS = 1000
 ALPHA = 0.5
 SLICE = 1 << 20
@@ -81,9 +82,12 @@ class Model:
         asked = [i for i, t in enumerate(texts) if t and self.langs and any(map(str.isalpha, t))]
         total = np.tile(self.prior, (len(asked), 1))
         for row, bucket in ngram_rows([texts[i] for i in asked]):
-            if len(row):
-                cut = np.flatnonzero(np.concatenate([[True], row[1:] != row[:-1]]))
-                total[row[cut]] += np.add.reduceat(self.log_p[bucket], cut, axis=0)
+            # However many languages there are, so many cells are gathered at a time.
+            step = max(1, CELLS // max(1, len(self.langs)))
+            for at in range(0, len(row), step):
+                mine = row[at : at + step]
+                cut = np.flatnonzero(np.concatenate([[True], mine[1:] != mine[:-1]]))
+                total[mine[cut]] += np.add.reduceat(self.log_p[bucket[at : at + step]], cut, axis=0)
         if asked:
             odds = np.exp(total - total.max(axis=1, keepdims=True))
             best = total.argmax(axis=1)

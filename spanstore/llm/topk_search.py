@@ -15,7 +15,8 @@ the query node.  A first round against one near block gives every query a floor
 for that score; the second joins a group only to blocks that can still beat it.
 
 Edge cases: null vectors and vectors with null or non-finite components take no
-part; shorter vectors count as padded with zeros; a query never meets its own
+part, nor do those whose squared length, scaled, reaches 2^62, since 64 bits would not hold
+their scores (by Cauchy and Schwarz they hold all others); shorter vectors count as padded with zeros; a query never meets its own
 row; fewer than k candidates give fewer rows; ties go to the smaller id; rows
 with a null id are left out; rows that repeat id and vector count once, and an id
 with several vectors keeps them all; an empty table gives an empty result.  Extra
@@ -38,6 +39,8 @@ BLOCK_ROWS = 4096
 QUERY_ROWS = 1024
 MAX_PIVOTS = 4096
 SHELLS = 16
+MAX_SQUARE = 1 << 62
+BOUND_CELLS = 1 << 23
 LEAF = 24
 BASE = 1.3
 FOUND = "query_id long, vec_id long, score long"
@@ -46,7 +49,8 @@ FOUND = "query_id long, vec_id long, score long"
 def quantized(vector: Column) -> Column:
     """``floor(SCALE x)`` of each component as long; null if the vector takes no part."""
     fine = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
-    return F.when(vector.isNotNull() & fine, F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("long")))
+    long = F.aggregate(vector, F.lit(0.0), lambda a, x: a + (x.cast("double") * SCALE) * (x.cast("double") * SCALE)) >= float(MAX_SQUARE)
+    return F.when(vector.isNotNull() & fine & ~long, F.transform(vector, lambda x: F.floor(x.cast("double") * SCALE).cast("long")))
 
 
 class CoverTree:
@@ -193,10 +197,14 @@ def _top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int) -> DataF
     def nearest(v: pd.Series) -> pd.DataFrame:
         width = max([len(c) for c in shared.value] + [len(x) for x in v])
         centers = np.stack([np.pad(c, (0, width - len(c))) for c in shared.value])
-        rows = _matrix(v, width).astype(np.float64)
-        d2 = ((rows**2).sum(axis=1)[:, None] - 2 * rows @ centers.T + (centers**2).sum(axis=1)[None, :]).clip(0)
-        cell = d2.argmin(axis=1)
-        return pd.DataFrame({"cell": cell.astype(np.int32), "far": np.sqrt(d2[np.arange(len(rows)), cell])})
+        cells, far = [np.zeros(0, np.int32)], [np.zeros(0)]
+        step = max(1, BOUND_CELLS // len(centers))
+        for at in range(0, len(v), step):
+            rows = _matrix(v.iloc[at : at + step], width).astype(np.float64)
+            d2 = ((rows**2).sum(axis=1)[:, None] - 2 * rows @ centers.T + (centers**2).sum(axis=1)[None, :]).clip(0)
+            cells.append(d2.argmin(axis=1).astype(np.int32))
+            far.append(np.sqrt(d2[np.arange(len(rows)), cells[-1]]))
+        return pd.DataFrame({"cell": np.concatenate(cells), "far": np.concatenate(far)})
 
     placed = stored(distinct.withColumn("at", nearest("v")).select("vec_id", "v", "at.cell", "at.far"))
     # A cell is cut into shells around its pivot, each with its own radius; only a shell of very many rows has several parts.
@@ -231,16 +239,25 @@ def _top_k(vectors: DataFrame, queries: DataFrame, k: int, pivots: int) -> DataF
     seeds = _best(_search(met(first), first, k), k).filter(F.col("rank") == k).select(F.col("query_id").alias("vec_id"), F.col("score").cast("double").alias("floor"))
     floors = asked.join(seeds, "vec_id", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf")))).select("vec_id", "v", "group", "floor")
 
+    named = [(f"{b['cell']}:{b['shell']}:", b["last"] + 1) for b in about]
+    cell, r = np.asarray([b["cell"] for b in about], np.int64), np.asarray([b["r"] for b in about], np.float64)
+
     @F.pandas_udf("array<string>")
     def open_blocks(v: pd.Series, floor: pd.Series) -> pd.Series:
         width = max([len(c) for c in shared.value] + [len(x) for x in v])
-        centers = np.stack([np.pad(shared.value[b["cell"]], (0, width - len(shared.value[b["cell"]]))) for b in about])
-        rows, r = _matrix(v, width).astype(np.float64), np.asarray([b["r"] for b in about])
-        norm = np.sqrt((rows**2).sum(axis=1))[:, None]
-        bound = rows @ centers.T + norm * r[None, :]
-        bound += 1e-9 * (np.abs(bound) + norm * (np.sqrt((centers**2).sum(axis=1)) + r)[None, :]) + 1e-6
-        named = [(f"{b['cell']}:{b['shell']}:", b["last"] + 1) for b in about]
-        return pd.Series([[f"{named[j][0]}{part}" for j in np.flatnonzero(bound[i] >= f) for part in range(named[j][1])] for i, f in enumerate(floor)])
+        centers = np.stack([np.pad(c, (0, width - len(c))) for c in shared.value])
+        length = np.sqrt((centers**2).sum(axis=1))
+        out: list[list[str]] = []
+        # The products with the pivots serve all their shells; a few queries at a time meet all shells.
+        step = max(1, BOUND_CELLS // max(1, len(cell)))
+        for at in range(0, len(v), step):
+            rows = _matrix(v.iloc[at : at + step], width).astype(np.float64)
+            norm = np.sqrt((rows**2).sum(axis=1))[:, None]
+            bound = (rows @ centers.T)[:, cell] + norm * r[None, :]
+            bound += 1e-9 * (np.abs(bound) + norm * (length[cell] + r)[None, :]) + 1e-6
+            for mine, f in zip(bound, floor.iloc[at : at + step]):
+                out.append([f"{named[j][0]}{part}" for j in np.flatnonzero(mine >= f) for part in range(named[j][1])])
+        return pd.Series(out)
 
     pairs = stored(floors.withColumn("block", F.explode(open_blocks("v", "floor"))))
     return _best(_search(met(pairs), pairs, k), k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -255,9 +272,10 @@ def op4_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP4_SQL = """
 WITH valid AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: TRY_CAST(floor(1024 * x::DOUBLE) AS BIGINT)) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND coalesce(list_sum(list_transform(embedding, lambda x: (1024 * x::DOUBLE) * (1024 * x::DOUBLE))), 0) < 4611686018427387904
 ), scored AS (
   SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
     list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanstore.llm import html_text, topk_search
+from spanstore.llm import html_text, textgrams, topk_search
 from spanstore.llm.registry import QUERIES
 
 
@@ -203,3 +203,73 @@ def test_words_of_ordinary_pages_equal_another_parser(spark, data):
             other.close()
             got = "".join(w for w in re.sub(r"(?m)^[ >]*(- |\d+\. )?", "", html_text.page_text(page)).split() if w != "---")
             assert got == "".join(other.words)
+
+
+NUMBERS = [
+    ('<ol start="²"><li>a</ol>', "1. a"), ('<ol><li value="³">a</ol>', "1. a"), ('<table><tr><td rowspan="²">a<td colspan="²">b</table>', "a  b"),
+    ('<select size="²"><option>a<option>b</select>', "a"), (f"<ol><li value={'9' * 5000}>a</ol>", "1. a"), ("<ol start=-3><li>a<li>b</ol>", "-3. a\n-2. b"),
+    ("<ol reversed><li>a<li>b</ol>", "2. a\n1. b"), ("<ol reversed start=5><li>a<li value=9>b<li>c</ol>", "5. a\n9. b\n8. c"),
+    ("<details><summary>s</summary>hidden</details><details open><summary>t</summary>shown</details>", "s\nt\nshown"),
+    ("<table><tr><td rowspan=2>a<td>b<tr><td>c</table>", "a  b\n   c"), ("<table><tr><td colspan=3>a<td>b<tr><td>1<td>2<td>3<td>4</table>", "a        b\n1  2  3  4"),
+    ("<table><tr><td colspan=1000>a<td>b</table>", "a" + " " * 80 + "b"), ("<table><tr><td rowspan=0>a<td>b<tr><td>c<tr><td>d</table>", "a  b\n   c\n   d"),
+]
+
+
+@pytest.mark.parametrize("page, text", NUMBERS)
+def test_numbers_of_attributes(page, text):
+    assert html_text.page_text(page) == text
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.sampled_from(["start", "value", "rowspan", "colspan", "size", "reversed"]), st.text(max_size=12), st.integers(-(10**12), 10**12))
+def test_any_attribute_value_keeps_the_words(name, said, number):
+    from html import escape
+
+    for value in (said, str(number)):
+        a = f'{name}="{escape(value)}"'
+        page = f"<ol {a}><li {a}>one</ol><table><tr><td {a}>two<td>three<tr><td>four</table>"
+        words = html_text.page_text(page).split()
+        assert [w for w in words if w in ("one", "two", "three", "four")] == ["one", "two", "three", "four"]
+
+
+def test_text_grows_with_the_page():
+    """Wide cells, spans and columns that only spans fill make no more text than a constant times the page."""
+    long = "<table><tr><td>" + "x" * 16_000 + "<td>y" + "<tr><td>a<td>b" * 400 + "</table>"
+    spans = "<table>" + "<tr><td colspan=100 rowspan=100>ab" * 3000 + "</table>"
+    steep = "<table><tr>" + f"<td rowspan=60000>{'w' * 40}" * 300 + "<tr><td>z" * 4000 + "</table>"
+    for page in (long, spans, steep, "<table>" + "<tr><td rowspan=0>a" * 10_000, "<table>" + "<tr><td rowspan=65534>a" * 10_000):
+        began = time.monotonic()
+        assert len(html_text.page_text(page)) < 12 * len(page)
+        assert time.monotonic() - began < 5
+
+
+def test_word_hashes_have_no_algebra():
+    """Complementary Thue-Morse words collide under any polynomial modulo a power of two."""
+    bits = [0]
+    while len(bits) < 1024:
+        bits += [1 - b for b in bits]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    a, b = (textgrams.shingle_set(f"{w} x y z w") for w in (one, two))
+    assert not set(a.tolist()) & set(b.tolist())
+    assert (textgrams.word_hashes("Ab\tÉ ab") == textgrams.word_hashes("aB\nÉ\x0bAB")).all()
+
+
+def test_huge_components_take_no_part(spark):
+    rows = [(1, [1e300, 1.0]), (2, [1.0, 2.0]), (3, [2e6, 1.0]), (4, [0.5, 0.5]), (5, [1e9, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, e array<double>").select("vec_id", topk_search.quantized(F.col("e")).alias("v"))
+    kept = {r["vec_id"]: r["v"] for r in df.collect() if r["v"] is not None}
+    assert kept == {2: [1024, 2048], 3: [2048000000, 1024], 4: [512, 512]}
+    plain = sorted(((-sum(x * y for x, y in zip(kept[2], v)), i) for i, v in kept.items() if i != 2))
+    got = topk_search.top_k(df.filter("v is not null"), df.filter("vec_id = 2"), 5)
+    assert [(-r["score"], r["vec_id"]) for r in got.orderBy("rank").collect()] == plain
+
+
+def test_scores_do_not_depend_on_the_number_of_cells(monkeypatch):
+    from spanstore.llm import langid
+
+    r = np.random.default_rng(1)
+    model = langid.Model([f"l{i}" for i in range(7)], r.integers(0, 50, (7, langid.BUCKETS)), np.ones(7))
+    texts = ["some words of text " * 20, "x", "andere Wörter"]
+    whole = model.predict(texts)
+    monkeypatch.setattr(langid, "CELLS", 64)
+    assert model.predict(texts)[0] == whole[0] and np.allclose(model.predict(texts)[1], whole[1])
