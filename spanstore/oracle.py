@@ -388,3 +388,22 @@ SELECT k::BIGINT AS document_id, 'ok' AS status, ordinal::BIGINT AS ordinal,
          (_CELL.format("e"), "'by: O' || o_orderkey || ' -> C' || o_custkey", "'edge_from=O' || o_orderkey || ';edge_label=by;edge_to=C' || o_custkey || ';page=1'")],
     ),
 }
+
+ORACLE_SQL["ingest_failures"] = """
+WITH odd AS (SELECT doc_id, coalesce(text, '') AS t, ['.txt', '.pdf', '.xyz', '.bin', '.json', '.md', '.gone', '.docx'][doc_id % 8 + 1] AS ext FROM documents),
+gated AS (SELECT *, ext IN ('.txt', '.pdf', '.xyz', '.docx') AND t = '' AS empty, regexp_matches(t, '[^\\s]') AS said FROM odd)
+SELECT doc_id || ext AS path,
+  CASE WHEN empty THEN 'skipped' WHEN ext IN ('.gone', '.json') THEN 'failed' WHEN ext = '.txt' AND said THEN 'extracted' ELSE 'skipped' END AS outcome,
+  CASE WHEN empty THEN 'empty_file' WHEN ext = '.gone' THEN 'read_error' WHEN ext = '.json' THEN 'extractor_error' WHEN ext = '.bin' THEN 'binary'
+    WHEN ext = '.xyz' THEN 'no_extractor' WHEN ext IN ('.pdf', '.docx') THEN 'missing_dependency' WHEN ext = '.txt' AND said THEN '' ELSE 'nothing_to_extract' END AS reason,
+  NOT empty AND NOT (ext = '.txt' AND said) AS has_detail,
+  NOT empty AND ext <> '.gone' AS has_document_id, NOT empty AND ext <> '.gone' AS has_blob_sha,
+  CASE WHEN empty OR ext IN ('.gone', '.xyz', '.bin') THEN NULL
+    ELSE CASE ext WHEN '.txt' THEN 'text' WHEN '.pdf' THEN 'pdf' WHEN '.json' THEN 'json' WHEN '.md' THEN 'markdown' ELSE 'docx' END END AS extractor
+FROM gated"""
+
+ORACLE_SQL["ingest_runs"] = f"""
+SELECT run, 'tables' AS connector, 'documents' AS target, 'ok' AS status, true AS finished,
+  count(*) FILTER (outcome = 'extracted') AS extracted, count(*) FILTER (outcome = 'unchanged') AS unchanged,
+  count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'failed') AS failed, count(*) AS documents
+FROM ({ORACLE_SQL["ingest_ledger"]}) GROUP BY run"""

@@ -344,7 +344,7 @@ def _ingested(spark: SparkSession, sf_dir: str) -> tuple[Store, list[ingest.Run]
 
 
 def ingest_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events of two runs of the engine, the second over edited files."""
+    """Events of two runs of the engine, the second over edited files."""
     store, runs = _ingested(spark, sf_dir)
     run = F.when(F.col("run_id") == runs[0].id, 1).otherwise(2)
     return store.table("ingest_events").select(run.alias("run"), "path", "outcome", "reason", "units", (F.col("detail") != "").alias("has_detail"))
@@ -362,11 +362,65 @@ def ingest_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return full.select("document_id", "path", "blob_sha", "stored", "relevance", "versions", zero("units"), zero("chars"), "last")
 
 
+ODD_SUFFIXES = [".txt", ".pdf", ".xyz", ".bin", ".json", ".md", ".gone", ".docx"]
+
+
+def _odd_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files that cannot be read, have no reader or no text, or whose reader fails."""
+    doc, text = F.col("doc_id"), F.coalesce("text", F.lit(""))
+    ext = F.element_at(F.array(*map(F.lit, ODD_SUFFIXES)), (doc % len(ODD_SUFFIXES) + 1).cast("int"))
+    # The bytes of a lone surrogate in JSON, a NUL before the text, white space only, none at all.
+    said = F.when(ext == ".json", F.lit('"\\ud800"')).when(ext == ".bin", F.concat(F.lit("\0"), text)).when(ext == ".md", F.lit("  \n \t")).otherwise(text)
+    content = F.when(ext != ".gone", F.encode(said, "UTF-8"))
+    return _table(spark, sf_dir, "documents").select(
+        F.lit("file").alias("entry_kind"), F.lpad(doc.cast("string"), 20, "0").alias("seq"), F.concat(doc.cast("string"), ext).alias("path"),
+        F.coalesce(F.octet_length(content), F.lit(1)).cast("long").alias("size"), F.lit("").alias("origin"), F.lit("").alias("revision"),
+        F.when(ext.isin(".xyz", ".bin"), "application/x-odd").alias("media_type"), content.alias("content"), F.when(ext == ".gone", "no such file").alias("read_error"),
+    )
+
+
+def ingest_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a run over entries that fail in all the ways there are."""
+    store = Store(spark, shared_folder(spark))
+    ingest.ingest_entries(spark, _odd_entries(spark, sf_dir), store, SOURCE, "odd", has_content=True)
+    has = lambda c: F.col(c).isNotNull().alias(f"has_{c}")
+    return store.table("ingest_events").select("path", "outcome", "reason", (F.col("detail") != "").alias("has_detail"), has("document_id"), has("blob_sha"), "extractor")
+
+
+def ingest_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of two runs: status, counters and the sum of the outcomes (K8, A4, O3)."""
+    store, runs = _ingested(spark, sf_dir)
+    n = lambda name: F.coalesce(F.try_element_at("counters", F.lit(name)), F.lit(0)).alias(name)
+    return ledger.runs(store.table("ingest_runs")).select(
+        (F.col("run_seq") + 1).cast("int").alias("run"), "connector", "target", "status", F.col("finished_utc").isNotNull().alias("finished"),
+        *map(n, ledger.OUTCOMES), ledger.documents_of(F.col("counters")).alias("documents"),
+    )
+
+
+ORDER_PARTS = 64
+
+
+def _order_cuts(paths: DataFrame) -> list[str]:
+    """At most ORDER_PARTS - 1 paths that cut all of them into parts of about the same size."""
+    seen = sorted(r[0] for r in paths.orderBy(F.xxhash64("path"), "path").limit(ORDER_PARTS * 64).collect())
+    return sorted(set(seen[:: max(1, len(seen) // ORDER_PARTS)][1:]))
+
+
 def source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in path order with their place among all."""
-    docs = query.documents_by_path(_snapshot(spark, sf_dir, 1).select("path", "blob_sha"))
-    folder = F.substring_index("path", "/", 1)
-    return docs.withColumn("place", F.row_number().over(Window.partitionBy(folder).orderBy("path")).cast("long")).select("path", "place")
+    """Documents in path order with their place in their source.
+
+    Rows are numbered by ranges of paths, and a range's numbers shifted by the sizes of those before it, so that no task
+    holds a whole source.
+    """
+    docs = _snapshot(spark, sf_dir, 1).select("path")
+    cuts = F.array(*map(F.lit, _order_cuts(docs))).cast("array<string>")
+    parted = docs.withColumn("folder", F.substring_index("path", "/", 1)).withColumn("part", F.size(F.filter(cuts, lambda c: c < F.col("path"))))
+    sizes = parted.groupBy("folder", "part").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("folder").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("folder", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    ranked = parted.withColumn("rank", F.row_number().over(Window.partitionBy("folder", "part").orderBy("path")))
+    placed = ranked.join(starts, ["folder", "part"]).select("path", (F.col("start") + F.col("rank")).cast("long").alias("place"))
+    return query.documents_by_path(placed)
 
 
 QUERIES = {
@@ -375,5 +429,6 @@ QUERIES = {
         text_windows, unit_ids, path_triage, sensitivity, blob_dedup, document_upsert, version_append, unit_replace, unchanged_gate, find_units,
         sensitive_units, gap_report, run_counters, event_list, table_counts, resolve_units, verify_units, verify_blobs, source_order,
         markdown_units, mermaid_units, plantuml_units, csv_units, html_units, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units, ingest_ledger, ingest_tables,
+        ingest_failures, ingest_runs,
     )
 }
