@@ -16,11 +16,13 @@ from pyspark.sql import functions as F
 
 from ..functions import media
 from ..functions.lines import decode
-from .native import NATIVE, text_units
+from .csvs import csv_spans
+from .native import NATIVE, csv_units, text_units
 from .optional import REQUIREMENTS
 from .trees import TREES, Degraded, NothingFound
 from .units import UNITS
 
+CSV_ERROR = "Error: a carriage return stands inside an unquoted field"
 _OOXML = "application/vnd.openxmlformats-officedocument."
 
 
@@ -134,6 +136,22 @@ def _read_one(name: str, path: str, data: bytes, extra: dict[str, Reader]) -> tu
         return "failed", "extractor_error", f"{type(e).__name__}: {e}", None
 
 
+def _windows_with(error: Column, text: Column) -> Column:
+    """Line windows of a document that does not parse."""
+    meta = F.map_from_arrays(F.array(F.lit("parse_error")), F.array(error))
+    return F.transform(text_units(text), lambda u: u.withField("meta", meta)).cast(UNITS)
+
+
+def _csv(docs: DataFrame, key: str, text: Column) -> DataFrame:
+    """Units of CSV documents, as :func:`extract` gives them."""
+    rows = docs.select(F.col(key), text.alias("_text"), csv_spans(text, F.col("path")).alias("_s"))
+    detail = F.when(F.col("_s.bad"), CSV_ERROR).otherwise("")
+    status = F.when(F.col("_s.bad"), "degraded").otherwise("ok")
+    units = F.when(F.col("_s.bad"), _windows_with(F.lit(CSV_ERROR), F.col("_text"))).otherwise(csv_units(F.col("_text"), F.col("_s")))
+    reason = F.when(F.col("_s.bad"), "degraded_parse").otherwise("")
+    return rows.select(key, status.alias("status"), reason.alias("reason"), detail.alias("detail"), units.alias("units"))
+
+
 def extract(docs: DataFrame, key: str = "document_id") -> DataFrame:
     """(key, status, reason, detail, units) for docs (key, extractor, path, content).
 
@@ -144,9 +162,13 @@ def extract(docs: DataFrame, key: str = "document_id") -> DataFrame:
     units = F.lit(None).cast(UNITS)
     for name, build in NATIVE.items():
         units = F.when(F.col("extractor") == name, build(text)).otherwise(units)
-    native = docs.filter(F.col("extractor").isin(*(n for n in NATIVE if n not in extra))).select(
+    columns = [n for n in NATIVE if n not in extra]
+    native = docs.filter(F.col("extractor").isin(*columns)).select(
         key, F.lit("ok").alias("status"), F.lit("").alias("reason"), F.lit("").alias("detail"), units.alias("units")
     )
+    if "csv" not in extra:
+        native = native.unionByName(_csv(docs.filter(F.col("extractor") == "csv"), key, text))
+        columns.append("csv")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -159,15 +181,13 @@ def extract(docs: DataFrame, key: str = "document_id") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, ["key", "status", "reason", "detail", "units", "content"])
 
     kind = docs.schema[key].dataType.simpleString()
-    parsed = docs.filter(F.col("extractor").isNotNull() & ~F.col("extractor").isin(*(n for n in NATIVE if n not in extra))).select(
+    parsed = docs.filter(F.col("extractor").isNotNull() & ~F.col("extractor").isin(*columns)).select(
         F.col(key).alias("key"), "extractor", "path", "content"
     )
     schema = f"key {kind}, status string, reason string, detail string, units {UNITS}, content binary"
-    error = F.map_from_arrays(F.array(F.lit("parse_error")), F.array(F.col("detail")))
-    windows = F.transform(text_units(text), lambda u: u.withField("meta", error))
     parsed = parsed.mapInArrow(run, schema).select(
         F.col("key").alias(key), "status", "reason", "detail",
-        F.when(F.col("status") == "degraded", windows.cast(UNITS)).otherwise(F.col("units")).alias("units"),
+        F.when(F.col("status") == "degraded", _windows_with(F.col("detail"), text)).otherwise(F.col("units")).alias("units"),
     )
     return native.unionByName(parsed)
 

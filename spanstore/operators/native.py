@@ -1,4 +1,4 @@
-"""Extractors that are column expressions: text, markdown, mermaid, plantuml.
+"""Extractors that are column expressions: text, markdown, mermaid, plantuml, csv.
 
 Each takes the decoded text and gives ``array<UNIT>``.
 """
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import fixed
 from ..functions.lines import bind, is_blank, split_lines, windows
 from ..functions.locators import lines as line_locator
+from .csvs import csv_texts
 from .units import UNITS
 
 
@@ -158,4 +159,14 @@ def plantuml_units(text: Column) -> Column:
     return _diagram_lines(text, fixed.PLANTUML_EDGE, None, (1, 2, 3, 4))
 
 
+def csv_units(text: Column, spans: Column) -> Column:
+    """Records by the hundred and twenty, from what :func:`.csvs.csv_spans` gives for the text."""
+
+    def unit(p: Column, body: Column) -> Column:
+        meta = _meta(columns=spans["columns"], rows=p["end"] - p["start"] + 1)
+        return _unit(p["start"], p["end"], body, meta, F.lit(True))
+
+    return F.zip_with(spans["parts"], csv_texts(text, spans["parts"]), unit).cast(UNITS)
+
+
 NATIVE = {"text": text_units, "markdown": markdown_units, "mermaid": mermaid_units, "plantuml": plantuml_units}

@@ -333,29 +333,46 @@ SELECT page_id::BIGINT AS document_id, 'ok' AS status, (row_number() OVER (PARTI
   '{{"end":' || end_line || ',"kind":"lines","start":' || start_line || '}}' AS locator_json, t AS text, false AS verbatim, 'tag=' || name AS meta
 FROM texts WHERE t <> ''""",
     "mermaid_units": """
-WITH l AS (
-  SELECT c_nationkey AS k, 0 AS ordinal, 1 AS n, 'graph TD' AS text, '' AS meta, true AS v FROM customer GROUP BY 1
+WITH c AS (
+  SELECT *, c_nationkey + 25 * (c_custkey // 10000) AS k FROM customer
+), l AS (
+  SELECT k, 0 AS ordinal, 1 AS n, 'graph TD' AS text, '' AS meta, true AS v FROM c GROUP BY 1
   UNION ALL
-  SELECT c_nationkey, row_number() OVER w, row_number() OVER w + 2, 'C' || c_custkey || ' -->|' || c_mktsegment || '| N' || c_nationkey,
-    'arrow=-->;edge_from=C' || c_custkey || ';edge_label=' || c_mktsegment || ';edge_to=N' || c_nationkey, false FROM customer WINDOW w AS (PARTITION BY c_nationkey ORDER BY c_custkey)
+  SELECT k, row_number() OVER w, row_number() OVER w + 2, 'C' || c_custkey || ' -->|' || c_mktsegment || '| N' || c_nationkey,
+    'arrow=-->;edge_from=C' || c_custkey || ';edge_label=' || c_mktsegment || ';edge_to=N' || c_nationkey, false FROM c WINDOW w AS (PARTITION BY k ORDER BY c_custkey)
 )
 SELECT k::BIGINT AS document_id, 'ok' AS status, ordinal::BIGINT AS ordinal, '{"end":' || n || ',"kind":"lines","start":' || n || '}' AS locator_json, text, v AS verbatim, meta FROM l""",
     "plantuml_units": """
-SELECT s_nationkey::BIGINT AS document_id, 'ok' AS status, (row_number() OVER w - 1)::BIGINT AS ordinal,
+SELECT (s_nationkey + 25 * (s_suppkey // 10000))::BIGINT AS document_id, 'ok' AS status, (row_number() OVER w - 1)::BIGINT AS ordinal,
   '{"end":' || (row_number() OVER w + 1) || ',"kind":"lines","start":' || (row_number() OVER w + 1) || '}' AS locator_json,
   '"S' || s_suppkey || '" --> N' || s_nationkey || ' : serves' AS text, true AS verbatim,
   'arrow=-->;edge_from=S' || s_suppkey || ';edge_label=serves;edge_to=N' || s_nationkey AS meta
-FROM supplier WINDOW w AS (PARTITION BY s_nationkey ORDER BY s_suppkey)""",
+FROM supplier WINDOW w AS (PARTITION BY s_nationkey + 25 * (s_suppkey // 10000) ORDER BY s_suppkey)""",
     "csv_units": """
 WITH r AS (
-  SELECT c_nationkey AS k, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS i, c_custkey || ',' || c_name || ',' || c_mktsegment AS l FROM customer
+  SELECT c_custkey // 1000 AS k, row_number() OVER (PARTITION BY c_custkey // 1000 ORDER BY c_custkey) AS i,
+    c_custkey || ',"' || c_name || chr(10) || 'says ""hi"", twice",' || c_mktsegment AS l FROM customer
 ), b AS (
   SELECT k, (i - 1) // 120 AS ordinal, min(i) AS lo, max(i) AS hi, string_agg(l, chr(10) ORDER BY i) AS body FROM r GROUP BY 1, 2
 )
 SELECT k::BIGINT AS document_id, 'ok' AS status, ordinal::BIGINT AS ordinal,
-  '{"end":' || (hi + 1) || ',"kind":"lines","start":' || CASE WHEN ordinal = 0 THEN 1 ELSE lo + 1 END || '}' AS locator_json,
+  '{"end":' || (2 * hi + 1) || ',"kind":"lines","start":' || CASE WHEN ordinal = 0 THEN 1 ELSE 2 * lo END || '}' AS locator_json,
   CASE WHEN ordinal = 0 THEN 'key,name,segment' || chr(10) ELSE '' END || body AS text, true AS verbatim,
-  'columns=3;rows=' || (hi - lo + 1 + CASE WHEN ordinal = 0 THEN 1 ELSE 0 END) AS meta FROM b""",
+  'columns=3;rows=' || (2 * (hi - lo + 1) + CASE WHEN ordinal = 0 THEN 1 ELSE 0 END) AS meta FROM b""",
+    "csv_file_units": """
+WITH r AS (
+  SELECT coalesce(source, 'none') || '/' || (doc_id // 10000) AS file, doc_id,
+    replace(doc_id || ',"' || replace(coalesce(lang, ''), '"', '""') || '","' || replace(coalesce(text, ''), '"', '""') || '"', chr(13) || chr(10), chr(10)) AS rec FROM documents
+), n AS (
+  SELECT *, row_number() OVER w - 1 AS i, 1 + length(rec) - length(replace(rec, chr(10), '')) AS h,
+    sum(1 + length(rec) - length(replace(rec, chr(10), ''))) OVER w AS last_line FROM r WINDOW w AS (PARTITION BY file ORDER BY doc_id)
+)
+SELECT file, ordinal::BIGINT AS ordinal, start_line::BIGINT AS start_line, end_line::BIGINT AS end_line, 3::BIGINT AS "columns",
+  length(text)::BIGINT AS char_count, sha256(text) AS text_sha
+FROM (
+  SELECT file, (greatest(i, 1) - 1) // 120 AS ordinal, min(last_line - h + 1) AS start_line, max(last_line) AS end_line, string_agg(rec, chr(10) ORDER BY doc_id) AS text
+  FROM n GROUP BY 1, 2
+)""",
     "json_units": _one_node(
         "events", "event_id",
         [("'{\"kind\":\"node\",\"path\":\"/\"}'", "'{' || chr(10) || '  \"k\": ' || json_extract_string(props, '$.k') || chr(10) || '}'", "'pointer=/'")],

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import fixed, ids, lines, locators, media, triage
+from .operators.csvs import chunk_units, chunks_of
 from .operators.extract import extract, route
 from .plans import ingest, ledger, query
 from .plans.store import Store, merge_rows, new_blobs, new_versions, replace_units, shared_folder
@@ -239,29 +240,53 @@ def markdown_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extracted(_files(chats, F.col("conv_id"), "markdown", F.lit("c.md"), F.col("md")))
 
 
+KEYS_PER_FILE = 10000  # bounds the files made of one nation's rows
+
+
+def _of_nations(rows: DataFrame, nation: str, key: str, line: Column, extractor: str, path: str, head: str, foot: str = "") -> DataFrame:
+    """Units of one file for each nation and block of keys: a line a row, in order of keys."""
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, line.alias("l")))), lambda s: s["l"]), "\n")
+    file = (F.col(nation) + 25 * F.floor(F.col(key) / KEYS_PER_FILE)).alias("file")
+    files = rows.groupBy(file).agg(F.concat(F.lit(head), body, F.lit(foot)).alias("t"))
+    return _extracted(_files(files, F.col("file"), extractor, F.lit(path), F.col("t")))
+
+
 def mermaid_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and their nations as arrows."""
-    c = _table(spark, sf_dir, "customer")
     line = F.concat(F.lit("  C"), F.col("c_custkey"), F.lit(" -->|"), F.col("c_mktsegment"), F.lit("| N"), F.col("c_nationkey"))
-    text = c.groupBy("c_nationkey").agg(F.concat(F.lit("graph TD\n%% note\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("l")))), lambda s: s["l"]), "\n")).alias("t"))
-    return _extracted(_files(text, F.col("c_nationkey"), "mermaid", F.lit("g.mmd"), F.col("t")))
+    return _of_nations(_table(spark, sf_dir, "customer"), "c_nationkey", "c_custkey", line, "mermaid", "g.mmd", "graph TD\n%% note\n")
 
 
 def plantuml_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers and their nations as arrows."""
-    s = _table(spark, sf_dir, "supplier")
     line = F.concat(F.lit('"S'), F.col("s_suppkey"), F.lit('" --> N'), F.col("s_nationkey"), F.lit(" : serves"))
-    text = s.groupBy("s_nationkey").agg(F.concat(F.lit("@startuml\n"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", line.alias("l")))), lambda x: x["l"]), "\n"), F.lit("\n@enduml")).alias("t"))
-    return _extracted(_files(text, F.col("s_nationkey"), "plantuml", F.lit("g.puml"), F.col("t")))
+    return _of_nations(_table(spark, sf_dir, "supplier"), "s_nationkey", "s_suppkey", line, "plantuml", "g.puml", "@startuml\n", "\n@enduml")
 
 
 def csv_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers of each nation as CSV with a header."""
+    """Customers as CSV with a header, a thousand keys a file, each record over two lines."""
     c = _table(spark, sf_dir, "customer")
-    line = F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment")
+    line = F.concat(F.col("c_custkey"), F.lit(',"'), "c_name", F.lit('\nsays ""hi"", twice",'), "c_mktsegment")
     body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("l")))), lambda s: s["l"]), "\n")
-    text = c.groupBy("c_nationkey").agg(F.concat(F.lit("key,name,segment\n"), body).alias("t"))
-    return _extracted(_files(text, F.col("c_nationkey"), "csv", F.lit("c.csv"), F.col("t")))
+    text = c.groupBy(F.floor(F.col("c_custkey") / 1000).alias("file")).agg(F.concat(F.lit("key,name,segment\n"), body).alias("t"))
+    return _extracted(_files(text, F.col("file"), "csv", F.lit("c.csv"), F.col("t")))
+
+
+def csv_file_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as records of CSV files, ten thousand ids of a source a file, read chunk by chunk.
+
+    A chunk holds at most 50 lines of one record, so quoted fields cross chunks.
+    """
+    d = _table(spark, sf_dir, "documents")
+    quote = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(c, F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    record = F.concat_ws(",", F.col("doc_id").cast("string"), quote(F.col("lang")), quote(F.col("text")))
+    file = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.floor(F.col("doc_id") / 10000).cast("string"))
+    pieces = chunks_of(d.withColumn("rec", record).withColumn("at", F.struct(file.alias("file"), "doc_id")), "at", F.col("rec"), 50)
+    chunks = pieces.select("at.file", F.struct("at.doc_id", "chunk").alias("chunk"), "lines")
+    return chunk_units(chunks).select(
+        "file", "ordinal", F.col("start").alias("start_line"), F.col("end").alias("end_line"), "columns",
+        F.length("text").cast("long").alias("char_count"), F.sha2("text", 256).alias("text_sha"),
+    )
 
 
 def html_units(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -428,7 +453,7 @@ QUERIES = {
     for f in (
         text_windows, unit_ids, path_triage, sensitivity, blob_dedup, document_upsert, version_append, unit_replace, unchanged_gate, find_units,
         sensitive_units, gap_report, run_counters, event_list, table_counts, resolve_units, verify_units, verify_blobs, source_order,
-        markdown_units, mermaid_units, plantuml_units, csv_units, html_units, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units, ingest_ledger, ingest_tables,
+        markdown_units, mermaid_units, plantuml_units, csv_units, csv_file_units, html_units, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units, ingest_ledger, ingest_tables,
         ingest_failures, ingest_runs,
     )
 }

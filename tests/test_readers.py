@@ -1,7 +1,10 @@
 """Readers on files that meet their limits and odd rules."""
 
 import base64
+import csv
+import io
 import json
+import random
 import urllib.parse
 import zlib
 
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 
 from spanstore.functions import fixed
 from spanstore.operators import native, trees
+from spanstore.operators.csvs import chunk_units, chunks_of
 from spanstore.operators.extract import extract
 from spanstore.plans.ingest import finished_units, ingest_entries
 from spanstore.plans.store import Store
@@ -39,17 +43,55 @@ def test_toml_dates_fail_and_bad_toml_degrades():
         list(trees.toml_units("= 1", "a.toml"))
 
 
-@pytest.mark.parametrize("suffix, mark", [(".csv", ","), (".tsv", "\t")])
-def test_csv_windows_keep_quoted_newlines_together(suffix, mark):
-    rows = [f"k{i}{mark}" + (f'"a\nb{i}"' if i % 50 == 0 else f"v{i}") for i in range(300)]
-    text = f"key{mark}value\n" + "\n".join(rows) + "\n"
-    lines = text.splitlines()
-    units = list(trees.csv_units(text, "t" + suffix))
-    spans = [(u["locator"]["start"], u["locator"]["end"]) for u in units]
-    # 120 records each, the first with the header; a quoted newline adds a line.
-    assert spans == [(1, 124), (125, 246), (247, len(lines))]
-    assert all(u["text"] == "\n".join(lines[a - 1 : b]) and u["meta"]["columns"] == 2 and u["meta"]["rows"] == b - a + 1 for u, (a, b) in zip(units, spans))
-    assert shown(trees.csv_units("only,a,header\n", "t.csv")) == [((1, 1), "only,a,header")] and list(trees.csv_units("", "t.csv")) == []
+def csv_statement(text, mark=","):
+    """(start, end, columns, text) of units by the standard library's reader, None where it refuses."""
+    lines, reader = text.splitlines(), csv.reader(io.StringIO(text), delimiter=mark)
+    try:
+        records = [(reader.line_num, len(r)) for r in reader]
+    except csv.Error:
+        return None
+    out, start = [], 1
+    for i, (end, _) in enumerate(records):
+        if i == len(records) - 1 or (i and i % fixed.MAX_LINES == 0):
+            out.append((start, end, records[0][1], "\n".join(lines[start - 1 : end])))
+            start = end + 1
+    return out
+
+
+def csv_texts():
+    rng = random.Random(7)
+    long = lambda rare: "".join(rng.choice('ab,"\n\n\nx,') if rng.random() < rare else rng.choice("ab\n,") for _ in range(rng.randrange(500, 3000)))
+    texts = ["", "\n", "\n\na,b", "only,a,header\n", '"', '""', '"""', 'a"b,c\n"d"e"f,g', 'a,"b\r\nc"\r\nd,e\r\n', "a\rb", 'a\r"b"', "a\x85b,c\nd", 'x,"never closed\n' + "y\n" * 300]
+    texts += ["".join(rng.choice('ab,"""\n\n\r,x') for _ in range(rng.randrange(1, 30))) for _ in range(600)]
+    return texts + [long(1) for _ in range(15)] + [long(0.02) for _ in range(15)]
+
+
+@pytest.mark.parametrize("path, mark", [("t.csv", ","), ("T.TSV", "\t")])
+def test_csv_fold_equals_the_plain_reader(spark, path, mark):
+    texts = [t.replace(",", mark) for t in csv_texts()]
+    df = spark.createDataFrame([(i, "csv", path, bytearray(t.encode())) for i, t in enumerate(texts)], "document_id long, extractor string, path string, content binary")
+    for r in extract(df).collect():
+        text = texts[r["document_id"]]
+        want = csv_statement(text, mark)
+        if want is None:
+            assert (r["status"], r["reason"]) == ("degraded", "degraded_parse") and all(u["meta"] == {"parse_error": r["detail"]} for u in r["units"])
+        else:
+            got = [(u["locator"]["start"], u["locator"]["end"], int(u["meta"]["columns"]), u["text"]) for u in r["units"]]
+            assert r["status"] == "ok" and got == want, text
+            assert all(int(u["meta"]["rows"]) == u["locator"]["end"] - u["locator"]["start"] + 1 and u["verbatim"] for u in r["units"])
+
+
+@pytest.mark.parametrize("size", [1, 3, 256])
+def test_csv_chunks_equal_the_plain_reader(spark, size):
+    texts = [t for t in csv_texts() if "\r" not in t.replace("\r\n", "\n") and "\x85" not in t]
+    df = spark.createDataFrame(list(enumerate(texts)), "file long, text string")
+    got = {}
+    for r in chunk_units(chunks_of(df, "file", F.col("text"), size)).collect():
+        got.setdefault(r["file"], []).append((r["ordinal"], r["start"], r["end"], r["columns"], r["text"]))
+    for i, text in enumerate(texts):
+        units = sorted(got.get(i, []))
+        assert [u[0] for u in units] == list(range(len(units)))
+        assert [u[1:] for u in units] == csv_statement(text), text
 
 
 def test_xml_names_attributes_and_line_hints():
