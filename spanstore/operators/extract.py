@@ -113,7 +113,7 @@ _UNITS_TYPE = pa.list_(
 )
 
 
-def _read_one(name: str, path: str, data: bytes, extra: dict[str, Reader]) -> tuple[str, str, str, list | None]:
+def read_one(name: str, path: str, data: bytes, extra: dict[str, Reader]) -> tuple[str, str, str, list | None]:
     """(status, reason, detail, units) of one document."""
     own = extra.get(name)
     if own is None and name in REQUIREMENTS:
@@ -173,7 +173,7 @@ def extract(docs: DataFrame, key: str = "document_id") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             args = (batch[c].to_pylist() for c in ("extractor", "path", "content"))
-            got = [_read_one(n, p, bytes(d), extra) for n, p, d in zip(*args)]
+            got = [read_one(n, p, bytes(d), extra) for n, p, d in zip(*args)]
             # Only a degraded document needs its bytes again.
             again = [d if g[0] == "degraded" else None for g, d in zip(got, batch["content"].to_pylist())]
             columns = [batch["key"], *(pa.array([g[i] for g in got], pa.string()) for i in range(3))]
@@ -204,4 +204,4 @@ def small_batches(spark: SparkSession):
         spark.conf.set(name, before)
 
 
-__all__ = ["READERS", "Reader", "availability", "extract", "missing_dependencies", "register", "route", "small_batches"]
+__all__ = ["READERS", "Reader", "availability", "extract", "missing_dependencies", "read_one", "register", "route", "small_batches"]

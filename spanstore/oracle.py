@@ -424,3 +424,7 @@ SELECT run, 'tables' AS connector, 'documents' AS target, 'ok' AS status, true A
   count(*) FILTER (outcome = 'extracted') AS extracted, count(*) FILTER (outcome = 'unchanged') AS unchanged,
   count(*) FILTER (outcome = 'skipped') AS skipped, count(*) FILTER (outcome = 'failed') AS failed, count(*) AS documents
 FROM ({ORACLE_SQL["ingest_ledger"]}) GROUP BY run"""
+
+ORACLE_SQL["html_function"] = f"""
+SELECT document_id AS page_id, ordinal, (locator_json->>'$.start')::BIGINT AS start_line, (locator_json->>'$.end')::BIGINT AS end_line, text
+FROM ({ORACLE_SQL["html_units"]}) AS h"""

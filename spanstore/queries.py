@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from .functions import fixed, ids, lines, locators, media, triage
 from .operators.csvs import chunk_units, chunks_of
 from .operators.extract import extract, route
+from .operators.table_function import register_units
 from .plans import ingest, ledger, query
 from .plans.store import Store, merge_rows, new_blobs, new_versions, replace_units, shared_folder
 
@@ -295,6 +296,15 @@ def html_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _extracted(_files(p, F.col("page_id"), "html", F.lit("p.html"), F.coalesce("html", F.lit(""))))
 
 
+def html_function(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Block elements of every page by the table function, called from SQL."""
+    register_units(spark)
+    return spark.sql(
+        "SELECT page_id, u.ordinal, u.start_line, u.end_line, u.text FROM {pages}, LATERAL read_units('html', 'p.html', coalesce(html, '')) AS u",
+        pages=_table(spark, sf_dir, "pages").select("page_id", "html"),
+    )
+
+
 def json_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Properties of every event as JSON."""
     e = _table(spark, sf_dir, "events")
@@ -453,7 +463,7 @@ QUERIES = {
     for f in (
         text_windows, unit_ids, path_triage, sensitivity, blob_dedup, document_upsert, version_append, unit_replace, unchanged_gate, find_units,
         sensitive_units, gap_report, run_counters, event_list, table_counts, resolve_units, verify_units, verify_blobs, source_order,
-        markdown_units, mermaid_units, plantuml_units, csv_units, csv_file_units, html_units, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units, ingest_ledger, ingest_tables,
+        markdown_units, mermaid_units, plantuml_units, csv_units, csv_file_units, html_units, html_function, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units, ingest_ledger, ingest_tables,
         ingest_failures, ingest_runs,
     )
 }

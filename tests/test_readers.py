@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from spanstore.functions import fixed
 from spanstore.operators import native, trees
 from spanstore.operators.csvs import chunk_units, chunks_of
-from spanstore.operators.extract import extract
+from spanstore.operators.extract import Reader, extract
+from spanstore.operators.table_function import register_units
 from spanstore.plans.ingest import finished_units, ingest_entries
 from spanstore.plans.store import Store
 from spanstore.sources.tree import ENTRY
@@ -175,3 +176,28 @@ def test_unreadable_file_is_a_read_error(spark, tmp_path):
     got = {r["path"]: (r["outcome"], r["reason"], r["document_id"] is None) for r in store.table("ingest_events").collect()}
     assert got == {"a.txt": ("extracted", "", False), "gone.txt": ("failed", "read_error", True)}
     assert store.table("documents").count() == 1
+
+
+def test_table_function_in_sql(spark):
+    rows = [(1, "a.json", b'{"a": [1]}'), (2, "b.json", b"{"), (3, "c.json", None), (4, "d.json", b"3"), (5, None, b'"\xff"')]
+    docs = spark.createDataFrame([(i, p, None if c is None else bytearray(c)) for i, p, c in rows], "id long, path string, content binary")
+    register_units(spark)
+    call = "SELECT id, u.* FROM {docs}, LATERAL read_units('json', path, content) AS u"
+    found = spark.sql(call, docs=docs)
+    assert found.columns == ["id", "ordinal", "status", "detail", "node", "line", "text", "verbatim", "meta"]
+    got = {r["id"]: r for r in found.collect()}
+    assert sorted(got) == [1, 2, 4, 5] and got[1]["text"] == json.dumps({"a": [1]}, indent=2) and got[1]["meta"] == {"pointer": "/"}
+    assert got[2]["status"] == "degraded" and got[2]["text"] is None and got[2]["detail"].startswith("JSONDecodeError")
+    assert got[4]["text"] == "3" and got[5]["text"] == '"\ufffd"'
+    as_text = spark.sql("SELECT id, u.text FROM {docs}, LATERAL read_units('json', path, cast(content AS string)) AS u WHERE id < 5", docs=docs)
+    assert sorted((r["id"], r["text"]) for r in as_text.collect()) == [(i, got[i]["text"]) for i in (1, 2, 4)]
+    with pytest.raises(Exception, match="must be a constant"):
+        spark.sql("SELECT * FROM {docs}, LATERAL read_units(path, path, content) AS u", docs=docs).collect()
+    assert "start_line" in spark.sql("SELECT u.* FROM {docs}, LATERAL read_units('html', path, content) AS u", docs=docs).columns
+
+
+def test_table_function_knows_registered_readers(spark, monkeypatch):
+    monkeypatch.setattr("spanstore.operators.table_function.READERS", [Reader("halves", (), (".half",), read=lambda t, p: [{"locator": {"kind": "page", "number": 1}, "text": h, "verbatim": True, "meta": {"n": n}} for n, h in enumerate(t.split("|"))])])
+    register_units(spark, "read_halves")
+    got = spark.sql("SELECT ordinal, kind, node, text, meta FROM VALUES ('x|y') AS t(c), LATERAL read_halves('halves', 'a.half', c)").collect()
+    assert [tuple(r) for r in sorted(got)] == [(0, "page", None, "x", {"n": "0"}), (1, "page", None, "y", {"n": "1"})]
