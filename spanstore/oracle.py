@@ -428,3 +428,5 @@ FROM ({ORACLE_SQL["ingest_ledger"]}) GROUP BY run"""
 ORACLE_SQL["html_function"] = f"""
 SELECT document_id AS page_id, ordinal, (locator_json->>'$.start')::BIGINT AS start_line, (locator_json->>'$.end')::BIGINT AS end_line, text
 FROM ({ORACLE_SQL["html_units"]}) AS h"""
+
+ORACLE_SQL["find_indexed"] = ORACLE_SQL["find_units"].replace("'%the of%'", "'%licens_d un%apache%'")

@@ -35,9 +35,9 @@ def units_of(units: DataFrame, documents: DataFrame, document_id: str) -> DataFr
     return with_paths(units.filter(F.col("document_id") == document_id), documents).orderBy("ordinal")
 
 
-def find_units(units: DataFrame, documents: DataFrame, needle: str, limit: int = 20) -> DataFrame:
-    """Units with the needle: most relevant first, then shortest."""
-    found = with_paths(units.filter(contains(F.col("text"), needle)), documents)
+def find_units(units: DataFrame, documents: DataFrame, needle: str, limit: int = 20, index=None) -> DataFrame:
+    """Units with the needle: most relevant first, then shortest; ``index``: a :class:`.substring.SubstringIndex` of them."""
+    found = with_paths(units.filter(contains(F.col("text"), needle)) if index is None else index.matching(units, needle), documents)
     return found.orderBy(F.desc("relevance"), "char_count", "id").limit(limit)
 
 

@@ -15,6 +15,7 @@ from .operators.extract import extract, route
 from .operators.table_function import register_units
 from .plans import ingest, ledger, query
 from .plans.store import Store, merge_rows, new_blobs, new_versions, replace_units, shared_folder
+from .plans.substring import SubstringIndex
 
 SUFFIXES = [".txt", ".md", ".py", ".log", ".min.js", ".env", ".csv", ".rst"]
 SOURCE = "tables"
@@ -139,6 +140,15 @@ def find_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     return query.find_units(units, docs, "THE of", 20).select("id", "path", "relevance", "char_count")
 
 
+def find_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Substring lookup through an index of all units, with a wildcard in the needle."""
+    units = _rows(spark, sf_dir).drop("path")
+    index = SubstringIndex(spark, shared_folder(spark))
+    index.add(units.select("id", "text"))
+    docs = _snapshot(spark, sf_dir, 1).select("id", "path", F.lit("s").alias("source_id"))
+    return query.find_units(units, docs, "LiCeNs_d un%apache", 20, index).select("id", "path", "relevance", "char_count")
+
+
 def sensitive_units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged units, secrets first."""
     units = _rows(spark, sf_dir).drop("path").withColumn("sensitivity", F.col("s.level")).withColumn("labels", F.array_join("s.labels", ","))
@@ -461,7 +471,7 @@ def source_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        text_windows, unit_ids, path_triage, sensitivity, blob_dedup, document_upsert, version_append, unit_replace, unchanged_gate, find_units,
+        text_windows, unit_ids, path_triage, sensitivity, blob_dedup, document_upsert, version_append, unit_replace, unchanged_gate, find_units, find_indexed,
         sensitive_units, gap_report, run_counters, event_list, table_counts, resolve_units, verify_units, verify_blobs, source_order,
         markdown_units, mermaid_units, plantuml_units, csv_units, csv_file_units, html_units, html_function, json_units, toml_units, xml_units, svg_units, notebook_units, drawio_units, ingest_ledger, ingest_tables,
         ingest_failures, ingest_runs,
