@@ -65,7 +65,8 @@ class SubstringIndex:
         failed half-way may be added again: repeated postings change no result, and counts
         only decide which pieces are looked up.
         """
-        rows = units.select(F.explode(grams_of(F.coalesce("text", F.lit("")))).alias("gram"), _key(F.col("id")).alias("unit"))
+        spread = units.select("id", "text").repartition("id")  # cutting is the work, and a small table may be one split
+        rows = spread.select(F.explode(grams_of(F.coalesce("text", F.lit("")))).alias("gram"), _key(F.col("id")).alias("unit"))
         ranged = rows.repartitionByRange("gram", "unit").sortWithinPartitions("gram", "unit")
         batch = os.path.join(self.postings, f"batch={uuid.uuid4().hex}")
         ranged.write.option("parquet.block.size", ROW_GROUP).parquet(batch)
