@@ -32,12 +32,12 @@ _ALL = ""
 
 
 def grams_of(text: Column) -> Column:
-    """Distinct three-letter pieces of a text."""
+    """Three-letter pieces of a text, repeats included."""
 
     def cut(letters: Column) -> Column:
         at = F.sequence(F.lit(0), F.size(letters) - GRAM)
         pieces = F.transform(at, lambda i: F.concat(*(F.get(letters, i + k) for k in range(GRAM))))
-        return F.when(F.size(letters) >= GRAM, F.array_distinct(pieces)).otherwise(F.array().cast("array<string>"))
+        return F.when(F.size(letters) >= GRAM, pieces).otherwise(F.array().cast("array<string>"))
 
     return bind(F.split(ascii_lower(text), ""), cut)
 
@@ -66,7 +66,7 @@ class SubstringIndex:
         only decide which pieces are looked up.
         """
         spread = units.select("id", "text").repartition("id")  # cutting is the work, and a small table may be one split
-        rows = spread.select(F.explode(grams_of(F.coalesce("text", F.lit("")))).alias("gram"), _key(F.col("id")).alias("unit"))
+        rows = spread.select(F.explode(grams_of(F.coalesce("text", F.lit("")))).alias("gram"), _key(F.col("id")).alias("unit")).dropDuplicates()
         ranged = rows.repartitionByRange("gram", "unit").sortWithinPartitions("gram", "unit")
         batch = os.path.join(self.postings, f"batch={uuid.uuid4().hex}")
         ranged.write.option("parquet.block.size", ROW_GROUP).parquet(batch)

@@ -49,5 +49,5 @@ def test_rare_pieces_are_looked_up_and_common_ones_scanned(indexed):
 def test_grams_are_code_points(spark):
     df = spark.createDataFrame([(t,) for t in TEXTS if t is not None], "t string")
     for text, got in df.select("t", grams_of(F.col("t"))).collect():
-        assert sorted(got) == needle_grams(text.replace("%", "\0").replace("_", "\0")) or "%" in text
+        assert sorted(set(got)) == needle_grams(text.replace("%", "\0").replace("_", "\0")) or "%" in text
     assert needle_grams("Ab%cde_fgHi") == ["cde", "fgh", "ghi"]
