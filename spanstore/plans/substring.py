@@ -20,7 +20,6 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lines import bind
 from .query import ascii_lower, contains
 
 GRAM = 3
@@ -28,18 +27,14 @@ MAX_GRAMS = 6
 # Beyond this share of all units the texts are read rather than the postings.
 SCAN_SHARE = 0.2
 ROW_GROUP = 8 << 20
+# Every unit is posted under the empty piece too, so its count is that of all units.
 _ALL = ""
 
 
 def grams_of(text: Column) -> Column:
     """Three-letter pieces of a text, repeats included."""
-
-    def cut(letters: Column) -> Column:
-        at = F.sequence(F.lit(0), F.size(letters) - GRAM)
-        pieces = F.transform(at, lambda i: F.concat(*(F.get(letters, i + k) for k in range(GRAM))))
-        return F.when(F.size(letters) >= GRAM, pieces).otherwise(F.array().cast("array<string>"))
-
-    return bind(F.split(ascii_lower(text), ""), cut)
+    # Each match takes one letter and looks at the two behind it.
+    return F.regexp_extract_all(ascii_lower(text), F.lit(r"(?s)(?=(...))."), F.lit(1))
 
 
 def needle_grams(needle: str) -> list[str]:
@@ -66,15 +61,14 @@ class SubstringIndex:
         only decide which pieces are looked up.
         """
         spread = units.select("id", "text").repartition("id")  # cutting is the work, and a small table may be one split
-        rows = spread.select(F.explode(grams_of(F.coalesce("text", F.lit("")))).alias("gram"), _key(F.col("id")).alias("unit")).dropDuplicates()
+        held = F.array_distinct(F.concat(F.array(F.lit(_ALL)), grams_of(F.coalesce("text", F.lit("")))))
+        rows = spread.select(F.explode(held).alias("gram"), _key(F.col("id")).alias("unit"))
         ranged = rows.repartitionByRange("gram", "unit").sortWithinPartitions("gram", "unit")
         batch = os.path.join(self.postings, f"batch={uuid.uuid4().hex}")
         ranged.write.option("parquet.block.size", ROW_GROUP).parquet(batch)
         # Counted from what was written, so that texts are not cut again.
         found = self.spark.read.schema("gram string").parquet(batch).groupBy("gram").agg(F.count("*").alias("n"))
-        every = units.agg(F.lit(_ALL).alias("gram"), F.count("*").alias("n"))
-        counts = found.unionByName(every).repartitionByRange("gram").sortWithinPartitions("gram")
-        counts.write.mode("append").parquet(self.counts)
+        found.repartitionByRange("gram").sortWithinPartitions("gram").write.mode("append").parquet(self.counts)
 
     def plan(self, needle: str) -> list[str] | None:
         """The pieces to look up, rarest first; None for a scan."""

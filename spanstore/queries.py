@@ -142,9 +142,11 @@ def find_units(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def find_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Substring lookup through an index of all units, with a wildcard in the needle."""
-    units = _rows(spark, sf_dir).drop("path")
-    index = SubstringIndex(spark, shared_folder(spark))
-    index.add(units.select("id", "text"))
+    folder = shared_folder(spark)
+    _rows(spark, sf_dir).select("id", "document_id", "relevance", "char_count", "text").write.parquet(f"{folder}/units")
+    units = spark.read.parquet(f"{folder}/units")
+    index = SubstringIndex(spark, folder)
+    index.add(units)
     docs = _snapshot(spark, sf_dir, 1).select("id", "path", F.lit("s").alias("source_id"))
     return query.find_units(units, docs, "LiCeNs_d un%apache", 20, index).select("id", "path", "relevance", "char_count")
 
