@@ -125,9 +125,10 @@ def ingest_entries(
         readable = items.filter("read_error is null")
 
         # Only the buckets of the run's documents are read.
-        docs_at = store.touched("documents", readable.select("document_id"))
-        prior = store.table("text_units", docs_at).select("document_id", "blob_sha").distinct().withColumn("had", F.lit(True))
-        docs_before = store.table("documents", docs_at).select(F.col("id").alias("document_id"), F.col("blob_sha").alias("old_sha"))
+        keys = readable.select("document_id")
+        docs_at = store.rewrite("documents", store.touched("documents", keys))
+        prior = store.table("text_units", set(store.touched("text_units", keys))).select("document_id", "blob_sha").distinct().withColumn("had", F.lit(True))
+        docs_before = store.table("documents", docs_at.buckets).select(F.col("id").alias("document_id"), F.col("blob_sha").alias("old_sha"))
         narrow = items.drop("content").join(docs_before, "document_id", "left").join(prior, ["document_id", "blob_sha"], "left")
         judged = narrow.withColumn("gate", content_gate(is_unchanged(F.col("old_sha"), F.col("blob_sha"), F.col("had"))))
         todo = judged.filter("gate is null").select("document_id", "extractor", "path")
@@ -209,15 +210,16 @@ def ingest_entries(
             return spark.createDataFrame([row], names).withColumn("source_id", source)
 
         # Only the buckets that hold a row of this run are written again.
-        units_at = store.touched("text_units", stale.select("document_id").unionByName(done.filter(F.size("units") > 0).select("document_id")))
-        source_at = store.touched("sources", first.select("id"))
+        changed = stale.select("document_id").unionByName(done.filter(F.size("units") > 0).select("document_id"))
+        units_at = store.rewrite("text_units", store.touched("text_units", changed), st.bytes_below(done_path))
+        source_at = store.rewrite("sources", store.touched("sources", first.select("id")))
         store.commit(
             {
                 "blobs": blobs,
-                "sources": st.merge_rows(store.table("sources", source_at), first),
-                "documents": st.merge_rows(store.table("documents", docs_at), seen.drop("seq", "revision")),
+                "sources": st.merge_rows(store.table("sources", source_at.buckets), first),
+                "documents": st.merge_rows(store.table("documents", docs_at.buckets), seen.drop("seq", "revision")),
                 "document_versions": versions,
-                "text_units": st.replace_units(store.table("text_units", units_at), stale, units),
+                "text_units": st.replace_units(store.table("text_units", units_at.buckets), stale, units),
                 "ingest_events": events,
                 "ingest_runs": finished,
             },

@@ -5,6 +5,9 @@ file; readers see all of a run or nothing.  ``blobs``, ``document_versions``,
 ``ingest_events`` and ``ingest_runs`` only grow: a commit adds a directory to their
 list.  ``sources``, ``documents`` and ``text_units`` lie in hash buckets, and a commit
 replaces the buckets it touches, so one edited file rewrites a small part of them.
+Buckets grow in number with their table by linear hashing: a new one takes the rows
+of one old one, which is split when a commit rewrites it anyway, or as one more for
+each that it touches.  Large buckets are written by several tasks.
 What a commit adds is checked before the pointer moves.  A lock file keeps writers
 apart; it names its owner and can be broken when that one is gone.
 
@@ -15,6 +18,7 @@ from __future__ import annotations
 
 import functools
 import json
+import math
 import os
 import shutil
 import socket
@@ -23,6 +27,7 @@ import time
 import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,7 +50,12 @@ SCHEMAS = {
 GROWING = ("blobs", "document_versions", "ingest_events", "ingest_runs")
 # The other tables by the key that decides a row's bucket.
 BUCKETED = {"sources": "id", "documents": "id", "text_units": "document_id"}
+# How many there are at first, how large they should become, and how much of a commit goes to one task.
 BUCKETS = 64
+BUCKET_BYTES = 4 << 30
+TASK_BYTES = 256 << 20
+# Rough bytes of a row, where rows are counted before they are written.
+ROW_BYTES = {"sources": 256, "documents": 256}
 # Units are also looked up by id, which says nothing of their bucket: small row groups with a Bloom filter each.
 BLOOM = {
     "text_units": {
@@ -76,8 +86,27 @@ FORBIDDEN = {
 }
 
 
-def bucket_of(key: Column) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+def bucket_of(key: Column, width: int) -> Column:
+    """The bucket of a key among ``width``: buckets split already, and those split off, go by one bit more than the others."""
+    high = 1 << (width - 1).bit_length()
+    hashed = F.xxhash64(key)
+    fine = F.pmod(hashed, F.lit(high))
+    return F.when(fine < width, fine).otherwise(F.pmod(hashed, F.lit(max(high // 2, 1)))).cast("int")
+
+
+def origin(bucket: int, width: int) -> int:
+    """The bucket among ``width`` that holds the rows of what will be ``bucket`` among more."""
+    while bucket >= width:
+        bucket -= 1 << (bucket.bit_length() - 1)
+    return bucket
+
+
+class Rewrite(NamedTuple):
+    """Buckets of a table that a commit replaces, how many buckets there are then, and about how many bytes the commit writes."""
+
+    buckets: set[int]
+    width: int
+    load: int = 0
 
 
 class StoreError(Exception):
@@ -102,13 +131,23 @@ class Store:
         os.makedirs(root, exist_ok=True)
         self.pointer = os.path.join(root, "CURRENT")
 
-    def parts(self) -> dict[str, list[str]]:
-        """Directories of each table in the committed snapshot."""
+    def state(self) -> dict[str, dict]:
+        """The committed snapshot: directories and number of buckets of each table, bytes of each directory of a bucket."""
         try:
             with open(self.pointer) as f:
-                return json.load(f)
+                state = json.load(f)
         except FileNotFoundError:
-            return {}
+            state = {}
+        # A pointer written before buckets grew holds the directories alone.
+        return state if "parts" in state else {"parts": state, "width": {}, "bytes": {}}
+
+    def parts(self) -> dict[str, list[str]]:
+        """Directories of each table in the committed snapshot."""
+        return self.state()["parts"]
+
+    def width(self, name: str) -> int:
+        """How many buckets a table has."""
+        return self.state()["width"].get(name, BUCKETS)
 
     def table(self, name: str, buckets: set[int] | None = None) -> DataFrame:
         """A table, or of a bucketed one only some buckets."""
@@ -117,9 +156,37 @@ class Store:
             paths = [p for p in paths if _bucket(p) in buckets]
         return self._read(name, paths)
 
-    def touched(self, name: str, keys: DataFrame) -> set[int]:
-        """Buckets of a table that hold or will hold ``keys`` (one column)."""
-        return {r[0] for r in keys.select(bucket_of(F.col(keys.columns[0]))).distinct().collect()}
+    def touched(self, name: str, keys: DataFrame) -> dict[int, int]:
+        """Buckets of a table that hold or will hold ``keys`` (one column), and how many of the keys; at most a row a bucket is gathered."""
+        return dict(keys.groupBy(bucket_of(F.col(keys.columns[0]), self.width(name)).alias("b")).count().collect())
+
+    def rewrite(self, name: str, touched: dict[int, int], coming: int | None = None) -> Rewrite:
+        """What a commit replaces that touches these buckets: them, and those whose turn it is to be split.
+
+        coming: bytes that the commit adds; if it isn't given, they are told from the number of keys.
+        A table without rows takes any number of buckets at once.  Later a bucket is split that is
+        touched anyway, or for each touched one another that is not: so what an edit rewrites stays
+        in proportion to the edit, whatever the table's size.
+        """
+        state = self.state()
+        width, held = state["width"].get(name, BUCKETS), {}
+        for p in state["parts"].get(name, []):
+            held[_bucket(p)] = held.get(_bucket(p), 0) + state["bytes"].get(p, 0)
+        coming = sum(touched.values()) * ROW_BYTES.get(name, 0) if coming is None else coming
+        wanted = max(width, math.ceil((sum(held.values()) + coming) / BUCKET_BYTES))
+        buckets, grown, more = set(touched), width, len(touched)
+        while grown < wanted and held:
+            parent = origin(grown, width)
+            if parent not in buckets:
+                if not more:
+                    break
+                more -= 1
+                buckets.add(parent)
+            grown += 1
+        grown = grown if held else wanted
+        # The keys were dealt to the old buckets; rows go to what these become.
+        after = {b for b in range(width, grown) if origin(b, width) in buckets} | buckets
+        return Rewrite(after, grown, sum(held.get(b, 0) for b in buckets) + coming)
 
     def staging(self, run: str, part: str) -> str:
         """Where a run keeps rows that it reads several times, until it is committed."""
@@ -138,9 +205,9 @@ class Store:
         if where is None:
             return tuple(self.table(n, set()) if n in BUCKETED else self._read(n, []) for n in ("text_units", "documents", "blobs"))
         key = self.spark.range(1).select(F.lit(where["document_id"]).alias("id"))
-        at = self.touched("documents", key)
-        units = self.table("text_units", at).filter((F.col("document_id") == where["document_id"]) & (F.col("id") == unit_id))
-        documents = self.table("documents", at).filter(F.col("id") == where["document_id"])
+        units = self.table("text_units", set(self.touched("text_units", key)))
+        units = units.filter((F.col("document_id") == where["document_id"]) & (F.col("id") == unit_id))
+        documents = self.table("documents", set(self.touched("documents", key))).filter(F.col("id") == where["document_id"])
         sha = where["blob_sha"]
         return units, documents, self.table("blobs").filter((F.col("shard") == sha[:2]) & (F.col("sha256") == sha))
 
@@ -176,21 +243,30 @@ class Store:
         except FileNotFoundError:
             pass
 
-    def commit(self, changes: dict[str, DataFrame | Callable[[], DataFrame]], buckets: dict[str, set[int]] | None = None) -> None:
+    def commit(self, changes: dict[str, DataFrame | Callable[[], DataFrame]], rewrites: dict[str, Rewrite] | None = None) -> None:
         """Writes all changes, checks them, then moves the pointer.
 
         A growing table's change is the rows to add.  A bucketed one's is all rows of the
-        buckets named for it in ``buckets`` (of all of them, if it isn't named there).  A function
+        buckets named for it in ``rewrites`` (of all of them, if it isn't named there).  A function
         is called when the changes before it are written.
         """
-        parts, batch = self.parts(), uuid.uuid4().hex[:12]
+        state, batch = self.state(), uuid.uuid4().hex[:12]
+        parts, width, sizes = state["parts"], state["width"], state["bytes"]
         fresh: dict[str, list[str]] = {}
         for name, df in changes.items():
             where = os.path.join(name, f"batch={batch}")
             rows = (df() if callable(df) else df).select(*_columns(self.spark, name))
-            # Blobs lie by the first two digits of their hash, so a lookup reads one shard.
             if name in BUCKETED:
-                rows = rows.withColumn("bucket", bucket_of(F.col(BUCKETED[name]))).repartition("bucket")
+                at = width.get(name, BUCKETS)
+                plan = (rewrites or {}).get(name) or Rewrite(set(range(at)), at)
+                key = F.col(BUCKETED[name])
+                rows = rows.withColumn("bucket", bucket_of(key, plan.width))
+                tasks, slices = (max(1, math.ceil(plan.load / n / TASK_BYTES)) for n in (1, max(len(plan.buckets), 1)))
+                if tasks <= int(self.spark.conf.get("spark.sql.shuffle.partitions")) and slices == 1:
+                    rows = rows.repartition("bucket")
+                else:
+                    rows = rows.repartition(tasks, "bucket", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(slices)))
+            # Blobs lie by the first two digits of their hash, so a lookup reads one shard.
             if name == "blobs":
                 self.spark.dataSource.register(BlobSink)
                 rows.sortWithinPartitions("shard").write.format("blobs").option("path", os.path.join(self.root, where)).mode("append").save()
@@ -201,17 +277,21 @@ class Store:
                 out.parquet(os.path.join(self.root, where))
             fresh[name] = [where]
             if name in BUCKETED:
-                gone = (buckets or {}).get(name, set(range(BUCKETS)))
                 made = sorted(d for d in os.listdir(os.path.join(self.root, where)) if d.startswith("bucket="))
                 fresh[name] = [os.path.join(where, d) for d in made]
-                if any(_bucket(p) not in gone for p in fresh[name]):
+                if any(_bucket(p) not in plan.buckets for p in fresh[name]):
                     raise StoreError(f"{name}: rows outside of the buckets to be replaced")
-                parts[name] = [p for p in parts.get(name, []) if _bucket(p) not in gone]
+                for p in parts.get(name, []):
+                    if _bucket(p) in plan.buckets:
+                        sizes.pop(p, None)
+                parts[name] = [p for p in parts.get(name, []) if _bucket(p) not in plan.buckets]
+                width[name] = plan.width
+                sizes |= {p: bytes_below(os.path.join(self.root, p)) for p in fresh[name]}
             parts[name] = [*parts.get(name, []), *fresh[name]]
         self._check(fresh, parts)
         pointer = f"{self.pointer}.{batch}"
         with open(pointer, "w") as f:
-            json.dump(parts, f)
+            json.dump(state, f)
             f.flush()
             os.fsync(f.fileno())
         os.replace(pointer, self.pointer)
@@ -259,6 +339,12 @@ def _bucket(path: str) -> int:
     return int(path.rsplit("bucket=", 1)[1])
 
 
+def bytes_below(folder: str) -> int:
+    """Bytes of the files of a folder."""
+    with os.scandir(folder) as found:
+        return sum(e.stat().st_size for e in found if e.is_file())
+
+
 # Merges: set-based forms of insert-or-update.  All take and give plain rows.
 
 

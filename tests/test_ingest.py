@@ -215,9 +215,9 @@ def test_store_refuses_what_breaks_a_constraint(spark, tmp_path):
         ("ingest_events", row("ingest_events", run_id="r", path="p", outcome="skipped")),
     ):
         with pytest.raises(StoreError):
-            store.commit({name: bad}, {name: store.touched(name, bad.select(BUCKETED[name]))} if name in BUCKETED else None)
+            store.commit({name: bad}, {name: store.rewrite(name, store.touched(name, bad.select(BUCKETED[name])))} if name in BUCKETED else None)
         assert store.parts() == before
-    store.commit({"text_units": row("text_units", **unit)}, {"text_units": store.touched("text_units", document.select("id"))})
+    store.commit({"text_units": row("text_units", **unit)}, {"text_units": store.rewrite("text_units", store.touched("text_units", document.select("id")))})
     assert store.table("text_units").count() == 1 and store.table("documents").count() == 1
 
 
