@@ -26,7 +26,9 @@ Every comparison of step 3 is on bytes; hashes only bring together what is to be
 compared (a gram's 64 bits) or state the equality of a surrounding (gram and
 64 more bits).  A text is known by its 128-bit hash, and equal texts count as one that
 stands several times.  A gram with more than ``SPLIT`` surroundings is split by the
-bytes around it.  A text moves only if it has open windows or bytes to lose.
+bytes around it.  A text moves only if it has open windows or bytes to lose.  A gram
+of very many anchors (a passage that many texts share) is settled by counts of its
+surroundings, added up before they move, instead of by one task that reads them all.
 
 Edge cases: a null text is empty; texts shorter than a window lose nothing;
 repeated rows are copies of each other; windows may overlap themselves in a
@@ -52,6 +54,8 @@ GRAM = 32
 WORD = 8  # bytes of a letter of the sort
 SPLIT = 20_000
 AT_ONCE = 20_000  # contexts sorted together
+# A gram or surrounding is hot if it has more than this many anchors and more than this share of all: at most 1 / share are.
+HOT, HOT_SHARE = 1000, 1 / 20_000
 OUT_BYTES = 1 << 23
 
 _POWERS = (Powers(), Powers(0xD1B54A32D192ED03))
@@ -176,15 +180,31 @@ def _settled(letters: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, "g long, row binary, x int, lo int, hi int, known boolean, lead boolean")
 
 
-def _asked(settled: DataFrame, split: int) -> DataFrame:
+def _settled_hot(letters: DataFrame, limit: int) -> DataFrame:
+    """The same of hot grams: surroundings are counted, and only those of at most ``limit`` letters meet them in a shuffle."""
+    one = stored(letters.dropDuplicates(["g", "block", "x", "row"]))
+    place = F.struct("x", "row")
+    about = stored(one.groupBy("g", "block").agg(F.count("*").alias("n"), F.min(place).alias("first")))
+    heavy = F.broadcast(about.filter(F.col("n") > limit))
+    rest = one.join(heavy, ["g", "block"], "left_anti").join(about, ["g", "block"])
+    return one.join(heavy, ["g", "block"]).unionByName(rest).select(
+        "g", "row", "x", "lo", "hi", (F.col("n") > 1).alias("known"), (place == F.col("first")).alias("lead")
+    )
+
+
+def _asked(settled: DataFrame, hot: DataFrame, split: int) -> DataFrame:
     """(g, row, x, first, last, open, wide): the windows whose contexts are to be sorted.
 
     In a gram's group every distance from the anchor that is open somewhere is shown
-    by one letter of each surrounding that has it.
+    by one letter of each surrounding that has it.  hot: the same columns, of hot grams.
     """
+    distance = lambda c: F.when(~F.col("known"), F.col("x") - F.col(c))
+    about = {"far": F.max(distance("lo")), "near": F.min(distance("hi")), "many": F.count("*")}
     group = Window.partitionBy("g")
-    far, near = (f(F.when(~F.col("known"), F.col("x") - F.col(c))).over(group) for f, c in ((F.max, "lo"), (F.min, "hi")))
-    rows = settled.filter("lead").select("*", far.alias("far"), near.alias("near"), F.count("*").over(group).alias("many"))
+    rows = settled.filter("lead").select("*", *(c.over(group).alias(name) for name, c in about.items()))
+    leads = hot.filter("lead")
+    of_hot = leads.groupBy("g").agg(*(c.alias(name) for name, c in about.items()))
+    rows = rows.unionByName(leads.join(F.broadcast(of_hot), "g"))
     return rows.select(
         "g", "row", "x", F.greatest(F.col("lo"), F.col("x") - F.col("far")).alias("first"), F.least(F.col("hi"), F.col("x") - F.col("near")).alias("last"),
         (~F.col("known")).alias("open"), (F.col("many") > split).alias("wide"),
@@ -346,9 +366,13 @@ def _merged(contexts: DataFrame) -> DataFrame:
 def repeated_spans(docs: DataFrame, split: int = SPLIT) -> DataFrame:
     """(row, spans): byte spans [start, end) of repeated windows, sorted but perhaps touching.  docs: (row, text), row the text's own key."""
     with scratch(docs.sparkSession) as keep:
-        settled = stored(_settled(_letters(docs)))
-        open_ = stored(_merged(_contexts(docs, _asked(settled, split))))
-        known = settled.filter("known").select("row", F.col("lo").alias("start"), (F.col("hi") + WINDOW).alias("end"))
+        letters = stored(_letters(docs))
+        limit = max(HOT, int(letters.count() * HOT_SHARE))
+        hot = stored(letters.groupBy("g").count().filter(F.col("count") > limit).select("g"))
+        settled = stored(_settled(letters.join(F.broadcast(hot), "g", "left_anti")))
+        settled_hot = stored(_settled_hot(letters.join(F.broadcast(hot), "g"), limit))
+        open_ = stored(_merged(_contexts(docs, _asked(settled, settled_hot, split))))
+        known = settled.unionByName(settled_hot).filter("known").select("row", F.col("lo").alias("start"), (F.col("hi") + WINDOW).alias("end"))
         size = F.octet_length("text")
         copies = docs.select("row", size.alias("end")).groupBy("row", "end").agg(F.count("*").alias("n"))
         copies = copies.filter((F.col("n") > 1) & (F.col("end") >= WINDOW)).select("row", F.lit(0).alias("start"), "end")

@@ -294,6 +294,23 @@ def test_wide_grams_are_split_without_loss(spark):
     assert found[0] == found[1] and len(found[0]) == 12
 
 
+def test_hot_grams_and_surroundings_lose_nothing(spark, monkeypatch):
+    """A passage in many texts, edited in some, copies of texts, and a periodic text, whatever is called hot."""
+    from spanstore.llm import suffix_dedup
+
+    base = " ".join(f"w{i * 7919 % 1000}" for i in range(150))
+    texts = [f"{i} start {i * i} " + (base if i % 3 else base[: 40 * i] + f"<{i}>" + base[40 * i :]) + f" end {i}" for i in range(20)]
+    texts += [texts[0]] * 5 + ["ab " * 300, "x" * 900, None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    found = []
+    for hot in (10_000, 8, 2, 0):
+        monkeypatch.setattr(suffix_dedup, "HOT", hot)
+        monkeypatch.setattr(suffix_dedup, "HOT_SHARE", 0)
+        rows, changed = suffix_dedup.remove_repeats(docs)
+        found.append({(r["id"], tuple((s["start"], s["end"]) for s in r["runs"])) for r in rows.join(changed, "row").select("id", "runs").collect()})
+    assert found[0] == found[1] == found[2] == found[3] and len(found[0]) == 27
+
+
 def test_the_order_decides(spark, monkeypatch):
     """Without the comparison of neighbours the open windows stay, so the result is the sort's."""
     from spanstore.llm import suffix_dedup

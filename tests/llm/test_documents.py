@@ -291,7 +291,10 @@ def test_tree_leaves_no_pair_out():
     assert jaccard_join.link_group(sets, np.arange(150)).tolist() == whole.roots().tolist() and len(set(whole.roots())) < 120
 
 
-def test_suffix_dedup(docs, spark, monkeypatch):
+@pytest.mark.parametrize("hot", [suffix_dedup.HOT, 40, 3])
+def test_suffix_dedup(docs, spark, monkeypatch, hot):
+    """Also where most grams, or the surroundings of most, are hot."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
     got = counted(tuple(r) for r in digest(docs).collect())
     rows = pairs(docs)
     windows = collections.Counter(b[p : p + 200] for _, t in rows for b in [t.encode()] for p in range(len(b) - 199))
