@@ -51,3 +51,38 @@ def test_grams_are_code_points(spark):
     for text, got in df.select("t", grams_of(F.col("t"))).collect():
         assert sorted(set(got)) == needle_grams(text.replace("%", "\0").replace("_", "\0")) or "%" in text
     assert needle_grams("Ab%cde_fgHi") == ["cde", "fgh", "ghi"]
+
+
+def test_a_block_gives_one_row_for_each_piece(monkeypatch):
+    import numpy as np
+
+    from spanstore.plans import substring
+
+    keys = np.arange(10, 10 + len(TEXTS))
+    texts = [t or "" for t in TEXTS] + [chr(c) * 4 + "\0\0\0" for c in range(0x4E00, 0x4E40)]
+    keys = np.arange(10, 10 + len(texts))
+    wanted = {"": set(keys.tolist())}
+    for key, text in zip(keys.tolist(), texts):
+        for gram in needle_grams(text.replace("%", "\x01").replace("_", "\x02")):
+            wanted.setdefault(gram.replace("\x01", "%").replace("\x02", "_"), set()).add(key)
+    (rows,) = (b.to_pylist() for b in substring.block_postings(texts, keys))
+    assert {r["gram"]: set(r["units"]) for r in rows} == wanted and len(rows) == len(wanted)
+    assert all(r["n"] == len(r["units"]) == len(set(r["units"])) for r in rows)
+    # Blocks of a few letters, and texts with more different letters than one number holds, give the same.
+    monkeypatch.setattr(substring, "BLOCK_LETTERS", 5)
+    import pyarrow as pa
+
+    cut = substring._cut(iter([pa.RecordBatch.from_arrays([pa.array(keys), pa.array([t.encode() for t in texts], pa.binary())], ["unit", "text"])]))
+    got = {}
+    for r in (r for b in cut for r in b.to_pylist()):
+        got.setdefault(r["gram"], set()).update(r["units"])
+    assert got == wanted
+    wide = ["".join(map(chr, range(0x10000, 0xF0000))), *["abc"] * 15]
+    assert len(list(substring.block_postings(wide, np.arange(16)))) > 1
+
+
+def test_texts_are_tested_behind_the_lookup(indexed):
+    units, index = indexed
+    plan = index.matching(units, "licensed under")._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join Inner" in line]
+    assert len(joins) == 1 and "licensed under" in joins[0] and plan.count("licensed under") == 1
