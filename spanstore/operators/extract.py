@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import media
-from ..functions.lines import decode
+from ..functions.lines import bind, decode
 from .csvs import csv_spans
 from .native import NATIVE, csv_units, text_units
 from .optional import REQUIREMENTS
@@ -81,17 +81,21 @@ def available(reader: Reader) -> bool:
 
 def route(media_type: Column, path: Column) -> Column:
     """Name of the first reader that claims the type or the suffix, or null."""
-    end = F.lower(media.suffix(media.file_name(path)))
-    out = F.lit(None).cast("string")
-    for r in reversed(READERS):
-        exact = [t for t in r.types if not t.endswith("/")]
-        claim = media_type.isin(*exact) if exact else F.lit(False)
-        for family in (t for t in r.types if t.endswith("/")):
-            claim = claim | media_type.startswith(family)
-        if r.suffixes:
-            claim = claim | end.isin(*r.suffixes)
-        out = F.when(claim, F.lit(r.name)).otherwise(out)
-    return out
+
+    def first(end: Column) -> Column:
+        out = F.lit(None).cast("string")
+        for r in reversed(READERS):
+            exact = [t for t in r.types if not t.endswith("/")]
+            claim = media_type.isin(*exact) if exact else F.lit(False)
+            for family in (t for t in r.types if t.endswith("/")):
+                claim = claim | media_type.startswith(family)
+            if r.suffixes:
+                claim = claim | end.isin(*r.suffixes)
+            out = F.when(claim, F.lit(r.name)).otherwise(out)
+        return out
+
+    # Bound, so that the suffix is cut once and not for each reader.
+    return bind(F.lower(media.suffix(media.file_name(path))), first)
 
 
 def availability(spark: SparkSession) -> DataFrame:
